@@ -37,7 +37,7 @@ def segmented_fill(df: DataFrame, value_col: str, key_col: str = "user_pseudo_id
                    next_out: str | None = "next_level_id", unit: str = SEGMENT_UNIT) -> DataFrame:
     """Add ``prev_out`` = last non-null ``value_col`` at or before the row and (optionally)
     ``next_out`` = first non-null ``value_col`` at or after the row, per ``key_col`` in ``ts_col``
-    order. Rows with a NULL key form their own group, as in a SQL window."""
+    order. Keys must be non-null (callers drop NULL users first)."""
     seg = "_seg"
     d = df.withColumn(seg, segment_of(ts_col, unit))
     w = Window.partitionBy(key_col, seg).orderBy(ts_col)
@@ -56,7 +56,7 @@ def segmented_fill(df: DataFrame, value_col: str, key_col: str = "user_pseudo_id
         summary = summary.withColumn("_carry_out", F.first("_seg_first", ignorenulls=True).over(
             wu.rowsBetween(1, Window.unboundedFollowing)))
         cols.append("_carry_out")
-    d = d.join(summary.select(*cols), [key_col, seg], "left") if key_col else d
+    d = d.join(summary.select(*cols), [key_col, seg], "left")
     d = d.withColumn(prev_out, F.coalesce(F.col("_prev_local"), F.col("_carry_in")))
     drop = ["_prev_local", "_carry_in", seg]
     if next_out:
@@ -115,3 +115,33 @@ def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_
     return (d.withColumn(level_col, F.coalesce(F.col("_ff"), F.col("_carry_in")))
              .withColumn("level_run_id", run.cast("bigint"))
              .drop("_ff", "_start", "_runs_local", "_carry_in", "_continues", "_offset", seg))
+
+
+def segmented_running_max(df: DataFrame, value_col: str, key_cols: list[str], out: str,
+                          ts_col: str = "event_timestamp", tie_col: str | None = None,
+                          unit: str = SEGMENT_UNIT) -> DataFrame:
+    """``out`` = max of ``value_col`` over rows of the same key at or before the row, ordered by
+    (``ts_col``, ``tie_col``). NULL values are ignored (NULL until the first non-null value)."""
+    seg = "_seg"
+    d = df.withColumn(seg, segment_of(ts_col, unit))
+    order = [ts_col] + ([tie_col] if tie_col else [])
+    w = Window.partitionBy(*key_cols, seg).orderBy(*order)
+    d = d.withColumn("_local", F.max(value_col).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    summary = d.groupBy(*key_cols, seg).agg(F.max(value_col).alias("_seg_max"))
+    wu = Window.partitionBy(*key_cols).orderBy(seg)
+    summary = summary.withColumn("_carry", F.max("_seg_max").over(
+        wu.rowsBetween(Window.unboundedPreceding, -1))).select(*key_cols, seg, "_carry")
+    d = d.join(summary, [*key_cols, seg], "left")
+    return d.withColumn(out, F.greatest(F.col("_local"), F.col("_carry"))).drop("_local", "_carry", seg)
+
+
+def dense_rank_by_day(df: DataFrame, key_col: str = "user_pseudo_id", day_col: str = "event_date",
+                      out: str = "active_day") -> DataFrame:
+    """``out`` = DENSE_RANK() OVER (PARTITION BY key ORDER BY day), 1-based, as BIGINT.
+
+    Ranks are computed over the distinct (key, day) pairs, at most one row per active day, and
+    joined back, so a user with many events per day never forms one large window partition."""
+    days = df.select(key_col, day_col).distinct()
+    w = Window.partitionBy(key_col).orderBy(day_col)
+    ranked = days.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return df.join(ranked, [key_col, day_col], "left")

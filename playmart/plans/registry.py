@@ -233,3 +233,60 @@ def q_tutorial_funnel_daily(w: Warehouse) -> DataFrame:
 def q_overview_daily(w: Warehouse) -> DataFrame:
     return marts.overview_daily(marts.ua_performance_daily(w.stg_adjust, w.as_of),
                                 marts.engagement_daily(w.stg_unity, w.as_of))
+
+
+# ---- A: analytics models --------------------------------------------------------------------
+
+from playmart.operators import analytics  # noqa: E402
+
+
+@query("level_attribution")
+def q_level_attribution(w: Warehouse) -> DataFrame:
+    return analytics.level_attribution_events(w.stg_events)
+
+
+def _events_model(key: str, fn):
+    QUERIES[key] = lambda w: fn(w.stg_events)
+
+
+for _k, _fn in (
+    ("avg_time_spent", analytics.avg_time_spent),
+    ("coins_balance", analytics.coins_balance),
+    ("coins_balance_level", analytics.coins_balance_level),
+    ("coins_earned_failed", analytics.coins_earned_failed),
+    ("coins_earned_won", analytics.coins_earned_won),
+    ("coins_earned_won_count", analytics.coins_earned_won_count),
+    ("coins_failed_count", analytics.coins_failed_count),
+    ("completed_players", analytics.completed_players),
+    ("fail_rate", analytics.fail_rate),
+    ("fail_reasons", analytics.fail_reasons),
+    ("fails_count", analytics.fails_count),
+    ("iap_ltv", analytics.iap_ltv),
+    ("iap_overview", analytics.iap_overview),
+    ("level_start_per_user", analytics.level_start_per_user),
+    ("max_level_active_day", analytics.max_level_active_day),
+    ("retention_abandonment_rate", analytics.retention_abandonment_rate),
+    ("retention_cohorts", analytics.retention_cohorts),
+    ("tries_count", analytics.tries_count),
+):
+    _events_model(_k, _fn)
+
+
+@query("boosters_usage")
+def q_boosters_usage(w: Warehouse) -> DataFrame:
+    return analytics.boosters_usage(w.stg_events, w.game_objects)
+
+
+@query("earned_spent_analysis")
+def q_earned_spent_analysis(w: Warehouse) -> DataFrame:
+    return analytics.earned_spent_analysis(w.stg_events, w.game_objects)
+
+
+@query("upgrades_analysis")
+def q_upgrades_analysis(w: Warehouse) -> DataFrame:
+    return analytics.upgrades_analysis(w.stg_events, w.level_upgrade_recommendations)
+
+
+@query("upgrades_level")
+def q_upgrades_level(w: Warehouse) -> DataFrame:
+    return analytics.upgrades_level(w.stg_events, w.game_objects)
