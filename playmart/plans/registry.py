@@ -290,3 +290,95 @@ def q_upgrades_analysis(w: Warehouse) -> DataFrame:
 @query("upgrades_level")
 def q_upgrades_level(w: Warehouse) -> DataFrame:
     return analytics.upgrades_level(w.stg_events, w.game_objects)
+
+
+# ---- R: metric recipes and consumer queries ---------------------------------------------------
+
+from playmart.operators import metrics  # noqa: E402
+
+
+def _ua(w: Warehouse) -> DataFrame:
+    return marts.ua_performance_daily(w.stg_adjust, w.as_of)
+
+
+def _eng(w: Warehouse) -> DataFrame:
+    return marts.engagement_daily(w.stg_unity, w.as_of)
+
+
+@query("roas_by_network")
+def q_roas_by_network(w: Warehouse) -> DataFrame:
+    return metrics.roas_by_network(_ua(w), w.as_of)
+
+
+@query("overview_slice")
+def q_overview_slice(w: Warehouse) -> DataFrame:
+    return metrics.overview_slice(marts.overview_daily(_ua(w), _eng(w)), as_of=w.as_of)
+
+
+@query("roas_by_country_daily")
+def q_roas_by_country_daily(w: Warehouse) -> DataFrame:
+    return metrics.roas_by_country_daily(_ua(w), as_of=w.as_of)
+
+
+@query("top_campaigns_by_spend")
+def q_top_campaigns_by_spend(w: Warehouse) -> DataFrame:
+    return metrics.top_campaigns_by_spend(_ua(w), w.as_of)
+
+
+@query("retention_trend")
+def q_retention_trend(w: Warehouse) -> DataFrame:
+    return metrics.retention_trend(_eng(w), w.as_of)
+
+
+@query("ua_funnel_campaign")
+def q_ua_funnel_campaign(w: Warehouse) -> DataFrame:
+    return metrics.ua_funnel_campaign(marts.ua_funnel_daily(w.stg_adjust, w.as_of), as_of=w.as_of)
+
+
+@query("cohort_retention_curve")
+def q_cohort_retention_curve(w: Warehouse) -> DataFrame:
+    return metrics.cohort_retention_curve(analytics.retention_cohorts(w.stg_events))
+
+
+@query("cohort_ltv_curve")
+def q_cohort_ltv_curve(w: Warehouse) -> DataFrame:
+    return metrics.cohort_ltv_curve(marts.cohort_ltv_daily(w.stg_events, w.as_of))
+
+
+@query("creative_leaderboard")
+def q_creative_leaderboard(w: Warehouse) -> DataFrame:
+    return metrics.creative_leaderboard(marts.creative_performance_daily(w.stg_meta_ad, w.as_of), w.as_of)
+
+
+@query("tutorial_completion_rate")
+def q_tutorial_completion_rate(w: Warehouse) -> DataFrame:
+    return metrics.tutorial_completion_rate(marts.tutorial_funnel_daily(w.stg_events, w.as_of), w.as_of)
+
+
+@query("tutorial_dropoff")
+def q_tutorial_dropoff(w: Warehouse) -> DataFrame:
+    return metrics.tutorial_dropoff(marts.tutorial_funnel_daily(w.stg_events, w.as_of), as_of=w.as_of)
+
+
+for _k, _fn in (
+    ("level_fail_rate", metrics.level_fail_rate),
+    ("booster_usage_by_spender", metrics.booster_usage_by_spender),
+    ("coins_net_by_level", metrics.coins_net_by_level),
+    ("iap_revenue_by_product", metrics.iap_revenue_by_product),
+    ("progression_by_active_day", metrics.progression_by_active_day),
+    ("dau_and_revenue", metrics.dau_and_revenue),
+):
+    _events_model(_k, _fn)
+
+
+@query("ltv_to_cac")
+def q_ltv_to_cac(w: Warehouse) -> DataFrame:
+    return metrics.ltv_to_cac(marts.cohort_ltv_daily(w.stg_events, w.as_of), _ua(w))
+
+
+ROLLUP_METRICS = ["roas", "roas_ad", "roi", "ecpi", "ctr", "cvr", "arpdau_ua", "iap_share", "ad_share"]
+
+
+@query("metric_rollup")
+def q_metric_rollup(w: Warehouse) -> DataFrame:
+    return metrics.metric_rollup(_ua(w), ROLLUP_METRICS, ["network", "platform"])
