@@ -382,3 +382,90 @@ ROLLUP_METRICS = ["roas", "roas_ad", "roi", "ecpi", "ctr", "cvr", "arpdau_ua", "
 @query("metric_rollup")
 def q_metric_rollup(w: Warehouse) -> DataFrame:
     return metrics.metric_rollup(_ua(w), ROLLUP_METRICS, ["network", "platform"])
+
+
+# ---- D: data-quality jobs -----------------------------------------------------------------------
+
+from playmart.operators import quality  # noqa: E402
+
+
+def model(w: Warehouse, name: str) -> DataFrame:
+    """A staging table, mart or analytics model by name (lazy)."""
+    builders = {
+        "stg_events": lambda: w.stg_events,
+        "ua_performance_daily": lambda: _ua(w),
+        "engagement_daily": lambda: _eng(w),
+        "creative_performance_daily": lambda: marts.creative_performance_daily(w.stg_meta_ad, w.as_of),
+        "ua_funnel_daily": lambda: marts.ua_funnel_daily(w.stg_adjust, w.as_of),
+        "iap_arpdau_daily": lambda: marts.iap_arpdau_daily(w.stg_events, w.as_of),
+        "cohort_ltv_daily": lambda: marts.cohort_ltv_daily(w.stg_events, w.as_of),
+        "session_depth_daily": lambda: marts.session_depth_daily(w.stg_events, w.as_of, exact=True),
+        "tutorial_funnel_daily": lambda: marts.tutorial_funnel_daily(w.stg_events, w.as_of),
+        "overview_daily": lambda: marts.overview_daily(_ua(w), _eng(w)),
+        "retention_cohorts": lambda: analytics.retention_cohorts(w.stg_events),
+        "game_objects": lambda: w.game_objects,
+    }
+    return builders[name]()
+
+
+def _suite(w: Warehouse, specs, make) -> list[DataFrame]:
+    """One aggregate pass per table for all of its checks of one kind."""
+    by_table: dict[str, list] = {}
+    for spec in specs:
+        by_table.setdefault(spec[0], []).append(make(*spec[1:]))
+    return [quality.table_checks(model(w, t), t, checks) for t, checks in by_table.items()]
+
+
+def _not_null_suite(w: Warehouse) -> list[DataFrame]:
+    return _suite(w, quality.NOT_NULL_TESTS, quality.not_null_check)
+
+
+def _accepted_suite(w: Warehouse) -> list[DataFrame]:
+    return _suite(w, quality.ACCEPTED_VALUES_TESTS, quality.accepted_values_check)
+
+
+def _grain_suite(w: Warehouse) -> list[DataFrame]:
+    return [quality.dq_unique_grain(model(w, t), t, list(keys), sev) for t, keys, sev in quality.GRAIN_TESTS]
+
+
+def _range_suite(w: Warehouse) -> list[DataFrame]:
+    return _suite(w, quality.RANGE_TESTS, quality.accepted_range_check)
+
+
+def _rules(w: Warehouse) -> dict[str, DataFrame]:
+    ua, iap, ltv = model(w, "ua_performance_daily"), model(w, "iap_arpdau_daily"), model(w, "cohort_ltv_daily")
+    return {
+        "dq_no_future_dates": quality.dq_no_future_dates(
+            {t: (model(w, t), c) for t, c in quality.DATED_MARTS}, w.as_of),
+        "dq_no_negative_revenue": quality.dq_no_negative_revenue(ua, iap, ltv),
+        "dq_arpdau_consistent": quality.dq_arpdau_consistent(iap),
+        "dq_ltv_elapsed": quality.dq_ltv_elapsed(ltv, w.as_of),
+    }
+
+
+QUERIES["dq_not_null"] = lambda w: quality.dq_summary(_not_null_suite(w))
+QUERIES["dq_accepted_values"] = lambda w: quality.dq_summary(_accepted_suite(w))
+QUERIES["dq_unique_grain"] = lambda w: quality.dq_summary(_grain_suite(w))
+QUERIES["dq_accepted_range"] = lambda w: quality.dq_summary(_range_suite(w))
+QUERIES["dq_source_freshness"] = lambda w: quality.dq_source_freshness(w.raw_adjust, "adjust_report", "day", w.as_of)
+QUERIES["dq_no_future_dates"] = lambda w: _rules(w)["dq_no_future_dates"]
+QUERIES["dq_no_negative_revenue"] = lambda w: _rules(w)["dq_no_negative_revenue"]
+QUERIES["dq_arpdau_consistent"] = lambda w: _rules(w)["dq_arpdau_consistent"]
+QUERIES["dq_ltv_elapsed"] = lambda w: _rules(w)["dq_ltv_elapsed"]
+
+
+@query("dq_summary")
+def q_dq_summary(w: Warehouse) -> DataFrame:
+    parts = _not_null_suite(w) + _accepted_suite(w) + _grain_suite(w) + _range_suite(w)
+    parts += [quality.rows_as_summary(df, k, k.removeprefix("dq_")) for k, df in _rules(w).items()]
+    return quality.dq_summary(parts)
+
+
+ROW_COUNT_TABLES = ("stg_events", "ua_performance_daily", "engagement_daily", "creative_performance_daily",
+                    "ua_funnel_daily", "iap_arpdau_daily", "cohort_ltv_daily", "tutorial_funnel_daily",
+                    "game_objects")
+
+
+@query("row_counts_by_day")
+def q_row_counts_by_day(w: Warehouse) -> DataFrame:
+    return quality.row_counts_by_day({t: model(w, t) for t in ROW_COUNT_TABLES}, w.as_of)

@@ -10,6 +10,7 @@ its table materialisation; later models then read it with partition pruning.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from functools import cached_property
 
@@ -22,11 +23,28 @@ from playmart.operators import staging
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF):
+    _shared: dict = {}
+    _shared_lock = threading.Lock()
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF,
+                 materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.materialize = materialize
         self._events_override: DataFrame | None = None
+        self._lock = threading.Lock()
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> "Warehouse":
+        """One warehouse per (application, input dir, as_of) whose ``stg_events`` is written once
+        as a table and then read by every model, like the reference's table materialisation."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+        with cls._shared_lock:
+            w = cls._shared.get(key)
+            if w is None:
+                w = cls._shared[key] = cls(spark, sf_dir, as_of, materialize=True)
+            return w
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -73,6 +91,10 @@ class Warehouse:
 
     @property
     def stg_events(self) -> DataFrame:
+        if self._events_override is None and self.materialize:
+            with self._lock:
+                if self._events_override is None:
+                    self.materialize_events()
         if self._events_override is not None:
             return self._events_override
         return self._stg_events_lazy
@@ -88,9 +110,9 @@ class Warehouse:
         if path is None:
             base = ensure_checkpoint_dir(self.spark).rstrip("/")
             path = f"{base}/stg_events-{uuid.uuid4().hex[:8]}"
-        write_table(self._stg_events_lazy, path, partition_by=("event_date",),
-                    cluster_by=("event_name", "user_pseudo_id"))
-        self._events_override = self.spark.read.parquet(path)
+        lazy = self._stg_events_lazy
+        write_table(lazy, path, partition_by=("event_date",), cluster_by=("event_name", "user_pseudo_id"))
+        self._events_override = self.spark.read.schema(lazy.schema).parquet(path).select(*lazy.columns)
         return path
 
     @cached_property
