@@ -469,3 +469,37 @@ ROW_COUNT_TABLES = ("stg_events", "ua_performance_daily", "engagement_daily", "c
 @query("row_counts_by_day")
 def q_row_counts_by_day(w: Warehouse) -> DataFrame:
     return quality.row_counts_by_day({t: model(w, t) for t in ROW_COUNT_TABLES}, w.as_of)
+
+
+# ---- T: streaming -----------------------------------------------------------------------------
+
+from playmart.streaming import events_stream  # noqa: E402
+
+
+def _stream_dirs(w: Warehouse, tag: str) -> dict[str, str]:
+    import uuid
+    from playmart.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:8]}"
+    return {k: f"{base}/{k}" for k in ("landing", "table", "checkpoint")}
+
+
+def _land_today(w: Warehouse, landing: str) -> None:
+    day = w.as_of.strftime("%Y%m%d")
+    snap = w.raw_events.where(F.col("table_suffix") == f"intraday_{day}")
+    events_stream.land_increments(snap, landing)
+
+
+@query("stream_flatten_events")
+def q_stream_flatten_events(w: Warehouse) -> DataFrame:
+    d = _stream_dirs(w, "stream-flatten")
+    _land_today(w, d["landing"])
+    events_stream.stream_flatten_events(w.spark, d["landing"], w.raw_events.schema, d["table"], d["checkpoint"])
+    return events_stream.read_events_table(w.spark, d["table"])
+
+
+@query("stream_snapshot_replace")
+def q_stream_snapshot_replace(w: Warehouse) -> DataFrame:
+    d = _stream_dirs(w, "stream-replace")
+    _land_today(w, d["landing"])
+    events_stream.stream_snapshot_replace(w.spark, d["landing"], w.raw_events.schema, d["table"], d["checkpoint"])
+    return events_stream.read_events_table(w.spark, d["table"])
