@@ -16,7 +16,10 @@ from playmart.functions.columns import IAP_EVENT_NAMES, iap_value_usd, is_iap_re
 from playmart.functions.scans import dense_rank_by_day, segmented_fill, segmented_lag, segmented_running_max
 
 USER = "user_pseudo_id"
-NOT_NOISE = ~F.col("event_name").isin("user_engagement", "screen_change")
+
+
+def _not_noise():
+    return ~F.col("event_name").isin("user_engagement", "screen_change")
 
 
 def level_attribution(df: DataFrame, with_current: bool = True, out: str = "attributed_level") -> DataFrame:
@@ -249,7 +252,7 @@ def iap_overview(events: DataFrame) -> DataFrame:
         F.col(USER).alias("_pu"), F.col("event_timestamp").alias("_pts"))
     paid = paid.withColumn("iap_index", F.dense_rank().over(
         Window.partitionBy("_pu").orderBy("_pts")).cast("bigint")).distinct()
-    e = events.where(NOT_NOISE).select("app_version", USER, "event_date", "event_timestamp", "product_id",
+    e = events.where(_not_noise()).select("app_version", USER, "event_date", "event_timestamp", "product_id",
                                        "price_dollars")
     e = dense_rank_by_day(e)
     j = e.join(paid, (e[USER] == paid._pu) & (e.event_timestamp == paid._pts), "left")
@@ -269,7 +272,7 @@ def level_start_per_user(events: DataFrame) -> DataFrame:
 def max_level_active_day(events: DataFrame) -> DataFrame:
     """Max level per (version, geo, user, date, 0-based active day); the rank is taken over
     all non-noise events, before the test-country filter."""
-    e = events.where(NOT_NOISE).select("app_version", "geo_country", USER, "event_date", "level_id")
+    e = events.where(_not_noise()).select("app_version", "geo_country", USER, "event_date", "level_id")
     e = dense_rank_by_day(e).withColumn("active_day", F.col("active_day") - 1)
     e = e.where(not_test_country() & F.col(USER).isNotNull() & F.col("level_id").isNotNull())
     return e.groupBy("app_version", "geo_country", USER, "event_date", "active_day").agg(

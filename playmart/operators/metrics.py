@@ -222,32 +222,37 @@ def ltv_to_cac(ltv: DataFrame, ua: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Metric:
-    """A ratio metric: sum(numerator) / sum(denominator) over rows of ``source``."""
+    """A ratio metric: sum(numerator) / sum(denominator) over rows of ``source``.
+    Numerator and denominator are SQL expressions over one row of the source mart."""
     source: str
-    numerator: Column
-    denominator: Column
+    num: str
+    den: str
 
+    @property
+    def numerator(self) -> Column:
+        return F.expr(self.num)
 
-def _col(name: str) -> Column:
-    return F.col(name)
+    @property
+    def denominator(self) -> Column:
+        return F.expr(self.den)
 
 
 METRICS: dict[str, Metric] = {
-    "roas": Metric("ua_performance_daily", _col("cohort_revenue"), _col("spend")),
-    "roas_ad": Metric("ua_performance_daily", _col("ad_revenue"), _col("spend")),
-    "roi": Metric("ua_performance_daily", _col("all_revenue") - F.coalesce(_col("spend"), F.lit(0.0)), _col("spend")),
-    "ecpi": Metric("ua_performance_daily", _col("spend"), _col("installs")),
-    "ctr": Metric("ua_performance_daily", _col("clicks"), _col("impressions")),
-    "cvr": Metric("ua_performance_daily", _col("installs"), _col("clicks")),
-    "arpdau_ua": Metric("ua_performance_daily", _col("revenue"), _col("daus")),
-    "iap_share": Metric("ua_performance_daily", _col("revenue"), _col("all_revenue")),
-    "ad_share": Metric("ua_performance_daily", _col("ad_revenue"), _col("all_revenue")),
-    "arpdau": Metric("engagement_daily", _col("total_revenue"), _col("dau")),
-    "arppu": Metric("engagement_daily", _col("iap_revenue"), _col("payers")),
-    "arpdau_iap": Metric("iap_arpdau_daily", _col("iap_revenue"), _col("dau")),
-    "impr_to_click_rate": Metric("ua_funnel_daily", _col("clicks"), _col("impressions")),
-    "click_to_install_rate": Metric("ua_funnel_daily", _col("installs"), _col("clicks")),
-    "install_to_purchase_rate": Metric("ua_funnel_daily", _col("revenue_events"), _col("installs")),
+    "roas": Metric("ua_performance_daily", "cohort_revenue", "spend"),
+    "roas_ad": Metric("ua_performance_daily", "ad_revenue", "spend"),
+    "roi": Metric("ua_performance_daily", "all_revenue - coalesce(spend, 0)", "spend"),
+    "ecpi": Metric("ua_performance_daily", "spend", "installs"),
+    "ctr": Metric("ua_performance_daily", "clicks", "impressions"),
+    "cvr": Metric("ua_performance_daily", "installs", "clicks"),
+    "arpdau_ua": Metric("ua_performance_daily", "revenue", "daus"),
+    "iap_share": Metric("ua_performance_daily", "revenue", "all_revenue"),
+    "ad_share": Metric("ua_performance_daily", "ad_revenue", "all_revenue"),
+    "arpdau": Metric("engagement_daily", "total_revenue", "dau"),
+    "arppu": Metric("engagement_daily", "iap_revenue", "payers"),
+    "arpdau_iap": Metric("iap_arpdau_daily", "iap_revenue", "dau"),
+    "impr_to_click_rate": Metric("ua_funnel_daily", "clicks", "impressions"),
+    "click_to_install_rate": Metric("ua_funnel_daily", "installs", "clicks"),
+    "install_to_purchase_rate": Metric("ua_funnel_daily", "revenue_events", "installs"),
 }
 
 

@@ -405,7 +405,9 @@ def model(w: Warehouse, name: str) -> DataFrame:
         "retention_cohorts": lambda: analytics.retention_cohorts(w.stg_events),
         "game_objects": lambda: w.game_objects,
     }
-    return builders[name]()
+    if name in ("stg_events", "game_objects"):
+        return builders[name]()
+    return w.model_table(name, builders[name])
 
 
 def _suite(w: Warehouse, specs, make) -> list[DataFrame]:

@@ -99,22 +99,46 @@ class Warehouse:
             return self._events_override
         return self._stg_events_lazy
 
+    @cached_property
+    def stg_events_union(self) -> DataFrame:
+        return staging.stg_events_union(self.stg_events_daily, self.stg_events_intraday)
+
     @cached_property
     def _stg_events_lazy(self) -> DataFrame:
-        return staging.stg_events(staging.stg_events_union(self.stg_events_daily, self.stg_events_intraday))
+        return staging.stg_events(self.stg_events_union)
 
-    def materialize_events(self, path: str | None = None) -> str:
-        """Write stg_events once (partitioned by event_date, clustered by name and user) and
-        read it back for every later model. Returns the table path."""
+    def _scratch(self, name: str) -> str:
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+    def _write_and_read(self, df: DataFrame, path: str, partition_by=(), cluster_by=()) -> DataFrame:
         from playmart.sources.sinks import write_table
-        if path is None:
-            base = ensure_checkpoint_dir(self.spark).rstrip("/")
-            path = f"{base}/stg_events-{uuid.uuid4().hex[:8]}"
-        lazy = self._stg_events_lazy
-        write_table(lazy, path, partition_by=("event_date",), cluster_by=("event_name", "user_pseudo_id"))
-        self._events_override = self.spark.read.schema(lazy.schema).parquet(path).select(*lazy.columns)
+        write_table(df, path, partition_by=partition_by, cluster_by=cluster_by)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def materialize_events(self, path: str | None = None) -> str:
+        """Build ``stg_events`` the way the reference schedules it: the flattened daily and
+        intraday shards are written as a table partitioned by event_date, the fill/run scans read
+        that table (so repeated reads in the scan plan are pruned columnar scans, not repeated
+        flattening of the raw export), and the result is written once more, clustered by event
+        name and user. Returns the stg_events table path."""
+        union = self._write_and_read(self.stg_events_union, self._scratch("stg_events_union"),
+                                     partition_by=("event_date",))
+        path = path or self._scratch("stg_events")
+        self._events_override = self._write_and_read(staging.stg_events(union), path, partition_by=("event_date",),
+                                                     cluster_by=("event_name", "user_pseudo_id"))
         return path
 
+    def model_table(self, name: str, build) -> DataFrame:
+        """A mart built once per warehouse when materialising (as the reference's tables are),
+        else the lazy plan."""
+        if not self.materialize:
+            return build()
+        cache = self.__dict__.setdefault("_models", {})
+        with self._lock:
+            if name not in cache:
+                cache[name] = self._write_and_read(build(), self._scratch(name))
+        return cache[name]
+
     @cached_property
     def stg_adjust(self) -> DataFrame:
         return staging.stg_adjust__report(self.raw_adjust)
