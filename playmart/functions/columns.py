@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values that must equal the reference's for right results ---------------------
@@ -95,6 +95,21 @@ def param(params: str | Column, key: str, value_type: str) -> Column:
     return F.get(hit, 0)["value"][f"{value_type}_value"]
 
 
+def params_map(params: str | Column) -> Column:
+    """The entity-attribute-value array as a map key -> value struct, built once per row.
+
+    The array is reversed and the session keeps the last of repeated map keys
+    (``spark.sql.mapKeyDedupPolicy=LAST_WIN``), so a repeated key resolves to its *first*
+    entry, as ``param`` does. Lookups in the map are code-generated; a filter per key is a
+    higher-order function Spark evaluates row by row without codegen."""
+    return F.map_from_entries(F.reverse(_c(params)))
+
+
+def map_param(m: Column, key: str, value_type: str) -> Column:
+    """Typed value of ``key`` from a ``params_map``; NULL when absent."""
+    return m[F.lit(key)][f"{value_type}_value"]
+
+
 def action_value(actions: str | Column, action_type: str) -> Column:
     """Sum of ``value`` over the array elements with the given ``action_type``; NULL if none match."""
     hit = F.filter(_c(actions), lambda a: a["action_type"] == F.lit(action_type))
@@ -102,30 +117,5 @@ def action_value(actions: str | Column, action_type: str) -> Column:
                        lambda acc, a: F.coalesce(acc, F.lit(0.0)) + a["value"].cast("double"))
 
 
-def level_attribution(df, level_col: str = "level_id", user_col: str = "user_pseudo_id",
-                      ts_col: str = "event_timestamp", with_current: bool = True,
-                      out_col: str = "attributed_level"):
-    """Attribute every row to a level: last non-null level up to the row, else (optionally) the
-    row's own level, else the first non-null level from the row on.
-
-    Both windows share one partitioning/order, so Spark plans one exchange and one sort.
-    Adds ``previous_level_id``, ``next_level_id`` and ``out_col``.
-    """
-    w = Window.partitionBy(user_col).orderBy(ts_col)
-    prev = F.last(level_col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first(level_col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    df = df.withColumn("previous_level_id", prev).withColumn("next_level_id", nxt)
-    terms = [F.col("previous_level_id")]
-    if with_current:
-        terms.append(F.col(level_col))
-    terms.append(F.col("next_level_id"))
-    return df.withColumn(out_col, F.coalesce(*terms))
-
-
-def r6(c: str | Column) -> Column:
-    """Round a float output to 6 places so engines agree on the last bits of a sum."""
-    return F.round(_c(c).cast("double"), 6)
-
-
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.functions.columns import TRACKED_EVENT_NAMES, action_value, hash_pii, param
+from playmart.functions.columns import TRACKED_EVENT_NAMES, action_value, hash_pii, map_param, params_map
 from playmart.functions.scans import level_runs
 from playmart.session import AS_OF
 
@@ -79,8 +79,15 @@ def tracked_event_filter(df: DataFrame) -> DataFrame:
 def flatten_events(raw: DataFrame) -> DataFrame:
     """Flatten structs, pivot event_params into typed columns, hash user_id (85 columns).
 
-    Column pruning drops every param expression a downstream model does not read.
+    Column pruning drops every param expression a downstream model does not read. The params
+    array becomes one map per row (``_pm``) and every pivoted column is a map lookup.
     """
+    raw = raw.withColumn("_pm", params_map("event_params"))
+    pm = F.col("_pm")
+
+    def param(_, key, value_type):
+        return map_param(pm, key, value_type)
+
     p = "event_params"
     cols = [
         F.to_date(F.col("event_date"), "yyyyMMdd").alias("event_date"),

@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # event_params -> map: a repeated key keeps one entry instead of failing the job
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.enabled": "false",
 }
 

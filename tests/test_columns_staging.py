@@ -61,3 +61,18 @@ def test_null_users_dropped(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     assert w.stg_events.where(F.col("user_pseudo_id").isNull()).count() == 0
     assert w.stg_events_union.where(F.col("user_pseudo_id").isNull()).count() > 0
+
+
+def test_params_map_first_entry_wins(spark):
+    from playmart.functions.columns import map_param, params_map
+    df = spark.createDataFrame(
+        [([],), ([("level_id", (5, None, None)), ("level_id", (6, None, None))],), (None,)],
+        f"event_params {PARAMS}")
+    got = [r[0] for r in df.select(map_param(params_map("event_params"), "level_id", "int")).collect()]
+    assert got == [None, 5, None]
+
+
+def test_all_dates_spine(spark):
+    d = staging.all_dates(spark)
+    assert d.count() == 458
+    assert d.agg(F.min("date_day"), F.max("date_day")).collect()[0] == (dt.date(2025, 10, 1), dt.date(2027, 1, 1))
