@@ -505,3 +505,72 @@ def q_stream_snapshot_replace(w: Warehouse) -> DataFrame:
     _land_today(w, d["landing"])
     events_stream.stream_snapshot_replace(w.spark, d["landing"], w.raw_events.schema, d["table"], d["checkpoint"])
     return events_stream.read_events_table(w.spark, d["table"])
+
+
+# ---- K: sinks and incremental loads (each writes under the checkpoint folder, returns the table) ---
+
+from playmart.sources import sinks  # noqa: E402
+
+
+def _sink_path(w: Warehouse, tag: str) -> str:
+    import uuid
+    from playmart.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:8]}"
+
+
+@query("write_view")
+def q_write_view(w: Warehouse) -> DataFrame:
+    """K1: a view is a named lazy plan; reading it runs the model."""
+    import uuid
+    name = f"overview_daily_{uuid.uuid4().hex[:8]}"
+    sinks.write_view(marts.overview_daily(_ua(w), _eng(w)), name)
+    return w.spark.table(name)
+
+
+@query("write_table")
+def q_write_table(w: Warehouse) -> DataFrame:
+    """K2: full rebuild of a table partitioned by date, clustered by (app, network, country)."""
+    path = _sink_path(w, "ua_performance_daily")
+    sinks.write_table(_ua(w), path, partition_by=("date",), cluster_by=("app", "network", "country"))
+    return w.spark.read.parquet(path)
+
+
+@query("insert_overwrite_partitions")
+def q_insert_overwrite_partitions(w: Warehouse) -> DataFrame:
+    """K3: full build of iap_arpdau_daily, then the 14-day incremental run replaces only its
+    partitions (twice, to show idempotence). The table equals the full build: the spender
+    segment uses full history, so refreshed partitions carry the same rows."""
+    path = _sink_path(w, "iap_arpdau_daily")
+    sinks.write_table(marts.iap_arpdau_daily(w.stg_events, w.as_of), path, partition_by=("date",))
+    inc = marts.iap_arpdau_daily(w.stg_events, w.as_of, incremental=True)
+    sinks.insert_overwrite_partitions(inc, path, ["date"])
+    sinks.insert_overwrite_partitions(inc, path, ["date"])
+    return w.spark.read.parquet(path)
+
+
+@query("incremental_window")
+def q_incremental_window(w: Warehouse) -> DataFrame:
+    """K4: the UA mart over its 14-day look-back only."""
+    return marts.ua_performance_daily(w.stg_adjust, w.as_of, incremental=True)
+
+
+@query("full_refresh")
+def q_full_refresh(w: Warehouse) -> DataFrame:
+    """K5: an incremental-only table is rebuilt in full by a static overwrite."""
+    path = _sink_path(w, "ua_funnel_daily")
+    sinks.write_table(marts.ua_funnel_daily(w.stg_adjust, w.as_of, incremental=True), path, partition_by=("date",))
+    sinks.write_table(marts.ua_funnel_daily(w.stg_adjust, w.as_of), path, partition_by=("date",))
+    return w.spark.read.parquet(path)
+
+
+@query("append_new_columns")
+def q_append_new_columns(w: Warehouse) -> DataFrame:
+    """K6: partitions older than the look-back were written before ``play_time_per_user`` existed;
+    the evolving read returns NULL for them and the value for the refreshed partitions."""
+    path = _sink_path(w, "engagement_daily")
+    eng = _eng(w)
+    cutoff = F.date_sub(F.lit(w.as_of), marts.MART_LOOKBACK_DAYS)
+    sinks.write_table(eng.where(F.col("date") < cutoff).drop("play_time_per_user"), path, partition_by=("date",))
+    eng_inc = marts.engagement_daily(w.stg_unity, w.as_of, incremental=True)
+    eng_inc.write.mode("append").partitionBy("date").parquet(path)
+    return sinks.read_evolving(w.spark, path)
