@@ -83,11 +83,13 @@ def segmented_lag(df: DataFrame, col: str, out: str, key_col: str = "user_pseudo
 
 
 def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_pseudo_id",
-               ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
+               ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT,
+               keep_segment: bool = False) -> DataFrame:
     """Forward-fill ``level_col`` (overwriting it) and number the runs of equal filled values.
 
     Run ids start at 0 for rows before the first level and grow by one at each change
-    (``IS DISTINCT FROM`` the previous row's filled value). Adds ``level_run_id``.
+    (``IS DISTINCT FROM`` the previous row's filled value). Adds ``level_run_id`` (and keeps the
+    segment column ``_seg`` when ``keep_segment``; the rows stay hash-partitioned on (key, _seg)).
     """
     seg = "_seg"
     d = df.withColumn(seg, segment_of(ts_col, unit))
@@ -114,7 +116,8 @@ def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_
            - F.when(F.col("_ff").isNotNull(), F.col("_continues")).otherwise(0))
     return (d.withColumn(level_col, F.coalesce(F.col("_ff"), F.col("_carry_in")))
              .withColumn("level_run_id", run.cast("bigint"))
-             .drop("_ff", "_start", "_runs_local", "_carry_in", "_continues", "_offset", seg))
+             .drop("_ff", "_start", "_runs_local", "_carry_in", "_continues", "_offset",
+                   *([] if keep_segment else [seg])))
 
 
 def segmented_running_max(df: DataFrame, value_col: str, key_cols: list[str], out: str,

@@ -173,12 +173,25 @@ def event_level_runs(unioned: DataFrame) -> DataFrame:
 
 
 def stg_events(unioned: DataFrame) -> DataFrame:
-    """Unioned events with filled level_id and previous/next distinct level (87 columns)."""
+    """Unioned events with filled level_id and previous/next distinct level (87 columns).
+
+    The wide rows are shuffled once, on (user, hour segment), for the run scan. Run neighbours
+    are computed on the narrow run table and brought back as one map run -> (previous, next) per
+    (user, segment), joined on the partitioning the rows already have, so the 85-column rows
+    are not shuffled a second time. A map holds at most the runs of one user-hour, the same
+    bound as the scan's window partition."""
     user = "user_pseudo_id"
-    d = event_level_runs(unioned)
+    d = level_runs(unioned.where(F.col(user).isNotNull()), keep_segment=True)
     nb = level_neighbors(d).drop("level_id")
-    out = d.join(nb, [user, "level_run_id"], "inner")
-    return out.select(*EVENT_COLUMNS, "previous_level_id", "next_level_id")
+    per_seg = (d.select(user, "_seg", "level_run_id").distinct()
+               .join(nb, [user, "level_run_id"])
+               .groupBy(user, "_seg")
+               .agg(F.map_from_entries(F.collect_list(F.struct(
+                   "level_run_id", F.struct("previous_level_id", "next_level_id")))).alias("_nb")))
+    out = d.join(per_seg, [user, "_seg"])
+    hit = F.col("_nb")[F.col("level_run_id")]
+    return out.select(*EVENT_COLUMNS, hit["previous_level_id"].alias("previous_level_id"),
+                      hit["next_level_id"].alias("next_level_id"))
 
 
 def stg_adjust__report(raw: DataFrame) -> DataFrame:

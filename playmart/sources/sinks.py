@@ -21,12 +21,13 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
     ``cluster_by`` sorts rows inside each file (no extra shuffle) so Parquet row-group min/max
     statistics let later scans skip on those columns, the analogue of warehouse clustering.
-    With ``partition_by`` the data is first hash-distributed by the partition columns so each
-    task writes few files.
+    With ``partition_by`` the rows are rebalanced on the partition columns: AQE groups each
+    date into few tasks (few files per partition) but splits a large date into advisory-size
+    chunks, so one day of data never lands in a single task.
     """
     out = df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        out = out.hint("rebalance", *partition_by)
     if partition_by or cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
     w = out.write.mode(mode)
