@@ -148,3 +148,20 @@ def dense_rank_by_day(df: DataFrame, key_col: str = "user_pseudo_id", day_col: s
     w = Window.partitionBy(key_col).orderBy(day_col)
     ranked = days.withColumn(out, F.row_number().over(w).cast("bigint"))
     return df.join(ranked, [key_col, day_col], "left")
+
+
+def segmented_row_number(df: DataFrame, out: str, key_col: str = "user_pseudo_id",
+                         ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
+    """``out`` = ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts) as BIGINT, for rows with
+    distinct (key, ts): local numbers per (key, segment) plus the count of the key's rows in
+    earlier segments."""
+    seg = "_seg"
+    d = df.withColumn(seg, segment_of(ts_col, unit))
+    w = Window.partitionBy(key_col, seg).orderBy(ts_col)
+    d = d.withColumn("_rn_local", F.row_number().over(w))
+    summary = d.groupBy(key_col, seg).agg(F.count(F.lit(1)).alias("_n"))
+    wu = Window.partitionBy(key_col).orderBy(seg)
+    summary = summary.withColumn("_offset", F.coalesce(F.sum("_n").over(
+        wu.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(key_col, seg, "_offset")
+    d = d.join(summary, [key_col, seg], "left")
+    return d.withColumn(out, (F.col("_offset") + F.col("_rn_local")).cast("bigint")).drop("_rn_local", "_offset", seg)

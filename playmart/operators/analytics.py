@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playmart.functions.columns import IAP_EVENT_NAMES, iap_value_usd, is_iap_revenue_event, not_test_country
-from playmart.functions.scans import dense_rank_by_day, segmented_fill, segmented_lag, segmented_running_max
+from playmart.functions.scans import (dense_rank_by_day, segmented_fill, segmented_lag, segmented_row_number,
+                                      segmented_running_max)
 
 USER = "user_pseudo_id"
 
@@ -249,9 +250,9 @@ def iap_overview(events: DataFrame) -> DataFrame:
     """Event timeline with purchase flag, purchase ordinal and 1-based active day.
     ``user_pseudo_id`` comes from the purchase side (NULL on non-purchase rows), as in the reference."""
     paid = events.where((F.col("price_dollars") > 0) & (F.col("event_name") == "iap_purchase")).select(
-        F.col(USER).alias("_pu"), F.col("event_timestamp").alias("_pts"))
-    paid = paid.withColumn("iap_index", F.dense_rank().over(
-        Window.partitionBy("_pu").orderBy("_pts")).cast("bigint")).distinct()
+        F.col(USER).alias("_pu"), F.col("event_timestamp").alias("_pts")).distinct()
+    # DENSE_RANK by timestamp = row number over the distinct purchase timestamps of the user
+    paid = segmented_row_number(paid, "iap_index", key_col="_pu", ts_col="_pts")
     e = events.where(_not_noise()).select("app_version", USER, "event_date", "event_timestamp", "product_id",
                                        "price_dollars")
     e = dense_rank_by_day(e)

@@ -84,3 +84,13 @@ def test_dense_rank_by_day(spark):
     w = Window.partitionBy("user_pseudo_id").orderBy("event_date")
     plain = df.withColumn("active_day", F.dense_rank().over(w).cast("bigint"))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, dense_rank_by_day(df).collect()))
+
+
+@settings(max_examples=10, deadline=None)
+@given(rows_strategy)
+def test_segmented_row_number_equals_plain_window(spark, raw):
+    from playmart.functions.scans import segmented_row_number
+    df = _frame(spark, _rows(raw)).select("user_pseudo_id", "event_timestamp")
+    w = Window.partitionBy("user_pseudo_id").orderBy("event_timestamp")
+    plain = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, segmented_row_number(df, "rn").collect()))
