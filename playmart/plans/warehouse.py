@@ -33,7 +33,7 @@ class Warehouse:
         self.as_of = as_of
         self.materialize = materialize
         self._events_override: DataFrame | None = None
-        self._lock = threading.Lock()
+        self._lock = threading.RLock()
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> "Warehouse":
@@ -50,27 +50,41 @@ class Warehouse:
         return read_table(self.spark, self.sf_dir, name)
 
     # ---- raw feeds -------------------------------------------------------------------------
+    def _landed(self, name: str, build, partition_by=()) -> DataFrame:
+        """A raw feed. When materialising it is landed once as a Parquet table (as the real
+        exports are stored tables) and read back, so every model scans stored columns instead of
+        re-deriving the feed; otherwise it is the lazy derivation."""
+        if not self.materialize:
+            return build()
+        return self.model_table(f"raw_{name}", build, partition_by=partition_by)
+
     @cached_property
     def raw_events(self) -> DataFrame:
-        return fixtures.raw_ga4_events(self.table("events"), self.as_of)
+        """GA4 export, date-sharded: partitioned by ``table_suffix`` so shard filters prune files."""
+        return self._landed("events", lambda: fixtures.raw_ga4_events(self.table("events"), self.as_of),
+                            partition_by=("table_suffix",))
 
     @cached_property
     def raw_adjust(self) -> DataFrame:
         t = self.table
-        return fixtures.adjust_report(t("lineitem"), t("orders"), t("customer"), t("nation"), t("region"))
+        return self._landed("adjust", lambda: fixtures.adjust_report(
+            t("lineitem"), t("orders"), t("customer"), t("nation"), t("region")), partition_by=("day",))
 
     @cached_property
     def raw_unity(self) -> DataFrame:
         t = self.table
-        return fixtures.unity_analytics_daily(t("orders"), t("customer"), t("nation"), t("region"))
+        return self._landed("unity", lambda: fixtures.unity_analytics_daily(
+            t("orders"), t("customer"), t("nation"), t("region")), partition_by=("day",))
 
     @cached_property
     def raw_meta_ad(self) -> DataFrame:
-        return fixtures.meta_ads_ad_daily(self.table("lineitem"))
+        return self._landed("meta_ad", lambda: fixtures.meta_ads_ad_daily(self.table("lineitem")),
+                            partition_by=("date_start",))
 
     @cached_property
     def raw_meta_campaign(self) -> DataFrame:
-        return fixtures.meta_ads_campaign_daily(self.table("lineitem"))
+        return self._landed("meta_campaign", lambda: fixtures.meta_ads_campaign_daily(self.table("lineitem")),
+                            partition_by=("date_start",))
 
     @cached_property
     def game_objects(self) -> DataFrame:
@@ -128,15 +142,15 @@ class Warehouse:
                                                      cluster_by=("event_name", "user_pseudo_id"))
         return path
 
-    def model_table(self, name: str, build) -> DataFrame:
-        """A mart built once per warehouse when materialising (as the reference's tables are),
+    def model_table(self, name: str, build, partition_by=()) -> DataFrame:
+        """A table built once per warehouse when materialising (as the reference's tables are),
         else the lazy plan."""
         if not self.materialize:
             return build()
         cache = self.__dict__.setdefault("_models", {})
         with self._lock:
             if name not in cache:
-                cache[name] = self._write_and_read(build(), self._scratch(name))
+                cache[name] = self._write_and_read(build(), self._scratch(name), partition_by=partition_by)
         return cache[name]
 
     @cached_property
