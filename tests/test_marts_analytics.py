@@ -106,3 +106,23 @@ def test_level_attribution_coalesce_order(spark):
     got2 = [r.x for r in analytics.level_attribution(df, with_current=False, out="x").orderBy("event_timestamp").collect()]
     assert got2 == [7, 7, 7, 8]
     assert F is not None
+
+
+def test_incremental_equals_full_inside_window(spark, sf_dir):
+    # Q16: for P1, P2, P3, P5, P6, P10 the 14-day incremental rebuild equals the full model there
+    from playmart.plans.warehouse import Warehouse
+    w = Warehouse.shared(spark, sf_dir)
+    cutoff = F.date_sub(F.lit(w.as_of), 14)
+    cases = [
+        (marts.ua_performance_daily, w.stg_adjust, "date"),
+        (marts.engagement_daily, w.stg_unity, "date"),
+        (marts.iap_arpdau_daily, w.stg_events, "date"),
+        (marts.creative_performance_daily, w.stg_meta_ad, "date"),
+        (marts.ua_funnel_daily, w.stg_adjust, "date"),
+        (marts.tutorial_funnel_daily, w.stg_events, "date"),
+    ]
+    for fn, src, col in cases:
+        full = fn(src, w.as_of).where(F.col(col) >= cutoff)
+        inc = fn(src, w.as_of, incremental=True)
+        assert inc.count() > 0
+        assert full.exceptAll(inc).count() == 0 and inc.exceptAll(full).count() == 0, fn.__name__
