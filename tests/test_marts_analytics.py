@@ -126,3 +126,24 @@ def test_incremental_equals_full_inside_window(spark, sf_dir):
         inc = fn(src, w.as_of, incremental=True)
         assert inc.count() > 0
         assert full.exceptAll(inc).count() == 0 and inc.exceptAll(full).count() == 0, fn.__name__
+
+
+def test_mart_invariants(spark, sf_dir):
+    from playmart.plans.warehouse import Warehouse
+    w = Warehouse.shared(spark, sf_dir)
+    # LTV grid: every cohort cell has one row per fully elapsed day, at most 31
+    ltv = marts.cohort_ltv_daily(w.stg_events, w.as_of)
+    cells = ltv.groupBy("cohort_date", "geo_country", "app_version").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "expected", F.least(F.lit(31), F.datediff(F.lit(w.as_of), F.col("cohort_date"))))
+    assert cells.where(F.col("n") != F.col("expected")).count() == 0
+    # spend reconciles: the mart's total equals the staging total
+    ua = marts.ua_performance_daily(w.stg_adjust, w.as_of)
+    a = ua.agg(F.sum("spend")).collect()[0][0]
+    b = w.stg_adjust.agg(F.sum("cost")).collect()[0][0]
+    assert abs(a - b) < 1e-6 * max(1.0, abs(b))
+    # overview keeps every (date, platform, country) of both sides
+    eng = marts.engagement_daily(w.stg_unity, w.as_of)
+    ov = marts.overview_daily(ua, eng).select("date", "platform", "country").distinct()
+    for side in (ua, eng):
+        keys = side.select("date", "platform", "country").distinct()
+        assert keys.join(ov, ["date", "platform", "country"], "left_anti").count() == 0
