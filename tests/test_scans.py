@@ -94,3 +94,32 @@ def test_segmented_row_number_equals_plain_window(spark, raw):
     w = Window.partitionBy("user_pseudo_id").orderBy("event_timestamp")
     plain = df.withColumn("rn", F.row_number().over(w).cast("bigint"))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, segmented_row_number(df, "rn").collect()))
+
+
+def test_wide_rows_never_shuffled_by_user_alone(spark, sf_dir):
+    """Plan property behind the hot-player design: in stg_events the wide rows are exchanged only
+    on (user, segment); exchanges keyed by the user alone carry narrow summary rows."""
+    from playmart.operators import staging
+    from playmart.plans.warehouse import Warehouse
+    w = Warehouse(spark, sf_dir)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        union = spark.createDataFrame([], w.stg_events_union.schema)
+        plan = staging.stg_events(union)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+    def walk(n, acc):
+        acc.append(n)
+        it = n.children().iterator()
+        while it.hasNext():
+            walk(it.next(), acc)
+        return acc
+
+    exchanges = [n for n in walk(plan, []) if n.nodeName().startswith("Exchange")]
+    wide = [n for n in exchanges if n.output().size() > 20]
+    assert len(wide) == 1
+    assert "_seg" in wide[0].outputPartitioning().toString()
