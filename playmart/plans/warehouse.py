@@ -1,10 +1,10 @@
 """One object per input directory that wires raw feeds -> staging -> marts lazily.
 
 Nothing here runs an action: every property is a lazy DataFrame whose plan Catalyst optimises
-end to end (column pruning reaches the Parquet scans). ``materialize_events()`` cuts the
-lineage of the one expensive shared table, ``stg_events``, by writing it as a Parquet table
-partitioned by ``event_date`` under the shared checkpoint folder, as the reference does with
-its table materialisation; later models then read it with partition pruning.
+end to end (column pruning reaches the Parquet scans). In materialising
+mode the raw feeds are landed once as stored tables and ``stg_events`` (the one expensive shared
+table) is written partitioned by ``event_date`` under the shared checkpoint folder, as the
+reference materialises it; later models read it with partition pruning.
 """
 
 from __future__ import annotations
@@ -130,15 +130,13 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def materialize_events(self, path: str | None = None) -> str:
-        """Build ``stg_events`` the way the reference schedules it: the flattened daily and
-        intraday shards are written as a table partitioned by event_date, the fill/run scans read
-        that table (so repeated reads in the scan plan are pruned columnar scans, not repeated
-        flattening of the raw export), and the result is written once more, clustered by event
-        name and user. Returns the stg_events table path."""
-        union = self._write_and_read(self.stg_events_union, self._scratch("stg_events_union"),
-                                     partition_by=("event_date",))
+        """Build ``stg_events`` the way the reference schedules it, as a table rebuilt before the
+        marts: written once partitioned by event_date and clustered by event name and user, then
+        read back by every model. Its input is the landed raw export (a stored table), so the
+        scan plan's narrow re-reads only decode the few parameters they need and a lost executor
+        recomputes from storage. Returns the stg_events table path."""
         path = path or self._scratch("stg_events")
-        self._events_override = self._write_and_read(staging.stg_events(union), path, partition_by=("event_date",),
+        self._events_override = self._write_and_read(self._stg_events_lazy, path, partition_by=("event_date",),
                                                      cluster_by=("event_name", "user_pseudo_id"))
         return path
 
