@@ -53,7 +53,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
              .withColumn("open", F.col("total") - F.coalesce(F.sum("cap").over(below), F.lit(0.0)))
              .withColumn("level", F.col("open") / F.sum("weight").over(upto))
              .withColumn("fits", F.col("level") * F.col("weight") <= F.col("cap"))
-             .withColumn("level", F.min(F.when(F.col("fits"), F.col("level"))).over(whole)))
+             .withColumn("level", F.max(F.when(F.col("fits"), F.col("level"))).over(whole)))
     target = F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))
     return (level.withColumn("target", target)
             .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
@@ -123,7 +123,7 @@ lvl AS (
   FROM src a, src b GROUP BY a.source),
 tgt AS (
   SELECT source, source_size,
-         least(2.0 * source_size, (SELECT min(level) FROM lvl WHERE level <= reach) * weight) AS target
+         least(2.0 * source_size, (SELECT max(level) FROM lvl WHERE level <= reach) * weight) AS target
   FROM src),
 rate AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM tgt),
