@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, mixing, quality
+from . import bpe, fingerprints, kd_sharding, mixing, quality
 
 QUERIES = {
+    "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_kd_shards": kd_sharding.op3_kd_shards,
     "op4_line_labels": quality.op4_line_labels,
     "op7_bpe_codec": bpe.op7_bpe_codec,
     "pipeline": corpus_pipeline.run,
