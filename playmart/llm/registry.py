@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, kd_sharding, mixing, quality
+from . import bpe, fingerprints, kd_sharding, language_id, mixing, quality
 
 QUERIES = {
     "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_kd_shards": kd_sharding.op3_kd_shards,
     "op4_line_labels": quality.op4_line_labels,
+    "op6_hd_language_id": language_id.op6_hd_language_id,
     "op7_bpe_codec": bpe.op7_bpe_codec,
     "pipeline": corpus_pipeline.run,
 }
