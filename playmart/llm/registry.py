@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, html_extraction, kd_sharding, language_id, mixing, quality
+from . import bpe, fingerprints, html_extraction, kd_sharding, language_id, mixing, quality, recompression
 
 QUERIES = {
     "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
@@ -13,6 +13,7 @@ QUERIES = {
     "op4_line_labels": quality.op4_line_labels,
     "op6_hd_language_id": language_id.op6_hd_language_id,
     "op7_bpe_codec": bpe.op7_bpe_codec,
+    "op9_recompression_dedup": recompression.op9_recompression_dedup,
     "op10_site_style_tree": html_extraction.op10_site_style_tree,
     "pipeline": corpus_pipeline.run,
 }
