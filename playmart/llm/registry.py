@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, html_extraction, kd_sharding, language_id, mixing, quality, recompression
+from . import bpe, fingerprints, html_extraction, kd_sharding, language_id, mixing, quality, recompression, suffix_dedup
 
 QUERIES = {
     "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_kd_shards": kd_sharding.op3_kd_shards,
     "op4_line_labels": quality.op4_line_labels,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_hd_language_id": language_id.op6_hd_language_id,
     "op7_bpe_codec": bpe.op7_bpe_codec,
     "op9_recompression_dedup": recompression.op9_recompression_dedup,

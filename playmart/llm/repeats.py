@@ -33,11 +33,17 @@ CLAIM = "did long, th int, g long, u long, s int, n int, o int, want boolean"
 KEY = ["did", "th"]
 
 
+def key_columns() -> dict:
+    """did and th of a document row (columns doc_id, text)."""
+    text = F.coalesce("text", F.lit(""))
+    return {"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
+            "th": F.shiftrightunsigned(F.xxhash64(text), 33).cast("int")}
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """did, th and the text (null reads as empty)."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"),
-                       F.shiftrightunsigned(F.xxhash64(text), 33).cast("int").alias("th"), text.alias("text"))
+    k = key_columns()
+    return docs.select(k["did"].alias("did"), k["th"].alias("th"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def settle(claims: DataFrame, rule: str, name: str, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
