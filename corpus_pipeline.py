@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmart.llm import bpe, mixing, quality
+from playmart.llm import bpe, jaccard_join, mixing, quality, suffix_dedup
 from playmart.llm.common import documents, stored
 
 
@@ -19,8 +19,10 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality.filter_quality),
-    ("mixing", mixing.mix),
-    ("bpe", tokenise),
+    ("ngram_jaccard_join", jaccard_join.dedup_stage),
+    ("suffix_array_dedup", suffix_dedup.dedup_stage),
+    ("source_mixing", mixing.mix),
+    ("byte_level_bpe", tokenise),
 ]
 
 #: Line labels, components and long repeats are not expressible in SQL; see tests/llm/test_pipeline.py.

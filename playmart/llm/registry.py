@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, html_extraction, kd_sharding, language_id, mixing, quality, recompression, suffix_dedup
+from . import bpe, fingerprints, html_extraction, jaccard_join, kd_sharding, language_id, mixing, quality, recompression, suffix_dedup
 
 QUERIES = {
     "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
@@ -14,6 +14,7 @@ QUERIES = {
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_hd_language_id": language_id.op6_hd_language_id,
     "op7_bpe_codec": bpe.op7_bpe_codec,
+    "op8_trie_jaccard_join": jaccard_join.op8_trie_jaccard_join,
     "op9_recompression_dedup": recompression.op9_recompression_dedup,
     "op10_site_style_tree": html_extraction.op10_site_style_tree,
     "pipeline": corpus_pipeline.run,
