@@ -21,14 +21,23 @@ from pyspark.sql import functions as F
 SEGMENT_UNIT = "hour"
 
 
+def total_order(df: DataFrame, ts_col: str) -> Column:
+    """One total order of rows: the timestamp, then the event name where there is one, then a hash of
+    the whole row. Every window and every first/last aggregate of a scan uses it, so rows with equal
+    timestamps have the same order everywhere (rows equal in all columns are interchangeable)."""
+    names = df.columns
+    tie = [F.col("event_name")] if "event_name" in names else []
+    return F.struct(F.col(ts_col), *tie, F.xxhash64(*(F.col(c) for c in names)).alias("_h"))
+
+
 def segment_of(ts_col: str, unit: str = SEGMENT_UNIT) -> Column:
     """Time bucket of the ordering column; ordered like the column itself."""
     return F.date_trunc(unit, F.col(ts_col))
 
 
-def _first_last_nonnull(value_col: str, ts_col: str):
+def _first_last_nonnull(value_col: str):
     v = F.col(value_col)
-    order = F.when(v.isNotNull(), F.col(ts_col))
+    order = F.when(v.isNotNull(), F.col("_ord"))
     return F.min_by(v, order), F.max_by(v, order)
 
 
@@ -39,14 +48,14 @@ def segmented_fill(df: DataFrame, value_col: str, key_col: str = "user_pseudo_id
     ``next_out`` = first non-null ``value_col`` at or after the row, per ``key_col`` in ``ts_col``
     order. Keys must be non-null (callers drop NULL users first)."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit))
-    w = Window.partitionBy(key_col, seg).orderBy(ts_col)
+    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    w = Window.partitionBy(key_col, seg).orderBy("_ord")
     d = d.withColumn("_prev_local", F.last(value_col, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
     if next_out:
         d = d.withColumn("_next_local", F.first(value_col, ignorenulls=True).over(
             w.rowsBetween(0, Window.unboundedFollowing)))
-    first_v, last_v = _first_last_nonnull(value_col, ts_col)
+    first_v, last_v = _first_last_nonnull(value_col)
     summary = d.groupBy(key_col, seg).agg(first_v.alias("_seg_first"), last_v.alias("_seg_last"))
     wu = Window.partitionBy(key_col).orderBy(seg)
     summary = summary.withColumn("_carry_in", F.last("_seg_last", ignorenulls=True).over(
@@ -58,7 +67,7 @@ def segmented_fill(df: DataFrame, value_col: str, key_col: str = "user_pseudo_id
         cols.append("_carry_out")
     d = d.join(summary.select(*cols), [key_col, seg], "left")
     d = d.withColumn(prev_out, F.coalesce(F.col("_prev_local"), F.col("_carry_in")))
-    drop = ["_prev_local", "_carry_in", seg]
+    drop = ["_prev_local", "_carry_in", "_ord", seg]
     if next_out:
         d = d.withColumn(next_out, F.coalesce(F.col("_next_local"), F.col("_carry_out")))
         drop += ["_next_local", "_carry_out"]
@@ -71,53 +80,72 @@ def segmented_lag(df: DataFrame, col: str, out: str, key_col: str = "user_pseudo
 
     ``col`` must be non-decreasing with ``ts_col`` within a key (it is ``ts_col`` itself in use)."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit))
-    w = Window.partitionBy(key_col, seg).orderBy(ts_col)
+    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    w = Window.partitionBy(key_col, seg).orderBy("_ord")
     d = d.withColumn("_lag_local", F.lag(col).over(w))
-    summary = d.groupBy(key_col, seg).agg(F.max_by(F.col(col), F.col(ts_col)).alias("_seg_last"))
+    summary = d.groupBy(key_col, seg).agg(F.max_by(F.col(col), F.col("_ord")).alias("_seg_last"))
     wu = Window.partitionBy(key_col).orderBy(seg)
     summary = summary.withColumn("_carry_in", F.lag("_seg_last").over(wu)).select(key_col, seg, "_carry_in")
     d = d.join(summary, [key_col, seg], "left")
     return d.withColumn(out, F.coalesce(F.col("_lag_local"), F.col("_carry_in"))).drop(
-        "_lag_local", "_carry_in", seg)
+        "_lag_local", "_carry_in", "_ord", seg)
 
 
 def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_pseudo_id",
-               ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT,
-               keep_segment: bool = False) -> DataFrame:
-    """Forward-fill ``level_col`` (overwriting it) and number the runs of equal filled values.
+               ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
+    """Forward-fill ``level_col`` (overwriting it), number the runs of equal filled values and add
+    the levels of the neighbouring runs.
 
     Run ids start at 0 for rows before the first level and grow by one at each change
-    (``IS DISTINCT FROM`` the previous row's filled value). Adds ``level_run_id`` (and keeps the
-    segment column ``_seg`` when ``keep_segment``; the rows stay hash-partitioned on (key, _seg)).
+    (``IS DISTINCT FROM`` the previous row's filled value). Adds ``level_run_id``,
+    ``previous_level_id`` and ``next_level_id``.
+
+    One wide exchange on (key, segment): inside a segment one window gives the fill, the run number
+    and the neighbours that lie in the segment. What crosses a segment's edge comes from one narrow
+    row per segment: its first two and last two run levels and its number of runs.
     """
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit))
-    w = Window.partitionBy(key_col, seg).orderBy(ts_col)
-    d = d.withColumn("_ff", F.last(level_col, ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("_start", F.when(F.col("_ff").eqNullSafe(F.lag("_ff").over(w)), 0).otherwise(1))
-    # The first row of a segment sees a NULL lag; a NULL fill there is not a run start.
-    d = d.withColumn("_start", F.when(F.col("_ff").isNull(), 0).otherwise(F.col("_start")))
-    d = d.withColumn("_runs_local", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    first_v, last_v = _first_last_nonnull(level_col, ts_col)
-    summary = d.groupBy(key_col, seg).agg(first_v.alias("_seg_first"), last_v.alias("_seg_last"),
-                                          F.max("_runs_local").alias("_seg_runs"))
+    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    w = Window.partitionBy(key_col, seg).orderBy("_ord")
+    upto, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1, Window.unboundedFollowing)
+    ff = F.col("_ff")
+    d = d.withColumn("_ff", F.last(level_col, ignorenulls=True).over(upto))
+    d = d.withColumn("_before", F.lag("_ff").over(w))
+    # a NULL fill (before the segment's first level) starts no run
+    d = d.withColumn("_start", ff.isNotNull() & ~ff.eqNullSafe(F.col("_before")))
+    d = d.withColumn("_run", F.sum(F.col("_start").cast("int")).over(upto))
+    d = d.withColumn("_prev_local", F.last(F.when(F.col("_start"), F.col("_before")), ignorenulls=True).over(upto))
+    d = d.withColumn("_next_local", F.first(F.when(F.col("_start"), ff), ignorenulls=True).over(after))
+
+    level_of_run = lambda r: F.max(F.when(F.col("_start") & (F.col("_run") == r), ff))
+    summary = d.groupBy(key_col, seg).agg(
+        level_of_run(1).alias("_first"), level_of_run(2).alias("_second"), F.max("_run").alias("_n"),
+        F.max_by("_ff", F.struct("_run", ff.isNotNull())).alias("_last"),
+        F.max_by("_prev_local", F.struct("_run", ff.isNotNull())).alias("_last_but_one"))
     wu = Window.partitionBy(key_col).orderBy(seg)
-    summary = summary.withColumn("_carry_in", F.last("_seg_last", ignorenulls=True).over(
-        wu.rowsBetween(Window.unboundedPreceding, -1)))
-    # The segment's first level continues the carried-in run when it equals the carried value.
-    summary = summary.withColumn("_continues", F.when(
-        F.col("_seg_first").isNotNull() & (F.col("_seg_first") == F.col("_carry_in")), 1).otherwise(0))
-    summary = summary.withColumn("_offset", F.coalesce(F.sum(F.col("_seg_runs") - F.col("_continues")).over(
-        wu.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(summary.select(key_col, seg, "_carry_in", "_continues", "_offset"), [key_col, seg], "left")
-    run = (F.col("_offset") + F.col("_runs_local")
-           - F.when(F.col("_ff").isNotNull(), F.col("_continues")).otherwise(0))
-    return (d.withColumn(level_col, F.coalesce(F.col("_ff"), F.col("_carry_in")))
-             .withColumn("level_run_id", run.cast("bigint"))
-             .drop("_ff", "_start", "_runs_local", "_carry_in", "_continues", "_offset",
-                   *([] if keep_segment else [seg])))
+    earlier = wu.rowsBetween(Window.unboundedPreceding, -1)
+    later = wu.rowsBetween(1, Window.unboundedFollowing)
+    summary = summary.withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
+    # the segment's first run goes on with the carried-in one when it has the same level
+    summary = summary.withColumn("_continues", F.coalesce(F.col("_first") == F.col("_carry"), F.lit(False)))
+    summary = summary.withColumn("_offset", F.coalesce(F.sum(F.col("_n") - F.col("_continues").cast("int")).over(earlier), F.lit(0)))
+    # level before the one carried in: set where a segment ends in another run than it began with
+    ended = F.when(F.col("_n") >= 2, F.col("_last_but_one")).when((F.col("_n") == 1) & ~F.col("_continues"), F.col("_carry"))
+    summary = summary.withColumn("_carry_prev", F.last(ended, ignorenulls=True).over(earlier))
+    # first level in the segment that differs from the carried-in one, and the same of later segments
+    summary = summary.withColumn("_change", F.when(F.col("_continues"), F.col("_second")).otherwise(F.col("_first")))
+    summary = summary.withColumn("_carry_next", F.first("_change", ignorenulls=True).over(later))
+    d = d.join(summary.select(key_col, seg, "_carry", "_continues", "_offset", "_carry_prev", "_change", "_carry_next"),
+               [key_col, seg], "left")
+    carried = ff.isNull()  # the row belongs to the run carried in
+    first_run = F.col("_run") == 1
+    run = F.col("_offset") + F.col("_run") - F.when(carried, 0).otherwise(F.col("_continues").cast("int"))
+    previous = (F.when(carried | (first_run & F.col("_continues")), F.col("_carry_prev"))
+                .when(first_run, F.col("_carry")).otherwise(F.col("_prev_local")))
+    following = F.when(carried, F.coalesce("_change", "_carry_next")).otherwise(F.coalesce("_next_local", "_carry_next"))
+    out = {level_col: F.coalesce(ff, F.col("_carry")), "level_run_id": run.cast("bigint"),
+           "previous_level_id": previous, "next_level_id": following}
+    return d.withColumns(out).select(*df.columns, *(c for c in out if c not in df.columns))
 
 
 def segmented_running_max(df: DataFrame, value_col: str, key_cols: list[str], out: str,
@@ -129,7 +157,7 @@ def segmented_running_max(df: DataFrame, value_col: str, key_cols: list[str], ou
     d = df.withColumn(seg, segment_of(ts_col, unit))
     order = [ts_col] + ([tie_col] if tie_col else [])
     w = Window.partitionBy(*key_cols, seg).orderBy(*order)
-    d = d.withColumn("_local", F.max(value_col).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("_local", F.max(value_col).over(w.rangeBetween(Window.unboundedPreceding, 0)))  # ties see each other
     summary = d.groupBy(*key_cols, seg).agg(F.max(value_col).alias("_seg_max"))
     wu = Window.partitionBy(*key_cols).orderBy(seg)
     summary = summary.withColumn("_carry", F.max("_seg_max").over(
@@ -152,16 +180,15 @@ def dense_rank_by_day(df: DataFrame, key_col: str = "user_pseudo_id", day_col: s
 
 def segmented_row_number(df: DataFrame, out: str, key_col: str = "user_pseudo_id",
                          ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
-    """``out`` = ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts) as BIGINT, for rows with
-    distinct (key, ts): local numbers per (key, segment) plus the count of the key's rows in
+    """``out`` = ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts, total order) as BIGINT: local numbers per (key, segment) plus the count of the key's rows in
     earlier segments."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit))
-    w = Window.partitionBy(key_col, seg).orderBy(ts_col)
+    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    w = Window.partitionBy(key_col, seg).orderBy("_ord")
     d = d.withColumn("_rn_local", F.row_number().over(w))
     summary = d.groupBy(key_col, seg).agg(F.count(F.lit(1)).alias("_n"))
     wu = Window.partitionBy(key_col).orderBy(seg)
     summary = summary.withColumn("_offset", F.coalesce(F.sum("_n").over(
         wu.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(key_col, seg, "_offset")
     d = d.join(summary, [key_col, seg], "left")
-    return d.withColumn(out, (F.col("_offset") + F.col("_rn_local")).cast("bigint")).drop("_rn_local", "_offset", seg)
+    return d.withColumn(out, (F.col("_offset") + F.col("_rn_local")).cast("bigint")).drop("_rn_local", "_offset", "_ord", seg)

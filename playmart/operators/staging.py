@@ -141,27 +141,24 @@ def stg_events_intraday(raw: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
 def stg_events_union(daily: DataFrame, intraday: DataFrame) -> DataFrame:
     """Daily UNION ALL intraday by column name.
 
-    Intraday rows are only kept for dates that have no finalized rows yet, so a day present in
-    both feeds is counted once. The set of finalized dates is one row per calendar day, which
-    bounds the broadcast.
+    ``intraday`` holds one date (S8). Its rows count only while that date has no finalized rows:
+    the daily side is asked for just the dates of the intraday snapshot, so the check reads the
+    partitions of one day and not the whole export a second time.
     """
     cols = list(EVENT_COLUMNS)
-    daily_dates = daily.select("event_date").distinct()
-    fresh = intraday.join(F.broadcast(daily_dates), "event_date", "left_anti")
+    days = intraday.select("event_date").distinct()  # one row per snapshot day
+    finalized = daily.select("event_date").join(F.broadcast(days), "event_date", "left_semi").distinct()
+    fresh = intraday.join(F.broadcast(finalized), "event_date", "left_anti")
     return daily.select(*cols).unionByName(fresh.select(*cols))
 
 
 def level_neighbors(runs: DataFrame, user: str = "user_pseudo_id") -> DataFrame:
     """One row per (user, run) with the run's level and the previous/next run's level.
 
-    Run ids are consecutive per user, so the neighbours are equi-joins on (user, run id +- 1):
-    no per-user window, and a user with many runs is spread over many tasks."""
-    r = runs.groupBy(user, "level_run_id").agg(F.max("level_id").alias("level_id"))
-    prev = r.select(user, (F.col("level_run_id") + 1).alias("level_run_id"),
-                    F.col("level_id").alias("previous_level_id"))
-    nxt = r.select(user, (F.col("level_run_id") - 1).alias("level_run_id"),
-                   F.col("level_id").alias("next_level_id"))
-    return r.join(prev, [user, "level_run_id"], "left").join(nxt, [user, "level_run_id"], "left")
+    All rows of a run carry the same three values (``event_level_runs``), so this is one
+    pre-aggregated grouping."""
+    return runs.groupBy(user, "level_run_id").agg(
+        *(F.max(c).alias(c) for c in ("level_id", "previous_level_id", "next_level_id")))
 
 
 def event_level_runs(unioned: DataFrame) -> DataFrame:
@@ -175,23 +172,9 @@ def event_level_runs(unioned: DataFrame) -> DataFrame:
 def stg_events(unioned: DataFrame) -> DataFrame:
     """Unioned events with filled level_id and previous/next distinct level (87 columns).
 
-    The wide rows are shuffled once, on (user, hour segment), for the run scan. Run neighbours
-    are computed on the narrow run table and brought back as one map run -> (previous, next) per
-    (user, segment), joined on the partitioning the rows already have, so the 85-column rows
-    are not shuffled a second time. A map holds at most the runs of one user-hour, the same
-    bound as the scan's window partition."""
-    user = "user_pseudo_id"
-    d = level_runs(unioned.where(F.col(user).isNotNull()), keep_segment=True)
-    nb = level_neighbors(d).drop("level_id")
-    per_seg = (d.select(user, "_seg", "level_run_id").distinct()
-               .join(nb, [user, "level_run_id"])
-               .groupBy(user, "_seg")
-               .agg(F.map_from_entries(F.collect_list(F.struct(
-                   "level_run_id", F.struct("previous_level_id", "next_level_id")))).alias("_nb")))
-    out = d.join(per_seg, [user, "_seg"])
-    hit = F.col("_nb")[F.col("level_run_id")]
-    return out.select(*EVENT_COLUMNS, hit["previous_level_id"].alias("previous_level_id"),
-                      hit["next_level_id"].alias("next_level_id"))
+    The wide rows are exchanged once, on (user, hour segment); what crosses segments is joined from
+    one narrow row per segment on the partitioning the rows already have (``scans.level_runs``)."""
+    return event_level_runs(unioned).select(*EVENT_COLUMNS, "previous_level_id", "next_level_id")
 
 
 def stg_adjust__report(raw: DataFrame) -> DataFrame:
