@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_view(df: DataFrame, name: str) -> DataFrame:
@@ -16,7 +17,7 @@ def write_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+                cluster_by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = False) -> None:
     """K2/K5: full rebuild of a Parquet table.
 
     ``cluster_by`` sorts rows inside each file (no extra shuffle) so Parquet row-group min/max
@@ -30,7 +31,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         out = out.hint("rebalance", *partition_by)
     if partition_by or cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
-    w = out.write.mode(mode)
+    # an option of this one write: other writers of the session keep their own mode
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -43,14 +45,7 @@ def insert_overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence
     Idempotent: running the same batch twice leaves the same table. A partition whose rows all
     vanished from the new batch is not touched (it stays stale), like the reference's strategy.
     """
-    spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        write_table(df, path, partition_by=partition_by, cluster_by=cluster_by, mode="overwrite")
-    finally:
-        spark.conf.set(key, old)
+    write_table(df, path, partition_by=partition_by, cluster_by=cluster_by, dynamic=True)
 
 
 def incremental_window(df: DataFrame, date_col: str, as_of: _dt.date, days: int,
@@ -62,10 +57,15 @@ def incremental_window(df: DataFrame, date_col: str, as_of: _dt.date, days: int,
     return df.where(F.col(date_col) >= F.date_sub(F.lit(as_of), days))
 
 
-def lookback_predicate(date_col: str, as_of: _dt.date, days: int) -> Column:
-    return F.col(date_col) >= F.date_sub(F.lit(as_of), days)
+def append_new_columns(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """K6: load partitions that may have more columns than the table's older ones.
 
+    The same partition overwrite as K3, so a second run of the batch leaves the same table."""
+    insert_overwrite_partitions(df, path, partition_by)
 
-def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """K6: read a table whose later partitions gained columns; older rows read NULL for them."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+
+def read_evolving(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a table with its current ``schema``; partitions written before a column existed give NULL.
+
+    The schema is declared, so no file footers are read to merge one."""
+    return spark.read.schema(schema).parquet(path)

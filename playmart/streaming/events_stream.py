@@ -6,10 +6,10 @@ latest snapshot. As streams:
 * T1 ``stream_flatten_events``: files landing in a folder are flattened with the same Column
   functions as the batch staging model and appended to a partitioned Parquet table
   (stateless; ``availableNow`` processes whatever has landed, then stops).
-* T2 ``stream_snapshot_replace``: each micro-batch only tells *which dates* changed; the batch
-  function re-reads everything landed for those dates and replaces exactly those partitions
-  (dynamic partition overwrite). Rewriting a partition from the micro-batch alone would lose the
-  rows of that day that arrived in earlier batches.
+* T2 ``stream_snapshot_replace``: every landing is a full snapshot of a day so far, kept under
+  ``event_date=/snapshot_ts=``. A micro-batch only tells *which dates* changed; the batch function
+  reads the newest snapshot folder of those dates (pruned by both folder levels, older snapshots
+  and other dates are not opened) and replaces exactly those partitions.
 
 Both are restartable: progress lives in the checkpoint location, and T2's writes are idempotent
 (a replayed batch rewrites the same partitions with the same rows).
@@ -17,9 +17,11 @@ Both are restartable: progress lives in the checkpoint location, and T2's writes
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from playmart.operators.staging import EVENT_COLUMNS, flatten_events, tracked_event_filter
 from playmart.sources.sinks import insert_overwrite_partitions
@@ -45,18 +47,39 @@ def stream_flatten_events(spark: SparkSession, landing_dir: str, schema: StructT
     q.awaitTermination()
 
 
+def land_snapshot(raw: DataFrame, landing_dir: str, snapshot_ts: str) -> None:
+    """Test harness: land one full snapshot of the day(s) in ``raw`` (``snapshot_ts`` sorts by time)."""
+    (raw.withColumn("snapshot_ts", F.lit(snapshot_ts)).write.mode("append")
+     .partitionBy("event_date", "snapshot_ts").parquet(landing_dir))
+
+
+def latest_snapshots(landed: DataFrame, dates: list[str]) -> DataFrame:
+    """Rows of the newest snapshot of each of ``dates``. Both filters are on partition columns."""
+    some = landed.where(F.col("event_date").isin(dates))
+    newest = some.groupBy("event_date").agg(F.max("snapshot_ts").alias("ts")).collect()  # one row per touched day
+    keep = F.lit(False)
+    for r in newest:
+        keep = keep | ((F.col("event_date") == r["event_date"]) & (F.col("snapshot_ts") == r["ts"]))
+    return some.where(keep).drop("snapshot_ts")
+
+
 def stream_snapshot_replace(spark: SparkSession, landing_dir: str, schema: StructType, table_dir: str,
-                            checkpoint_dir: str, files_per_batch: int = 1) -> None:
-    """For every micro-batch, replace the partitions of the dates it touched with the full
-    flattened content landed so far for those dates."""
+                            checkpoint_dir: str, as_of: _dt.date | None = None, files_per_batch: int = 1000) -> None:
+    """For every micro-batch, replace the partitions of the dates it touched with the newest
+    snapshot of those dates. With ``as_of`` only that day's rows count, as in the batch model (S8)."""
+    landed_schema = StructType([*schema.fields, StructField("snapshot_ts", StringType())])
+    today = as_of and as_of.strftime("%Y%m%d")
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        dates = batch.select("event_date").distinct()  # one row per touched day
-        landed = spark.read.schema(schema).parquet(landing_dir)
-        full = landed.join(F.broadcast(dates), "event_date", "left_semi")
-        insert_overwrite_partitions(flatten_events(tracked_event_filter(full)), table_dir, ["event_date"])
-
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_dir)
+        dates = [r[0] for r in batch.select("event_date").distinct().collect()]  # one row per touched day
+        if today:
+            dates = [d for d in dates if d == today]
+        if dates:
+            landed = spark.read.schema(landed_schema).parquet(landing_dir)
+            full = latest_snapshots(landed, dates).select(*schema.names)
+            insert_overwrite_partitions(flatten_events(tracked_event_filter(full)), table_dir, ["event_date"])
+
+    src = spark.readStream.schema(landed_schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_dir)
     q = (src.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -83,13 +83,33 @@ def test_insert_overwrite_is_partition_scoped_and_idempotent(spark, tmp_root):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
-def test_append_new_columns_reads_null_for_old_rows(spark, tmp_root):
+def test_append_new_columns_is_idempotent_and_reads_null_for_old_rows(spark, tmp_root):
     path = os.path.join(tmp_root, "k6")
     spark.createDataFrame([(dt.date(2024, 1, 1), 1)], "d date, v int").write.partitionBy("d").parquet(path)
-    spark.createDataFrame([(dt.date(2024, 1, 2), 2, 9.5)], "d date, v int, extra double").write.mode(
-        "append").partitionBy("d").parquet(path)
-    rows = {r.v: r.extra for r in sinks.read_evolving(spark, path).collect()}
-    assert rows == {1: None, 2: 9.5}
+    new = spark.createDataFrame([(dt.date(2024, 1, 2), 2, 9.5)], "d date, v int, extra double")
+    for _ in range(2):
+        sinks.append_new_columns(new, path, ["d"])
+        rows = sorted((r.v, r.extra) for r in sinks.read_evolving(spark, path, new.schema).collect())
+        assert rows == [(1, None), (2, 9.5)]
+
+
+def test_two_writers_in_one_session(spark, tmp_root):
+    """A full rebuild and a partition load at the same time: neither changes the other's mode."""
+    from concurrent.futures import ThreadPoolExecutor
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    base = spark.createDataFrame([(d, 0) for d in days], "d date, v int")
+    a, b = (os.path.join(tmp_root, f"writers-{k}") for k in "ab")
+    for p in (a, b):
+        sinks.write_table(base, p, partition_by=("d",))
+    part = spark.createDataFrame([(days[0], 7)], "d date, v int")
+    with ThreadPoolExecutor(4) as pool:
+        for _ in range(3):
+            jobs = [pool.submit(sinks.insert_overwrite_partitions, part, a, ["d"]),
+                    pool.submit(sinks.write_table, base, b, ("d",))]
+            for j in jobs:
+                j.result()
+    assert _read(spark, a) == [(days[0], 7), *((d, 0) for d in days[1:])]
+    assert _read(spark, b) == [(d, 0) for d in days]
 
 
 def test_incremental_window(spark):
