@@ -66,18 +66,18 @@ def boosters_usage(events: DataFrame, game_objects: DataFrame) -> DataFrame:
 
 
 def _new_player_versions(events: DataFrame) -> DataFrame:
-    """(app_version, user) of every new_player row, not de-duplicated: a repeated new_player
-    multiplies the joined rows, as in the reference."""
-    return _named(events, "new_player").select("app_version", USER)
+    """(app_version, user, times): a new_player row that repeats multiplies amounts joined to it, as
+    in the reference; counting it first keeps one row per (version, user) in the join."""
+    return _named(events, "new_player").groupBy("app_version", USER).agg(F.count("*").alias("_times"))
 
 
 def _coins_log(events: DataFrame, version_from_new_player: bool) -> DataFrame:
-    nu = _new_player_versions(events).select(F.col("app_version").alias("_nv"), F.col(USER).alias("_nu"))
+    nu = _new_player_versions(events).select(F.col("app_version").alias("_nv"), F.col(USER).alias("_nu"), "_times")
     e = _named(events, "currency_earned", "currency_spent", "level_started").where(not_test_country())
     e = e.join(nu, (F.col(USER) == F.col("_nu")) & (F.col("app_version") == F.col("_nv")), "inner")
     e = e.select(F.col("_nv").alias("app_version") if version_from_new_player else "app_version",
                  "geo_country", USER, "event_date", "event_timestamp", "event_name", "level_id",
-                 "currency_type", "reason", "amount")
+                 "currency_type", "reason", (F.col("amount") * F.col("_times")).alias("amount"))
     e = level_attribution(e, out="_lvl")
     return e.where((F.col("currency_type") == "Coins")
                    & F.col("event_name").isin("currency_earned", "currency_spent"))
@@ -274,17 +274,18 @@ def max_level_active_day(events: DataFrame) -> DataFrame:
     """Max level per (version, geo, user, date, 0-based active day); the rank is taken over
     all non-noise events, before the test-country filter."""
     e = events.where(_not_noise()).select("app_version", "geo_country", USER, "event_date", "level_id")
-    e = dense_rank_by_day(e).withColumn("active_day", F.col("active_day") - 1)
-    e = e.where(not_test_country() & F.col(USER).isNotNull() & F.col("level_id").isNotNull())
-    return e.groupBy("app_version", "geo_country", USER, "event_date", "active_day").agg(
-        F.max("level_id").alias("max_level_day"))
+    days = dense_rank_by_day(e.select(USER, "event_date").distinct()).withColumn("active_day", F.col("active_day") - 1)
+    best = (e.where(not_test_country() & F.col(USER).isNotNull() & F.col("level_id").isNotNull())
+            .groupBy("app_version", "geo_country", USER, "event_date").agg(F.max("level_id").alias("max_level_day")))
+    return best.join(days, [USER, "event_date"]).select("app_version", "geo_country", USER, "event_date", "active_day",
+                                                        "max_level_day")
 
 
 def retention_abandonment_rate(events: DataFrame) -> DataFrame:
     """Per (new_player version, completion date, level): completers, the previous level's
     completers, the pool at level 60000 and abandoned = max(previous - current, 0)."""
-    nu = _new_player_versions(events).withColumnRenamed(USER, "_nu")
-    c = _named(events, "level_completed").select(USER, "event_date", "level_id")
+    nu = _new_player_versions(events).select("app_version", F.col(USER).alias("_nu"))
+    c = _named(events, "level_completed").select(USER, "event_date", "level_id").distinct()
     lc = c.join(nu, c[USER] == nu._nu).groupBy("app_version", F.col("event_date").alias("cohort_date"),
                                                "level_id").agg(F.countDistinct(USER).alias("users_completed"))
     pool = lc.where(F.col("level_id") == 60000).select("app_version", "cohort_date",

@@ -93,17 +93,16 @@ def iap_arpdau_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bo
     seg = spender_lookup(events)
     e = events.where(F.col("user_pseudo_id").isNotNull() & not_test_country())
     e = incremental_window(e, "event_date", as_of, MART_LOOKBACK_DAYS, incremental)
-    e = e.join(seg, "user_pseudo_id", "left").select(
-        "event_date", F.coalesce("geo_country", F.lit("unknown")).alias("geo_country"),
-        F.coalesce("app_version", F.lit("unknown")).alias("app_version"),
-        F.coalesce("spender_segment", F.lit("non_spender")).alias("spender_segment"),
-        "user_pseudo_id", "event_name", "event_value_in_usd", "price_dollars")
     rev = F.when(F.col("event_name").isin(*IAP_EVENT_NAMES), iap_value_usd()).otherwise(F.lit(0.0))
-    g = e.groupBy(F.col("event_date").alias("date"), "geo_country", "app_version", "spender_segment").agg(
-        F.countDistinct("user_pseudo_id").alias("dau"),
-        F.sum(rev).alias("iap_revenue"),
-        F.count_if(is_iap_revenue_event()).alias("iap_transactions"),
-    )
+    # one row per user and day before the segment is joined: events are combined in the map tasks
+    e = e.groupBy(F.col("event_date").alias("date"), F.coalesce("geo_country", F.lit("unknown")).alias("geo_country"),
+                  F.coalesce("app_version", F.lit("unknown")).alias("app_version"), "user_pseudo_id").agg(
+        F.sum(rev).alias("revenue"), F.count_if(is_iap_revenue_event()).alias("transactions"))
+    e = e.join(seg, "user_pseudo_id", "left")
+    g = e.groupBy("date", "geo_country", "app_version",
+                  F.coalesce("spender_segment", F.lit("non_spender")).alias("spender_segment")).agg(
+        F.count("*").alias("dau"), F.sum("revenue").alias("iap_revenue"),
+        F.sum("transactions").alias("iap_transactions"))
     return g.withColumn("arpdau_iap", safe_divide(F.col("iap_revenue"), F.col("dau")))
 
 

@@ -192,11 +192,13 @@ def dau_and_revenue(events: DataFrame) -> DataFrame:
     """Daily active users, paying users and IAP revenue."""
     e = events.where(~F.col("event_name").isin(*NOISE3))
     paid = (F.col("event_name") == "iap_purchase") & (F.col("price_dollars") > 0)
-    return e.groupBy("event_date").agg(
-        F.countDistinct("user_pseudo_id").alias("dau"),
-        F.countDistinct(F.when(paid, F.col("user_pseudo_id"))).alias("paying_users"),
-        F.sum(F.when(F.col("event_name") == "iap_purchase", F.col("price_dollars")).otherwise(F.lit(0.0)))
-         .alias("daily_revenue"))
+    users = e.groupBy("event_date", "user_pseudo_id").agg(  # one row per user and day, so no distinct counts below
+        F.max(F.coalesce(paid, F.lit(False))).alias("paid"),
+        F.sum(F.when(F.col("event_name") == "iap_purchase", F.col("price_dollars")).otherwise(F.lit(0.0))).alias("revenue"))
+    return users.groupBy("event_date").agg(
+        F.count("user_pseudo_id").alias("dau"),
+        F.count_if(F.col("paid") & F.col("user_pseudo_id").isNotNull()).alias("paying_users"),
+        F.sum("revenue").alias("daily_revenue"))
 
 
 def ltv_to_cac(ltv: DataFrame, ua: DataFrame) -> DataFrame:
