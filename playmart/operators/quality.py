@@ -205,7 +205,7 @@ NOT_NULL_TESTS = (
     ("tutorial_funnel_daily", "date", None), ("tutorial_funnel_daily", "app_version", None),
     ("tutorial_funnel_daily", "geo_country", None), ("tutorial_funnel_daily", "platform", None),
     ("tutorial_funnel_daily", "tutorial_id", None),
-    ("retention_cohorts", "cohort_date", None),
+    ("retention_cohorts", "cohort_date", None), ("overview_daily", "date", None),
 )
 SPENDER = ("spender", "non_spender")
 ACCEPTED_VALUES_TESTS = (
@@ -217,7 +217,7 @@ ACCEPTED_VALUES_TESTS = (
     ("retention_cohorts", "spender_segment", SPENDER, None),
 )
 GRAIN_TESTS = (
-    ("ua_performance_daily", ("date", "app", "platform", "country", "network", "campaign"), "error"),
+    ("ua_performance_daily", ("date", "app", "platform", "country", "network", "campaign", "campaign_id"), "error"),
     ("engagement_daily", ("date", "country", "platform"), "error"),
     ("creative_performance_daily", ("date", "account_id", "campaign_id", "adset_id", "ad_id"), "error"),
     ("ua_funnel_daily", ("date", "app", "platform", "country", "network", "campaign"), "error"),

@@ -404,8 +404,9 @@ def model(w: Warehouse, name: str) -> DataFrame:
         "overview_daily": lambda: marts.overview_daily(_ua(w), _eng(w)),
         "retention_cohorts": lambda: analytics.retention_cohorts(w.stg_events),
         "game_objects": lambda: w.game_objects,
+        "level_upgrade_recommendations": lambda: w.level_upgrade_recommendations,
     }
-    if name in ("stg_events", "game_objects"):
+    if name in ("stg_events", "game_objects", "level_upgrade_recommendations"):
         return builders[name]()
     return w.model_table(name, builders[name])
 
@@ -458,14 +459,20 @@ QUERIES["dq_ltv_elapsed"] = lambda w: _rules(w)["dq_ltv_elapsed"]
 
 @query("dq_summary")
 def q_dq_summary(w: Warehouse) -> DataFrame:
-    parts = _not_null_suite(w) + _accepted_suite(w) + _grain_suite(w) + _range_suite(w)
+    checks: dict[str, list] = {}  # every column check of a table in one aggregate over it
+    for specs, make in ((quality.NOT_NULL_TESTS, quality.not_null_check),
+                        (quality.ACCEPTED_VALUES_TESTS, quality.accepted_values_check),
+                        (quality.RANGE_TESTS, quality.accepted_range_check)):
+        for table, *spec in specs:
+            checks.setdefault(table, []).append(make(*spec))
+    parts = [quality.table_checks(model(w, t), t, c) for t, c in checks.items()] + _grain_suite(w)
     parts += [quality.rows_as_summary(df, k, k.removeprefix("dq_")) for k, df in _rules(w).items()]
     return quality.dq_summary(parts)
 
 
 ROW_COUNT_TABLES = ("stg_events", "ua_performance_daily", "engagement_daily", "creative_performance_daily",
-                    "ua_funnel_daily", "iap_arpdau_daily", "cohort_ltv_daily", "tutorial_funnel_daily",
-                    "game_objects")
+                    "ua_funnel_daily", "iap_arpdau_daily", "cohort_ltv_daily", "session_depth_daily",
+                    "tutorial_funnel_daily", "retention_cohorts", "game_objects", "level_upgrade_recommendations")
 
 
 @query("row_counts_by_day")
@@ -502,8 +509,14 @@ def q_stream_flatten_events(w: Warehouse) -> DataFrame:
 @query("stream_snapshot_replace")
 def q_stream_snapshot_replace(w: Warehouse) -> DataFrame:
     d = _stream_dirs(w, "stream-replace")
-    _land_today(w, d["landing"])
-    events_stream.stream_snapshot_replace(w.spark, d["landing"], w.raw_events.schema, d["table"], d["checkpoint"])
+    today = w.raw_events.where(F.col("table_suffix") == f"intraday_{w.as_of:%Y%m%d}")
+    run = lambda: events_stream.stream_snapshot_replace(
+        w.spark, d["landing"], w.raw_events.schema, d["table"], d["checkpoint"], w.as_of)
+    # the morning's snapshot is replaced by the day's, not added to it
+    events_stream.land_snapshot(today.where(F.hour(F.timestamp_micros("event_timestamp")) < 12), d["landing"], "01")
+    run()
+    events_stream.land_snapshot(today, d["landing"], "02")
+    run()
     return events_stream.read_events_table(w.spark, d["table"])
 
 
@@ -572,5 +585,6 @@ def q_append_new_columns(w: Warehouse) -> DataFrame:
     cutoff = F.date_sub(F.lit(w.as_of), marts.MART_LOOKBACK_DAYS)
     sinks.write_table(eng.where(F.col("date") < cutoff).drop("play_time_per_user"), path, partition_by=("date",))
     eng_inc = marts.engagement_daily(w.stg_unity, w.as_of, incremental=True)
-    eng_inc.write.mode("append").partitionBy("date").parquet(path)
-    return sinks.read_evolving(w.spark, path)
+    sinks.append_new_columns(eng_inc, path, ["date"])
+    sinks.append_new_columns(eng_inc, path, ["date"])  # a second run leaves the same table
+    return sinks.read_evolving(w.spark, path, eng.schema)

@@ -108,7 +108,7 @@ def raw_ga4_events(events: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
         F.when(name == "iap_purchase", _kv("price_gems", int_v=k)),
         F.when(is_iap, _kv("product_id", str_v=F.concat(F.lit("prod_"), (k % 4).cast("string")))),
         F.when(is_iap, _kv("item_name", str_v=F.concat(F.lit("prod_"), (k % 4).cast("string")))),
-        F.when(name == "booster_used", _kv("booster_id", int_v=100 + k % 5)),
+        F.when(name == "booster_used", _kv("booster_id", int_v=F.floor(F.col("event_id") / 5) + 1)),
         F.when(name == "staff_level_purchase", _kv("staff_id", int_v=110 + k % 5)),
         F.when(name == "staff_level_purchase", _kv("staff_level", int_v=1 + eid % 10)),
         F.when(name == "object_level_purchase", _kv("object_id", int_v=120 + k % 5)),
@@ -180,19 +180,19 @@ def raw_ga4_events(events: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
 
 
 def game_objects(part: DataFrame) -> DataFrame:
-    """Sheet lookup (object_id, object_name): 24 rows; id 124 is missing on purpose."""
-    return part.where(F.col("p_partkey").between(100, 123)).select(
+    """Sheet lookup (object_id, object_name): all parts but every 25th, which is missing on purpose."""
+    return part.where(F.col("p_partkey") % 25 != 24).select(
         F.col("p_partkey").alias("object_id"), F.col("p_name").alias("object_name"))
 
 
 def level_upgrade_recommendations(part: DataFrame) -> DataFrame:
-    """Sheet lookup (level_id, item_id, upgrade_level)."""
+    """Sheet lookup (level_id, item_id, upgrade_level): the distinct recommendations of all parts."""
     pk = F.col("p_partkey")
-    return part.where(pk < 60).select(
+    return part.select(
         (60000 + pk % 10).alias("level_id"),
         (F.when(pk % 2 == 0, F.lit(110)).otherwise(F.lit(120)) + pk % 5).cast("bigint").alias("item_id"),
         (1 + F.col("p_size") % 10).cast("bigint").alias("upgrade_level"),
-    )
+    ).distinct()
 
 
 # Adjust report columns the staging model passes through, by type; the ones the fixture
