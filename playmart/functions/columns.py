@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values that must equal the reference's for right results ---------------------
@@ -36,7 +36,7 @@ TRACKED_EVENT_NAMES = (
 IAP_EVENT_NAMES = ("iap_purchase", "in_app_purchase")
 
 # Salt for PII hashing: taken from the environment, with a marked non-production default.
-PII_SALT_DEFAULT = "LOCAL_DEV_SALT_DO_NOT_USE_IN_PROD"
+PII_SALT_DEFAULT = "playmart-local-runs-only"
 
 # Test traffic excluded by most models.
 TEST_COUNTRY = "Croatia"
@@ -48,7 +48,14 @@ NOISE_EVENTS = ("user_engagement", "screen_change", "screen_view")
 
 
 def pii_salt() -> str:
-    return os.environ.get("PLAYMART_PII_SALT", PII_SALT_DEFAULT)
+    """The salt of the environment; the default is for local runs (and the in-process test cluster) only."""
+    salt = os.environ.get("PLAYMART_PII_SALT")
+    if salt is None:
+        spark = SparkSession.getActiveSession()
+        if spark is not None and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set PLAYMART_PII_SALT: account ids are not hashed with the default salt on a cluster")
+        salt = PII_SALT_DEFAULT
+    return salt
 
 
 def safe_divide(num: Column, den: Column) -> Column:

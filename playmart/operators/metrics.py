@@ -262,8 +262,8 @@ def metric_rollup(df: DataFrame, metrics: list[str], dims: list[str]) -> DataFra
     """Any ratio metric by any dimension list, as sum(numerator) / sum(denominator).
 
     All metrics must come from the same source mart (``df``). One aggregate, no AVG of a rate.
-    Note ``roi``'s numerator is ``all_revenue - spend`` per row, i.e. sum(all_revenue) - sum(spend)
-    over rows with spend (the mart's own definition subtracts sums)."""
+    ``roi``'s numerator is ``all_revenue - coalesce(spend, 0)`` per row, i.e. sum(all_revenue) over all
+    rows minus sum(spend), as in the mart's own definition."""
     sources = {METRICS[m].source for m in metrics}
     if len(sources) != 1:
         raise ValueError(f"metrics come from different marts: {sorted(sources)}")

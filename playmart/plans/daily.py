@@ -1,8 +1,8 @@
 """The daily build: raw feeds -> stg_events -> marts -> data-quality gate.
 
-The reference runs ``dbt build`` after 06:00 UTC: staging first, then every mart with its
-look-back (14 days; 44 for LTV) replaced by insert-overwrite, then the data tests. This is the
-same schedule as one Spark job: ``full=True`` rebuilds every table; otherwise each mart rewrites
+After the day's feeds have landed: staging first, then every mart with its look-back (14 days; 44 for LTV)
+replaced by partition overwrite, then the models that are rebuilt in full, then the data tests, as one
+Spark job: ``full=True`` rebuilds every table; otherwise each mart rewrites
 only the partitions its incremental window produces. Every write is idempotent, so a failed or
 repeated run is simply run again.
 """
@@ -13,7 +13,7 @@ import datetime as _dt
 
 from pyspark.sql import SparkSession
 
-from playmart.operators import marts, quality
+from playmart.operators import analytics, marts, quality
 from playmart.plans.warehouse import Warehouse
 from playmart.session import AS_OF
 from playmart.sources.sinks import insert_overwrite_partitions, write_table
@@ -38,11 +38,43 @@ MARTS = {
                               "date", ("tutorial_id", "app_version", "geo_country")),
 }
 
+# models without a look-back, rebuilt in full from the marts or the events
+FULL = {
+    "overview_daily": lambda w, t: marts.overview_daily(t["ua_performance_daily"], t["engagement_daily"]),
+    **{name: (lambda w, t, f=getattr(analytics, name): f(w.stg_events)) for name in (
+        "retention_cohorts", "avg_time_spent", "coins_balance", "coins_balance_level", "coins_earned_failed",
+        "coins_earned_won", "coins_earned_won_count", "coins_failed_count", "completed_players", "fail_rate",
+        "fail_reasons", "fails_count", "tries_count", "iap_ltv", "iap_overview", "level_start_per_user",
+        "max_level_active_day", "retention_abandonment_rate")},
+    **{name: (lambda w, t, f=getattr(analytics, name): f(w.stg_events, w.game_objects)) for name in (
+        "boosters_usage", "earned_spent_analysis", "upgrades_level")},
+    "upgrades_analysis": lambda w, t: analytics.upgrades_analysis(w.stg_events, w.level_upgrade_recommendations),
+}
+
+
+def gate(tables: dict, raw_adjust, as_of: _dt.date) -> list:
+    """All declared tests as summary rows: one aggregate per table for its column checks, one per grain,
+    the business rules and the feed's freshness."""
+    checks: dict[str, list] = {}
+    for specs, make in ((quality.NOT_NULL_TESTS, quality.not_null_check),
+                        (quality.ACCEPTED_VALUES_TESTS, quality.accepted_values_check),
+                        (quality.RANGE_TESTS, quality.accepted_range_check)):
+        for table, *spec in specs:
+            checks.setdefault(table, []).append(make(*spec))
+    parts = [quality.table_checks(tables[t], t, c) for t, c in checks.items()]
+    parts += [quality.dq_unique_grain(tables[t], t, list(keys), sev) for t, keys, sev in quality.GRAIN_TESTS]
+    ua, iap, ltv = (tables[k] for k in ("ua_performance_daily", "iap_arpdau_daily", "cohort_ltv_daily"))
+    rules = {"dq_no_future_dates": quality.dq_no_future_dates({t: (tables[t], c) for t, c in quality.DATED_MARTS}, as_of),
+             "dq_no_negative_revenue": quality.dq_no_negative_revenue(ua, iap, ltv),
+             "dq_arpdau_consistent": quality.dq_arpdau_consistent(iap), "dq_ltv_elapsed": quality.dq_ltv_elapsed(ltv, as_of),
+             "dq_source_freshness": quality.dq_source_freshness(raw_adjust, "adjust_report", "day", as_of).where("status = 'error'")}
+    return parts + [quality.rows_as_summary(df, k, k.removeprefix("dq_")) for k, df in rules.items()]
+
 
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date = AS_OF,
               full: bool = False, check: bool = True) -> dict[str, str]:
-    """Build every mart under ``out_dir`` and return {mart: path}. With ``check`` the declared
-    column tests run against the written marts and an ``error`` failure raises."""
+    """Build every mart and model under ``out_dir`` and return {name: path}. With ``check`` all declared
+    tests run against the written tables and an ``error`` failure raises."""
     w = Warehouse(spark, sf_dir, as_of, materialize=True)
     paths = {}
     for name, (build, part, cluster) in MARTS.items():
@@ -53,17 +85,11 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date =
         else:
             insert_overwrite_partitions(df, path, [part], cluster_by=cluster)
         paths[name] = path
+    tables = {name: spark.read.parquet(p) for name, p in paths.items()}
+    for name, build in FULL.items():
+        paths[name] = f"{out_dir.rstrip('/')}/{name}"
+        write_table(build(w, tables), paths[name])
+        tables[name] = spark.read.parquet(paths[name])
     if check:
-        tables = {name: spark.read.parquet(p) for name, p in paths.items()}
-        parts = []
-        for t, c, where in quality.NOT_NULL_TESTS:
-            if t in tables:
-                parts.append(quality.dq_not_null(tables[t], t, c, where))
-        for t, keys, sev in quality.GRAIN_TESTS:
-            if t in tables:
-                parts.append(quality.dq_unique_grain(tables[t], t, list(keys), sev))
-        for t, c, lo, hi, sev in quality.RANGE_TESTS:
-            if t in tables:
-                parts.append(quality.dq_accepted_range(tables[t], t, c, lo, hi, sev))
-        quality.assert_clean(quality.dq_summary(parts))
+        quality.assert_clean(quality.dq_summary(gate(tables | {"stg_events": w.stg_events}, w.raw_adjust, as_of)))
     return paths
