@@ -34,10 +34,10 @@ SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
 
 FEATURES = ("bias", "symbols>0", "symbols>=30%", "upper>=50%", "upper>=90%", "distinct<50%", "distinct<20%",
-            "bars>=20%", "shouts>=30%", "digits>=30%", "repeated line", "no end mark", "words<4", "words>=12",
+            "bars>=20%", "shouts>=30%", "digits>=30%", "repeated line", "words<4", "words>=12",
             "letters<50%")
 #: Emission weights (content minus boilerplate) and transitions before any training.
-PRIOR = (np.array([1.5, -1.0, -2.0, -1.0, -1.5, -1.0, -1.5, -2.0, -2.0, -0.5, -0.7, -0.2, -0.3, 0.6, -1.5]),
+PRIOR = (np.array([1.5, -1.0, -2.0, -1.0, -1.5, -1.0, -1.5, -2.0, -2.0, -0.5, -0.7, -0.3, 0.6, -1.5]),
          np.array([[0.5, -0.5], [-0.5, 0.5]]))
 
 
@@ -94,7 +94,6 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     seen: set[str] = set()
     again = [line in seen or seen.add(line) is not None for line in lines]
     distinct = np.array([len(set(w)) for w in words])
-    ended = np.array([w[-1][-1] in b".!?\"')]" if w else True for w in words])
     cls = char_classes()[np.frombuffer((text + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
     size = np.array([len(line) + 1 for line in lines])
     starts = np.cumsum(size) - size
@@ -106,7 +105,7 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     rows = np.stack([has, symbols > 0, symbols >= 0.3 * n, (cased > 0) & (upper >= 0.5 * cased),
                      (cased > 0) & (upper >= 0.9 * cased), (n > 3) & (distinct < 0.5 * n),
                      (n > 3) & (distinct < 0.2 * n), bars >= 0.2 * n, shouts >= 0.3 * n, digits >= 0.3 * chars,
-                     np.array(again), ~ended, n < 4, n >= 12, letters < 0.5 * chars], 1)
+                     np.array(again), n < 4, n >= 12, letters < 0.5 * chars], 1)
     return rows[has].astype(np.float64), n[has]
 
 
