@@ -5,7 +5,7 @@ dimension (range of the node over range of the corpus) at a weighted quantile, s
 get the bytes their leaves are due, until every leaf has its target: the shards.
 
 The medians are distributed: a coordinate (20 bits of the dimension, then 28 bits of the text hash
-as tie-break) is found digit by digit. Each round sums weights per (node, 16-bit digit) with
+as tie-break) is found digit by digit. Each round sums weights per (node, 12-bit digit) with
 map-side aggregation and picks the digit that crosses the goal, so no task ever sorts a node's rows
 and the driver receives one row per node.
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .common import documents, shuffle_partitions, stored
 
 SHARDS = 8
-DIGIT, DIGITS, TIE = 16, 3, 28
+DIGIT, DIGITS, TIE = 12, 4, 28
 HEAVY = 16
 
 
@@ -77,9 +77,15 @@ def _bins(rows: DataFrame) -> tuple[list[Column], int]:
     return cols, r["w"] or 0
 
 
+def by_node(values: dict) -> Column:
+    """The value of the row's node (one entry a node)."""
+    if not values:
+        return F.lit(None)
+    return F.element_at(F.create_map(*(F.lit(x) for kv in values.items() for x in kv)), F.col("node"))
+
+
 def split_level(rows: DataFrame, nodes: dict[int, tuple[int, int]], targets: list[float]) -> DataFrame:
     """One level of the tree: ``node`` -> 2*node or 2*node+1 for the nodes of two or more leaves."""
-    spark = rows.sparkSession
     wide = {r["node"]: r for r in rows.groupBy("node").agg(
         F.sum("size").alias("w"), *((F.max(f"b{i}") - F.min(f"b{i}")).alias(f"w{i}") for i in range(3))).collect()}
     state = {}
@@ -89,35 +95,30 @@ def split_level(rows: DataFrame, nodes: dict[int, tuple[int, int]], targets: lis
             due, left = sum(targets[lo:hi]), sum(targets[lo:mid])
             dim = max(range(3), key=lambda i: (wide[n][f"w{i}"], -i))
             state[n] = {"dim": dim, "goal": wide[n]["w"] * (left / due if due else 0.5), "prefix": 0, "below": 0.0}
-    total_bits = DIGIT * DIGITS
-    small = lambda cols, data: F.broadcast(spark.createDataFrame(data, cols))  # noqa: E731  one row per node
     coord = F.col("b0")
+    dim = by_node({n: s["dim"] for n, s in state.items()})
     for i in (1, 2):
-        coord = F.when(F.col("dim") == i, F.col(f"b{i}")).otherwise(coord)
+        coord = F.when(dim == i, F.col(f"b{i}")).otherwise(coord)
     coord = F.shiftleft(coord, TIE) + F.shiftrightunsigned("k1", 64 - TIE)
     if state:
-        keyed = (rows.join(small("node int, dim int", [(n, s["dim"]) for n, s in state.items()]), "node")
-                 .select("node", "size", coord.alias("coord")))
+        keyed = rows.where(F.col("node").isin(list(state))).select("node", "size", coord.alias("coord"))
         for digit in range(DIGITS):
-            shift = total_bits - DIGIT * (digit + 1)
-            prefix = small("node int, prefix long", [(n, s["prefix"]) for n, s in state.items()])
-            sums = (keyed.join(prefix, "node").where(F.shiftright("coord", shift + DIGIT) == F.col("prefix"))
+            shift = DIGIT * (DIGITS - digit - 1)
+            prefix = by_node({n: s["prefix"] for n, s in state.items()})
+            sums = (keyed.where(F.shiftright("coord", shift + DIGIT) == prefix)
                     .groupBy("node", F.shiftright("coord", shift).alias("at")).agg(F.sum("size").alias("w")))
-            w = Window.partitionBy("node").orderBy("at")
-            goals = small("node int, need double", [(n, s["goal"] - s["below"]) for n, s in state.items()])
-            found = (sums.join(goals, "node").withColumn("upto", F.sum("w").over(w))
-                     .withColumn("last", F.lead("at").over(w).isNull())
-                     .where((F.col("upto") >= F.col("need")) | F.col("last"))
+            w = Window.partitionBy("node").orderBy("at")  # at most 2**DIGIT rows a node
+            need = by_node({n: float(s["goal"] - s["below"]) for n, s in state.items()})
+            found = (sums.withColumn("upto", F.sum("w").over(w)).withColumn("last", F.lead("at").over(w).isNull())
+                     .where((F.col("upto") >= need) | F.col("last"))
                      .groupBy("node").agg(F.min(F.struct("at", "upto", "w")).alias("x")).collect())
             for r in found:
                 s = state[r["node"]]
                 s["prefix"], s["below"], s["w"] = r["x"]["at"], s["below"] + r["x"]["upto"] - r["x"]["w"], r["x"]["w"]
         for s in state.values():  # the nearer side of the crossing coordinate
             s["cut"] = s["prefix"] if s["below"] + s["w"] - s["goal"] <= s["goal"] - s["below"] else s["prefix"] - 1
-    cuts = small("node int, dim int, cut long", [(n, state[n]["dim"], state[n]["cut"]) if n in state else (n, 0, 1 << 62)
-                                                  for n in nodes])
-    return (rows.join(cuts, "node").withColumn("node", 2 * F.col("node") + (coord > F.col("cut")).cast("int"))
-            .drop("dim", "cut"))
+    cut = by_node({n: state[n]["cut"] if n in state else 1 << 62 for n in nodes})
+    return rows.withColumn("node", 2 * F.col("node") + (coord > cut).cast("int"))
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -128,19 +129,21 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     heavy = heavy_groups(rows, total, shards) if total else []
     placed, targets = leaf_targets(total, heavy, shards)
     rows = rows.select("doc_id", "size", "text_crc32", "k1", "k2", *(c.alias(f"b{i}") for i, c in enumerate(bins)))
-    fixed = F.broadcast(spark.createDataFrame([(g["k1"], g["k2"], s) for g, s in zip(heavy, placed)],
-                                              "k1 long, k2 long, fixed int"))  # at most shards * HEAVY rows
-    rows = rows.join(fixed, ["k1", "k2"], "left")
+    if heavy:  # at most shards * HEAVY rows
+        values = ", ".join(f"({g['k1']}L, {g['k2']}L, {s})" for g, s in zip(heavy, placed)).replace(f"{-(1 << 63)}L", "-9223372036854775807L - 1L")
+        fixed = spark.sql(f"SELECT * FROM VALUES {values} AS t(k1, k2, fixed)")
+        rows = rows.join(F.broadcast(fixed), ["k1", "k2"], "left")
+    else:
+        rows = rows.withColumn("fixed", F.lit(None).cast("int"))
     tree = rows.where("fixed is null").withColumn("node", F.lit(0))
     nodes = {0: (0, shards)}
     while any(hi - lo > 1 for lo, hi in nodes.values()):
         tree = split_level(tree, nodes, targets)
         nodes = {c: r for n, (lo, hi) in nodes.items()
                  for c, r in ((2 * n, (lo, (lo + hi + 1) // 2)), (2 * n + 1, ((lo + hi + 1) // 2, hi))) if r[0] < r[1]}
-    leaves = F.broadcast(spark.createDataFrame([(n, lo) for n, (lo, _) in nodes.items()], "node int, shard int"))
+    tree = tree.withColumn("shard", by_node({n: lo for n, (lo, _) in nodes.items()}))
     out = ["doc_id", "size", "text_crc32", "k1", "k2", "shard"]
-    return (tree.join(leaves, "node").select(out)
-            .unionByName(rows.where("fixed is not null").withColumnRenamed("fixed", "shard").select(out)))
+    return tree.select(out).unionByName(rows.where("fixed is not null").withColumn("shard", F.col("fixed")).select(out))
 
 
 def numbered(rows: DataFrame) -> DataFrame:
