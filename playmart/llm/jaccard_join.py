@@ -39,23 +39,26 @@ from .recompression import word_names
 from .repeats import KEY, NULL_ID, Chain, keyed
 
 NGRAM, SHARE = 4, 85
+STAGE_NGRAM, STAGE_SHARE = 5, 80
+MEMO_BYTES = 32 << 20
 FREQUENT = 1 << 16
 BLOCK = 256
 BUCKET_SHINGLES = 400_000
 BITS_LEAST, BITS_MOST = 256, 8192
+FILTER_BITS = 1 << 23
 SLICE_BYTES = 1 << 20
 WORD_BASE = 0xA0761D6478BD642F
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def least_overlap(m, n):
+def least_overlap(m, n, share: int = SHARE):
     """Smallest intersection of linked sets of sizes m and n."""
-    return -(-SHARE * (m + n) // (100 + SHARE))
+    return -(-share * (m + n) // (100 + share))
 
 
-def prefix_length(m: int) -> int:
-    return m - -(-SHARE * m // 100) + 1
+def prefix_length(m: int, share: int = SHARE) -> int:
+    return m - -(-share * m // 100) + 1
 
 
 def shingle_sets(texts, ngram: int = NGRAM) -> list[np.ndarray]:
@@ -88,12 +91,12 @@ def parity_bits(s: np.ndarray) -> bytes:
 SETS = "did long, th int, sid long, m int, bits binary, gram long, n long"
 
 
-def _sets(batches):
+def _sets(ngram: int, batches):
     """One row per text (did, th, sid, m, bits), and (gram, n) rows of shingles frequent in a slice."""
     import pyarrow as pa
     for b in batches:
         for sl in slices(b, SLICE_BYTES):
-            sets = shingle_sets(sl.column("text"))
+            sets = shingle_sets(sl.column("text"), ngram)
             rows, none = len(sets), [None]
             grams, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
             often = n >= max(3, rows // 100)
@@ -109,7 +112,7 @@ def _sets(batches):
                 ["did", "th", "sid", "m", "bits", "gram", "n"])
 
 
-def _postings(frequent: np.ndarray, batches):
+def _postings(frequent: np.ndarray, ngram: int, share: int, batches):
     """(gram, sid, m) of every set's prefix in the global order; ``frequent``: rarest first."""
     import pyarrow as pa
     sorted_at = np.argsort(frequent)
@@ -117,7 +120,7 @@ def _postings(frequent: np.ndarray, batches):
     for b in batches:
         for sl in slices(b, SLICE_BYTES):
             gram, sid, size = [], [], []
-            for s in shingle_sets(sl.column("text")):
+            for s in shingle_sets(sl.column("text"), ngram):
                 if not len(s):
                     continue
                 if len(names):
@@ -130,7 +133,7 @@ def _postings(frequent: np.ndarray, batches):
                         s_ordered = s
                 else:
                     s_ordered = s
-                p = s_ordered[:prefix_length(len(s))]
+                p = s_ordered[:prefix_length(len(s), share)]
                 gram.append(p)
                 sid.append(np.full(len(p), set_id(s), dtype=np.int64))
                 size.append(np.full(len(p), len(s), dtype=np.int32))
@@ -186,7 +189,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _bits_bound(bits: list[bytes], size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _bits_bound(bits: list[bytes], size: np.ndarray, a: np.ndarray, b: np.ndarray, share: int = SHARE) -> np.ndarray:
     """Which pairs can link by their parity bitmaps: |A ^ B| is at least the number of differing bits."""
     width = np.array([len(x) for x in bits])
     ok = np.zeros(len(a), dtype=bool)
@@ -207,14 +210,15 @@ def _bits_bound(bits: list[bytes], size: np.ndarray, a: np.ndarray, b: np.ndarra
             k = at[c:c + (1 << 16)]
             differ = np.bitwise_count(table[a[k]] ^ table[b[k]]).sum(1, dtype=np.int64)
             total = size[a[k]] + size[b[k]]
-            ok[k] = (total - differ) // 2 >= least_overlap(size[a[k]], size[b[k]])
+            ok[k] = (total - differ) // 2 >= least_overlap(size[a[k]], size[b[k]], share)
     return ok
 
 
-def _candidates(batches):
+def _candidates(share: int, batches):
     """Edges (a, b) that hold together the candidate pairs of each (gram, i, j) group."""
     import pyarrow as pa
     done: set = set()
+    room = MEMO_BYTES
     for t in _groups(batches, ["gram", "i", "j"]):
         n = t.num_rows
         if n < 2:
@@ -223,11 +227,12 @@ def _candidates(batches):
         members = sid.tobytes()
         if members in done:  # the same sets met at another shingle of this task
             continue
-        if len(done) < 100_000:
+        if room > 0:
             done.add(members)
+            room -= len(members) + 100
         order = np.argsort(m, kind="stable")
         sm = m[order]
-        upto = np.searchsorted(sm, sm * 100 // SHARE, side="right")  # sizes that can link with a smaller one
+        upto = np.searchsorted(sm, sm * 100 // share, side="right")  # sizes that can link with a smaller one
         count = upto - np.arange(n) - 1
         left = np.repeat(np.arange(n), count)
         right = np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count) + left + 1
@@ -236,7 +241,7 @@ def _candidates(batches):
             cross = own[a] != own[b]
             a, b = a[cross], b[cross]
         if len(a):
-            ok = _bits_bound(t["bits"].to_pylist(), m, a, b)
+            ok = _bits_bound(t["bits"].to_pylist(), m, a, b, share)
             root = _roots(n, a[ok], b[ok])
             hung = np.flatnonzero(root != np.arange(n))
             if len(hung):
@@ -255,7 +260,7 @@ class Trie:
         self.least, self.most = 1 << 60, 0  # sizes of the sets below
 
 
-def trie_links(sets: list[np.ndarray], own: np.ndarray | None = None) -> list[tuple[int, int]]:
+def trie_links(sets: list[np.ndarray], own: np.ndarray | None = None, share: int = SHARE) -> list[tuple[int, int]]:
     """Links (query, found) that span the components of the sets; with ``own``, between the two blocks only."""
     n = len(sets)
     size = [len(s) for s in sets]
@@ -311,15 +316,15 @@ def trie_links(sets: list[np.ndarray], own: np.ndarray | None = None) -> list[tu
         stack = [(c, 0) for c in root.children.values()]
         while stack:
             node, overlap = stack.pop()
-            if node.most * 100 < SHARE * m or node.least * SHARE > 100 * m:
+            if node.most * 100 < share * m or node.least * share > 100 * m:
                 continue
-            need = -(-SHARE * (m + max(node.least, -(-SHARE * m // 100))) // (100 + SHARE))
+            need = -(-share * (m + max(node.least, -(-share * m // 100))) // (100 + share))
             here = overlap + int(member[node.tail].sum())
             left = len(seq) - int(np.searchsorted(seq, node.tail[-1], side="right"))
             if here + left < need:  # what remains of the set cannot make up for it
                 continue
             for s in node.sets:
-                if find(s) != find(k) and 100 * here >= SHARE * (m + size[s] - here):
+                if find(s) != find(k) and 100 * here >= share * (m + size[s] - here):
                     links.append((k, s))
                     parent[find(s)] = find(k)
             for c in node.children.values():
@@ -339,7 +344,7 @@ def trie_links(sets: list[np.ndarray], own: np.ndarray | None = None) -> list[tu
     return links
 
 
-def _links(batches):
+def _links(share: int, batches):
     """Spanning links (a, b) of the sets of each (bucket, i, j) group."""
     import pyarrow as pa
     for t in _groups(batches, ["bucket", "i", "j"]):
@@ -350,25 +355,42 @@ def _links(batches):
         if cross and own.min() == own.max():
             continue
         sets = [np.frombuffer(x, dtype=np.uint64) for x in t["grams"].to_pylist()]
-        found = trie_links(sets, own if cross else None)
+        found = trie_links(sets, own if cross else None, share)
         if found:
             a, b = np.array(found).T
             yield pa.RecordBatch.from_arrays([pa.array(sid[a]), pa.array(sid[b])], ["a", "b"])
 
 
-def _whole_sets(batches):
+def key_bitmap(active: DataFrame) -> np.ndarray:
+    """Bitmap over FILTER_BITS hash values of the keys of ``active``: a fixed size, whatever their number."""
+    h = _key_hash()
+    rows = (active.select(F.shiftright(h, 15).alias("part"), h.bitwiseAND(F.lit(32767)).alias("at"))
+            .groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits")).collect())  # FILTER_BITS / 32768 rows of 4 KB
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in rows:
+        out[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return out
+
+
+def _key_hash():
+    return F.xxhash64("did", "th").bitwiseAND(F.lit(FILTER_BITS - 1))
+
+
+def _whole_sets(bitmap: np.ndarray, ngram: int, batches):
+    """(did, th, grams) of the texts whose key may be wanted; the join that follows is exact."""
     import pyarrow as pa
     for b in batches:
+        h = b.column("h").to_numpy()
+        b = b.filter(pa.array((bitmap[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
         for sl in slices(b, SLICE_BYTES):
             yield pa.RecordBatch.from_arrays(
-                [sl.column("bucket"), sl.column("parts"), sl.column("sid"),
-                 pa.array([s.tobytes() for s in shingle_sets(sl.column("text"))], pa.binary())],
-                ["bucket", "parts", "sid", "grams"])
+                [sl.column("did"), sl.column("th"),
+                 pa.array([s.tobytes() for s in shingle_sets(sl.column("text"), ngram)], pa.binary())], ["did", "th", "grams"])
 
 
-def linked_sets(rows: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+def linked_sets(rows: DataFrame, sets: DataFrame, frequent: np.ndarray, ngram: int = NGRAM, share: int = SHARE) -> DataFrame:
     """(node, root) of the sets that link with another one."""
-    postings = stored(rows.mapInArrow(partial(_postings, frequent), "gram long, sid long, m int"), "jaccard-postings")
+    postings = stored(rows.mapInArrow(partial(_postings, frequent, ngram, share), "gram long, sid long, m int"), "jaccard-postings")
     shared = (postings.groupBy("gram").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
               .where("lo < hi").select("gram"))
     nodes = sets.groupBy("sid").agg(F.first("m").alias("m"), F.first("bits").alias("bits"),
@@ -380,28 +402,29 @@ def linked_sets(rows: DataFrame, sets: DataFrame, frequent: np.ndarray) -> DataF
     sized = met.join(hot, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     blocks = spread_blocks(sized, "sid", "parts").join(nodes.select("sid", "m", "bits"), "sid")
     edges = (blocks.select("gram", "i", "j", "own", "sid", "m", "bits").repartition("gram", "i", "j")
-             .sortWithinPartitions("gram", "i", "j", "sid").mapInArrow(_candidates, "a long, b long"))
+             .sortWithinPartitions("gram", "i", "j", "sid").mapInArrow(partial(_candidates, share), "a long, b long"))
     buckets = stored(components(edges, "jaccard-candidates"), "jaccard-buckets")
     active = buckets.select(F.col("node").alias("sid"), F.col("root").alias("bucket")).join(nodes, "sid")
     load = active.groupBy("bucket").agg(F.ceil(F.sum("m") / BUCKET_SHINGLES).alias("parts"))
     active = stored(active.join(load, "bucket").select("bucket", "parts", "sid", "rep.did", "rep.th"), "jaccard-active")
-    texts = rows.join(active, KEY).select("bucket", "parts", "sid", "text")
-    whole = texts.mapInArrow(_whole_sets, "bucket long, parts long, sid long, grams binary").dropDuplicates(["sid"])
+    # only texts of candidate sets are hashed and shuffled: a fixed-size bitmap filters the scan
+    some = rows.withColumn("h", _key_hash()).mapInArrow(partial(_whole_sets, key_bitmap(active), ngram), "did long, th int, grams binary")
+    whole = some.join(active, KEY).select("bucket", "parts", "sid", "grams").dropDuplicates(["sid"])
     links = (spread_blocks(whole, "sid", "parts").select("bucket", "i", "j", "own", "sid", "grams")
              .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "sid")
-             .mapInArrow(_links, "a long, b long"))
+             .mapInArrow(partial(_links, share), "a long, b long"))
     return components(links, "jaccard-links")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, ngram: int = NGRAM, share: int = SHARE) -> DataFrame:
     """did, th, m, and node: one row per document, equal nodes for documents that hang together (null: empty set)."""
     rows = keyed(docs)
-    found = stored(rows.mapInArrow(_sets, SETS), "jaccard-sets")
+    found = stored(rows.mapInArrow(partial(_sets, ngram), SETS), "jaccard-sets")
     sets = found.where("gram is null").select(*KEY, "sid", "m", "bits")
     top = (found.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "gram").limit(FREQUENT).collect())  # a fixed number of rows
     frequent = np.array([r["gram"] for r in reversed(top)], dtype=np.int64).view(np.uint64)
-    roots = linked_sets(rows, sets.where("m > 0"), frequent)
+    roots = linked_sets(rows, sets.where("m > 0"), frequent, ngram, share)
     return (sets.drop("bits").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
             .select(*KEY, "m", F.coalesce("root", "sid").alias("node")))
 
@@ -422,10 +445,11 @@ def op8_trie_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest doc_id (then text hash); columns of ``docs``.
 
+    The stage links texts at ``STAGE_NGRAM`` words and ``STAGE_SHARE`` percent, the query at 4 and 85.
     Documents without words are linked with nothing and stay.
     """
     from .repeats import key_columns
-    rows = stored(classes(docs.select("doc_id", "text")), "jaccard-classes")
+    rows = stored(classes(docs.select("doc_id", "text"), STAGE_NGRAM, STAGE_SHARE), "jaccard-classes")
     grouped = rows.where("node is not null")
     keep = (grouped.groupBy("node", *KEY).agg(F.count("*").alias("times"))
             .groupBy("node").agg(F.min(F.struct(*KEY, "times")).alias("k")).select("k.did", "k.th", "k.times"))

@@ -75,12 +75,12 @@ def test_equal_windows_are_filed_alike(seed):
                 assert seen.setdefault(tuple(flat[p:p + width]), filed[p]) == filed[p]
 
 
-def jaccard_brute_force(pairs):
+def jaccard_brute_force(pairs, ngram=4, share=85):
     """[(doc_id, text)] -> sorted [(doc_id, size, component)]; every row is a node."""
     sets = []
     for _, t in pairs:
         w = (t or "").encode().translate(LOWER).split()
-        sets.append(frozenset(tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))) if w else frozenset())
+        sets.append(frozenset(tuple(w[i:i + ngram]) for i in range(max(1, len(w) - ngram + 1))) if w else frozenset())
     root = list(range(len(sets)))
 
     def find(x):
@@ -89,7 +89,7 @@ def jaccard_brute_force(pairs):
         return x
     for i in range(len(sets)):
         for j in range(i):
-            if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= share * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(pairs):
@@ -159,7 +159,7 @@ def test_stages_keep_columns_and_clean_documents(spark, unique_docs):
     out = jaccard_join.dedup_stage(spark, unique_docs, "")
     assert out.columns == unique_docs.columns
     kept = {r.doc_id for r in out.collect()}
-    want = {c for _, n, c in jaccard_brute_force([(r.doc_id, r.text) for r in unique_docs.collect()])}
+    want = {c for _, n, c in jaccard_brute_force([(r.doc_id, r.text) for r in unique_docs.collect()], 5, 80)}
     assert kept == want
     cut = suffix_dedup.dedup_stage(spark, unique_docs, "")
     assert cut.columns == unique_docs.columns and cut.schema["n_chars"].dataType == unique_docs.schema["n_chars"].dataType
