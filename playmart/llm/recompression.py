@@ -138,7 +138,7 @@ def _claims(width: int, batches):
 
 
 def _windows(width: int, batch):
-    for sl in slices(batch, 4 * SLICE_BYTES):
+    for sl in slices(batch, SLICE_BYTES):
         data, off = string_buffers(sl.column("text"))
         name, first = word_names(data, off)
         did, th, doc, s, n, _, g, want = claim_lists(sl)

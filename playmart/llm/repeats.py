@@ -49,7 +49,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def settle(claims: DataFrame, rule: str, name: str, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """(marks did, th, s, n; open claims of the next level or None at the last)."""
     groups = claims.groupBy("g").agg(F.count("*").alias("gc"), F.min("did").alias("gmin"), F.max("did").alias("gmax"))
-    shared = groups.where("gc > 1" if rule == "any" else "gmin < gmax").select("g", "gmin")
+    # a table of its own: its shuffle is gone before the join's, and both join sides can be split if skewed
+    shared = stored(groups.where("gc > 1" if rule == "any" else "gmin < gmax").select("g", "gmin"), f"{name}-shared")
     kept = stored(claims.join(shared, "g"), f"{name}-kept")
     rep = F.xxhash64("did", "th", "s")
     var = kept.groupBy("g", "u").agg(F.count("*").alias("vc"), F.min("did").alias("vmin"), F.min("gmin").alias("gmin"),
@@ -100,7 +101,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i below n (base odd), kept per worker."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(21, int(n).bit_length())
+        size = -(-n // (1 << 16)) << 16  # no more than the longest slice needs
         inv = pow(base, -1, 1 << 64)
         out = []
         for b in (base, inv):

@@ -92,7 +92,7 @@ def _claims(width: int, seed: int, batches):
 
 def _blocks(width: int, block: int, batch):
     """Cut each open claim at multiples of ``block`` of the distance from string start to anchor."""
-    for sl in slices(batch, 4 * SLICE_BYTES):
+    for sl in slices(batch, SLICE_BYTES):
         data, off = string_buffers(sl.column("text"))
         did, th, doc, s, n, o, g, want = claim_lists(sl)
         first, last = (o - n + 1) // block, o // block  # distances o - n + 1 .. o
@@ -108,7 +108,7 @@ def _blocks(width: int, block: int, batch):
 
 
 def _strings(width: int, batch):
-    for sl in slices(batch, 4 * SLICE_BYTES):
+    for sl in slices(batch, SLICE_BYTES):
         data, off = string_buffers(sl.column("text"))
         did, th, doc, s, n, _, _, want = claim_lists(sl)
         row, p = spread(s + off[doc], n)
