@@ -29,7 +29,7 @@ from .common import documents
 CHUNK = 1 << 14
 OVERLAP = 1 << 10
 RANKS = "byte_bpe_50k.tiktoken"
-MEMO = 300_000  # words kept per worker
+MEMO = 150_000  # words kept per worker
 
 #: Unicode White_Space, what \s of the pattern matches.
 SPACE = ("\t-\r \x85\xa0" + chr(0x1680) + chr(0x2000) + "-" + chr(0x200A)
