@@ -1,19 +1,21 @@
 """Main text of web pages by a site style tree (operator 10).
 
-The DOMs of all pages of a host are merged into one tree: a node is an element path (tags with
-their class and id names), its styles are the child sequences seen there, its content are the texts
-seen there. Over the m pages that have the node, the entropy (base m) of its styles is its
-presentation importance, and one minus the mean entropy of how its texts spread over pages is its
-content importance: what every page repeats in the same form carries no information. Importances
-are combined bottom up (the deeper the subtree, the more the children count) and branches below
-``LOW`` are removed from each page. The statistics are aggregated by Spark per (host, path, value),
-so a host with a third of all pages is pre-aggregated in the map tasks.
-
-The text of one page cannot show that its menu is a menu when every page links elsewhere, and an
-article that a host prints on several pages must stay. So elements whose tag, role, class or id
-names their function enter the tree with a fixed importance: 0 for menus, headers, footers,
-sidebars, notices, adverts, forms, comments; 1 for article, main and the like, inside which only
-elements of importance 0 are removed. A page with text in such an element has no other main text.
+The DOMs of all pages of a host are merged into one tree, with every element: a node is an element
+path (tags with their class and id names), its styles are the child sequences seen there, its content
+are the texts seen there. Over the m pages that have the node, the entropy (base m) of its styles is
+its presentation importance, and one minus the mean entropy of how its texts spread over pages is its
+content importance: what every page repeats in the same form carries no information. Importances are
+combined bottom up (the deeper the subtree, the more the children count); a branch goes if it and all
+that is in it are below ``LOW``, and so do an element's own texts. The statistics are aggregated by
+Spark per (host, path, value), so a host with a third of all pages is pre-aggregated in the map tasks.
+
+Tags, roles, classes and ids that name a function are a prior on the importance. Inside article, main
+and the like, importance 1 counts as ``MAIN_PAGES`` more pages. Menus, footers, adverts, forms and so on
+weigh ``NOISE_WEIGHT`` in the element around them, and as no measured importance lifts that weight over
+``LOW``, names decide there: no entropy tells a menu that links elsewhere on every page from an article
+(README, "Where the method met the limits"). Where a main element, or outside of these the page, is
+itself below ``LOW``, the pages are copies of each other: its parts are not judged, so an article that a
+host prints on several pages stays. A page with text in a main element has no other main text.
 
 Defined results: null html reads as empty and gives an empty text; null or odd urls share the host
 ""; hosts with fewer than ``MIN_PAGES`` pages for a node give it importance 1; repeated pages count
@@ -22,6 +24,7 @@ as pages. Unclosed and stray tags are tolerated.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import math
 import re
@@ -38,6 +41,10 @@ LOW = 0.2
 DEPTH_WEIGHT = 0.9
 MIN_PAGES = 4
 LINK_SHARE = 0.6
+NOISE_WEIGHT = 0.1
+MAIN_PAGES = 1
+#: Stands in a path for the texts that an element holds itself.
+OWN = "#"
 
 #: Fixed values of HTML: elements without content, raw-text elements, inline elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -152,7 +159,7 @@ def parse(page: str) -> Node:
         if m[3]:
             for a in _NAMES.finditer(m[3]):
                 value = a[2] or a[3] or a[4] or ""
-                names.append(re.sub(r"\d+", "", value.lower()))
+                names.append(re.sub(r"[\d/]+", "", value.lower()))
                 parts.update(x.lower() for x in _PART.findall(value))
         hidden = tag in INLINE and parts & NOISE_NAMES and tag != "a"
         if tag in INLINE and not hidden:
@@ -176,12 +183,14 @@ def parse(page: str) -> Node:
     return root
 
 
-def neutral(node: Node) -> Iterator[Node]:
-    """Elements whose function no name states, parents first."""
-    for c in node.children:
-        if isinstance(c, Node) and not c.role:
-            yield c
-            yield from neutral(c)
+def elements(root: Node) -> Iterator[Node]:
+    """All elements, parents first."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node is not root:
+            yield node
+        todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
 
 def texts_of(node: Node) -> list[str]:
@@ -193,20 +202,20 @@ def style_of(node: Node) -> str:
 
 
 def main_text(root: Node, low: frozenset = frozenset()) -> str:
-    """Blocks of the main elements, or without such text the blocks of all branches that are not low."""
+    """Blocks of the main elements, or without such text of the others, without the branches that are low."""
     main: list[str] = []
     rest: list[str] = []
-
-    def walk(node):
-        for c in node.children:
-            if not isinstance(c, Node):
-                if node.role == "main":
-                    main.append(c[0])
-                elif not c[1] and node.path not in low:
-                    rest.append(c[0])
-            elif c.role != "noise" and (c.role == "main" or c.path not in low):
-                walk(c)
-    walk(root)
+    todo: list = [(root, root)]
+    while todo:
+        c, parent = todo.pop()
+        if isinstance(c, Node):
+            if c.role != "noise" and c.path not in low:
+                todo.extend((x, c) for x in reversed(c.children))
+        elif f"{parent.path}/{OWN}" not in low:
+            if parent.role == "main":
+                main.append(c[0])
+            elif not c[1]:
+                rest.append(c[0])
     return "\n".join(main or rest)
 
 
@@ -214,27 +223,31 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1), F.lit("")))
 
 
+def digest(value: str) -> int:
+    return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def _nodes(batches):
-    """(host, path, kind, value) once per page: kind 0 a style, kind 1 a text of a neutral element."""
+    """(host, path, role, kind, value) once per page: kind 0 a style, kind 1 a text of an element, both as digests."""
     import pyarrow as pa
+    types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64())
     for b in batches:
         out = []
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             seen = set()
-            for n in neutral(parse(page or "")):
-                seen.add((host, n.path, 0, style_of(n)))
-                seen.update((host, n.path, 1, t) for t in texts_of(n))
+            for n in elements(parse(page or "")):
+                seen.add((host, n.path, n.role, 0, digest(style_of(n))))
+                seen.update((host, n.path, n.role, 1, digest(t)) for t in texts_of(n))
             out.extend(seen)
-        cols = list(zip(*out)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.string()))],
-                                         ["host", "path", "kind", "value"])
+        cols = list(zip(*out)) or [[]] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["host", "path", "role", "kind", "value"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """One row per (host, path): pages, presentation importance, content importance (null: no text)."""
-    counted = (pages.mapInArrow(_nodes, "host string, path string, kind int, value string")
-               .groupBy("host", "path", "kind", F.xxhash64("value").alias("value")).agg(F.count("*").alias("n")))
-    node = (counted.groupBy("host", "path")
+    """One row per (host, path): role, pages, presentation importance, content importance (null: no text)."""
+    counted = (pages.mapInArrow(_nodes, "host string, path string, role string, kind int, value long")
+               .groupBy("host", "path", "role", "kind", "value").agg(F.count("*").alias("n")))
+    node = (counted.groupBy("host", "path", "role")
             .agg(F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
                  F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("s"),
                  F.sum(F.when(F.col("kind") == 1, F.log("n"))).alias("t"),
@@ -242,33 +255,63 @@ def style_tree(pages: DataFrame) -> DataFrame:
     # styles: -sum p log p = log m - sum n log n / m; a text on n pages spreads with entropy log n
     few = F.col("m") < MIN_PAGES
     return node.select(
-        "host", "path", "m", F.when(few, 1.0).otherwise(1 - F.col("s") / (F.col("m") * F.log("m"))).alias("presentation"),
+        "host", "path", "role", "m",
+        F.when(few, 1.0).otherwise(1 - F.col("s") / (F.col("m") * F.log("m"))).alias("presentation"),
         F.when(few & F.col("texts").isNotNull(), 1.0).otherwise(1 - F.col("t") / (F.col("texts") * F.log("m"))).alias("content"))
 
 
-def low_branches(nodes: list[tuple[str, int, float, float | None]]) -> list[str]:
-    """Paths of a host's tree whose combined importance is below LOW."""
-    own = {p: (m, pres, cont) for p, m, pres, cont in nodes}
+def low_branches(nodes: list[tuple[str, str, int, float, float | None]]) -> list[str]:
+    """Paths of a host's tree below LOW together with all that is in them; ``path/OWN`` stands for an element's own texts."""
+    own = {p: (role, m, pres, cont) for p, role, m, pres, cont in nodes}
     children = defaultdict(list)
     for p in own:
         children[p.rpartition("/")[0]].append(p)
+    weight: dict[str, float] = {}  # none for what holds no text
     score: dict[str, float] = {}
     for p in sorted(own, key=lambda x: -x.count("/")):
-        m, pres, cont = own[p]
-        below = [(own[c][0], score[c]) for c in children[p]] + ([(m, cont)] if cont is not None else [])
+        role, m, pres, cont = own[p]
+        weight[p] = m * (NOISE_WEIGHT if role == "noise" else 1.0) * (cont is not None or any(weight[c] for c in children[p]))
+        below = [(weight[c], score[c]) for c in children[p] if weight[c]] + ([(m, cont)] if cont is not None else [])
         if not below:
             score[p] = pres
             continue
         g = DEPTH_WEIGHT if children[p] else 1.0
-        total = sum(w for w, _ in below)
-        score[p] = (1 - g) * pres + g * sum(w * s for w, s in below) / total
-    return sorted(p for p, s in score.items() if s < LOW and p.count("/") > 2)
+        score[p] = (1 - g) * pres + g * sum(w * s for w, s in below) / sum(w for w, _ in below)
+
+    def importance(role: str, m: int, measured: float) -> float:
+        return (m * measured + MAIN_PAGES) / (m + MAIN_PAGES) if role == "main" else measured
+
+    # parts are judged where their whole differs between pages: of the nearest main element, or of the page
+    judged: dict[str, bool] = {}
+    whole = defaultdict(lambda: [0.0, 0.0])
+    for p in children[""]:
+        whole[""][0] += weight[p]
+        whole[""][1] += weight[p] * score[p]
+    page = whole[""][1] >= LOW * whole[""][0]
+    for p in sorted(own, key=lambda x: x.count("/")):
+        parent = p.rpartition("/")[0]
+        first = own[p][0] == "main" and (parent not in own or own[parent][0] != "main")
+        judged[p] = score[p] >= LOW if first else judged.get(parent, page)
+    out: list[str] = []
+    all_low: dict[str, bool] = {}
+    for p in sorted(own, key=lambda x: -x.count("/")):
+        role, m, _, cont = own[p]
+        text_low = cont is not None and importance(role, m, cont) < LOW
+        all_low[p] = role == "noise" or (judged[p] and importance(role, m, score[p]) < LOW and (cont is None or text_low)
+                                         and all(all_low[c] for c in children[p]))
+        if role == "noise":
+            continue
+        if all_low[p]:
+            out.append(p)
+        elif text_low and judged[p]:
+            out.append(f"{p}/{OWN}")
+    return sorted(out)
 
 
 def _low(batches):
     import pyarrow as pa
     for b in batches:
-        low = [low_branches([(n["path"], n["m"], n["presentation"], n["content"]) for n in nodes])
+        low = [low_branches([(n["path"], n["role"], n["m"], n["presentation"], n["content"]) for n in nodes])
                for nodes in b.column("nodes").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(low, pa.list_(pa.string()))], ["host", "low"])
 
@@ -276,7 +319,7 @@ def _low(batches):
 def site_model(pages: DataFrame) -> DataFrame:
     """(host, low): the branches to remove, for hosts that have any."""
     tree = style_tree(pages)
-    return (tree.groupBy("host").agg(F.collect_list(F.struct("path", "m", "presentation", "content")).alias("nodes"))
+    return (tree.groupBy("host").agg(F.collect_list(F.struct("path", "role", "m", "presentation", "content")).alias("nodes"))
             .mapInArrow(_low, "host string, low array<string>").where(F.size("low") > 0))
 
 

@@ -202,6 +202,29 @@ def test_an_article_on_many_pages_stays(spark):
     assert {r.text for r in html_extraction.extract(df, ["page_id", "url"]).collect()} == {"The same story"}
 
 
+def test_main_elements_are_measured_too(spark):
+    pages = [(i, f"http://h.example/{i}", page(f"<article><h1>Title {i}</h1><div class=box><p>Call us now</p></div><p>Story {i}</p></article>"))
+             for i in range(8)]
+    pages += [(100, "http://few.example/", pages[0][2])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    paths = {r.path: r for r in html_extraction.style_tree(df.select(html_extraction.host_of(df.url).alias("host"), "html")
+                                                           .where("host = 'h.example'")).collect()}
+    assert {"/html/body/nav", "/html/body/footer", "/html/body/article/h"} & {p.rstrip("1") for p in paths} and paths["/html/body/nav"].m == 8
+    assert paths["/html/body/article/div.box/p"].content == 0 and paths["/html/body/article/p"].content == 1
+    got = {r.page_id: r.text for r in html_extraction.extract(df, ["page_id"]).collect()}
+    assert all(got[i] == f"Title {i}\nStory {i}" for i in range(8))
+    assert got[100] == "Title 0\nCall us now\nStory 0"
+
+
+def test_a_branch_with_an_important_part_stays():
+    node = lambda p, m, cont, role="": (p, role, m, 0.0, cont)
+    tree = [node("/html", 9, None), node("/html/body", 9, None), node("/html/body/div", 9, 0.0), node("/html/body/p", 9, 1.0),
+            *(node(f"/html/body/div/ul.{x}", 9, 0.0) for x in "abcdefghijk"), node("/html/body/div/p", 9, 1.0)]
+    low = html_extraction.low_branches(tree)
+    assert "/html/body/div" not in low and "/html/body/div/p" not in low
+    assert "/html/body/div/#" in low and "/html/body/div/ul.a" in low
+
+
 @pytest.mark.parametrize("name", ["op10_site_style_tree"])
 def test_pages_query(spark, sf_dir, name):
     import __spark_entry__ as entry
