@@ -15,7 +15,12 @@ weigh ``NOISE_WEIGHT`` in the element around them, and as no measured importance
 ``LOW``, names decide there: no entropy tells a menu that links elsewhere on every page from an article
 (README, "Where the method met the limits"). Where a main element, or outside of these the page, is
 itself below ``LOW``, the pages are copies of each other: its parts are not judged, so an article that a
-host prints on several pages stays. A page with text in a main element has no other main text.
+host prints on several pages stays. Text outside main elements is main text too where no name and no
+importance speaks against it.
+
+A name is a whole class, id, role or itemprop ("has-sidebar" is no sidebar). A noise name alone does not
+remove an element with more than half of a page's text; it does so with a second sign: over ``LINK_SHARE``
+of the text are links, or it is under ``LONG`` characters and the page has a main element beside it.
 
 Defined results: null html reads as empty and gives an empty text; null or odd urls share the host
 ""; hosts with fewer than ``MIN_PAGES`` pages for a node give it importance 1; repeated pages count
@@ -41,6 +46,7 @@ LOW = 0.2
 DEPTH_WEIGHT = 0.9
 MIN_PAGES = 4
 LINK_SHARE = 0.6
+LONG = 500
 NOISE_WEIGHT = 0.1
 MAIN_PAGES = 1
 #: Stands in a path for the texts that an element holds itself.
@@ -58,47 +64,83 @@ CLOSES = {"p": ({"p"}, {"table", "td", "th", "article", "section", "div", "li",
           "option": ({"option"}, {"select"})}
 CLOSE_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main "
                     "menu nav ol pre section table ul".split())
-#: Tags and name parts that state a function.
+#: Tags and names that state a function; a name is a whole class, id, role or itemprop without digits, - and _.
 NOISE_TAGS = frozenset("nav footer aside form button menu dialog fieldset".split())
 NOISE_NAMES = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside ad ads advert adverts advertisement "
                         "advertising sponsor sponsored promo promotion cookie cookies consent popup modal newsletter subscribe "
                         "subscription social share sharing related recommended comment comments disqus respond reply replies login "
                         "signup search widget toolbar pagination pager copyright disclaimer gdpr skip complementary contentinfo "
-                        "form dialog alertdialog".split())
-NOISE_OUTSIDE = frozenset("header masthead banner notice notices alert topbar hero".split())
+                        "form dialog alertdialog sitenav mainnav sitefooter pagefooter cookiebanner cookienotice cookieconsent "
+                        "socialshare sharebuttons relatedposts commentlist searchform".split())
+NOISE_OUTSIDE = frozenset("header siteheader pageheader masthead banner notice notices alert topbar hero".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_NAMES = frozenset("article articlebody main".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_FILL = re.compile(r"[\d_-]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "role", "path", "children", "link")
+    __slots__ = ("tag", "label", "named", "role", "path", "children", "inner", "size", "linked", "main")
 
-    def __init__(self, tag, label, role, path, link):
-        self.tag, self.label, self.role, self.path, self.link = tag, label, role, path, link
-        self.children: list = []  # Node, or str for a text block
+    def __init__(self, tag, label, named):
+        self.tag, self.label, self.named, self.role, self.path = tag, label, named, "", ""
+        self.children: list = []  # Node, or (text, characters in links) for a text block
+        self.inner = 0  # open inline elements of the same name
+        self.size = self.linked = self.main = 0  # characters below: all, in links, in main elements
 
 
-def _role(tag: str, parts: set[str], inside: str) -> str:
-    """'noise', 'main' or '' of an element; ``inside`` is the role of its parent."""
+def _named(tag: str, names: set[str]) -> str:
+    """What tag and names state: 'noise', 'outside' (noise unless within a main element), 'main' or ''."""
     if tag in ("html", "body"):
         return ""
-    if inside == "noise" or tag in NOISE_TAGS or parts & NOISE_NAMES:
-        return "noise"
-    if inside != "main" and (tag == "header" or parts & NOISE_OUTSIDE):
+    if tag in NOISE_TAGS or names & NOISE_NAMES:
         return "noise"
-    if inside == "main" or tag in MAIN_TAGS or parts & MAIN_NAMES:
-        return "main"
-    return ""
+    main = tag in MAIN_TAGS or names & MAIN_NAMES
+    if tag == "header" or names & NOISE_OUTSIDE:
+        return "outside main" if main else "outside"
+    return "main" if main else ""
+
+
+def _settle(root: Node) -> None:
+    """Roles and paths. A noise name does not count for an element with most of the page's text, unless that is
+    mostly links, or a short text beside a main element; its label then says so, as it is another node of the tree."""
+    order = list(elements(root))
+    for node in (*reversed(order), root):
+        for c in node.children:
+            if isinstance(c, Node):
+                node.size += c.size
+                node.linked += c.linked
+                node.main += c.main
+            else:
+                node.size += len(c[0])
+                node.linked += c[1]
+        if node.named.endswith("main"):
+            node.main = node.size
+    for node in (root, *order):
+        for c in node.children:
+            if not isinstance(c, Node):
+                continue
+            c.role = node.role
+            if c.role != "noise":
+                main = c.role == "main" or c.named.endswith("main")
+                if c.named == "noise" or c.named.startswith("outside") and c.role != "main":
+                    most = 2 * c.size > root.size and c.linked <= LINK_SHARE * c.size
+                    if most and (c.size >= LONG or c.main == root.main):
+                        c.label += "!"
+                        c.role = "main" if main else ""
+                    else:
+                        c.role = "noise"
+                elif main:
+                    c.role = "main"
+            c.path = f"{node.path}/{c.label}"
 
 
 def parse(page: str) -> Node:
     """A tolerant DOM: elements with paths and roles; inline markup is folded into text blocks."""
-    root = Node("", "", "", "", False)
+    root = Node("", "", "")
     stack = [root]
     text: list[str] = []
     linked = [0, 0]
@@ -108,7 +150,7 @@ def parse(page: str) -> Node:
             block = " ".join(_html.unescape("".join(text)).split())
             text.clear()
             if block:
-                stack[-1].children.append((block, linked[0] > LINK_SHARE * max(linked[1], 1)))
+                stack[-1].children.append((block, len(block) * linked[0] // max(linked[1], 1)))
         linked[0] = linked[1] = 0
 
     def pop_to(names, bounds=()):
@@ -145,6 +187,11 @@ def parse(page: str) -> Node:
                 anchor = max(0, anchor - 1)
             elif tag not in INLINE:
                 pop_to({tag})
+            elif hit := next((n for n in reversed(stack) if n.tag == tag), None):
+                if hit.inner:
+                    hit.inner -= 1
+                else:
+                    pop_to({tag})
             continue
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
@@ -155,16 +202,18 @@ def parse(page: str) -> Node:
         if tag == "br":
             text.append(" ")
             continue
-        parts, names = set(), []
+        tokens, names = set(), []
         if m[3]:
             for a in _NAMES.finditer(m[3]):
                 value = a[2] or a[3] or a[4] or ""
                 names.append(re.sub(r"[\d/]+", "", value.lower()))
-                parts.update(x.lower() for x in _PART.findall(value))
-        hidden = tag in INLINE and parts & NOISE_NAMES and tag != "a"
+                tokens.update(_FILL.sub("", x) for x in value.lower().split())
+        hidden = tag in INLINE and tokens & NOISE_NAMES and tag != "a"
         if tag in INLINE and not hidden:
             if tag == "a":
                 anchor += 1
+            elif tag not in VOID and (hit := next((n for n in reversed(stack) if n.tag == tag), None)):
+                hit.inner += 1
             continue
         if tag in CLOSE_P:
             pop_to({"p"}, CLOSES["p"][1])
@@ -173,13 +222,13 @@ def parse(page: str) -> Node:
         flush()
         if tag in VOID:
             continue
-        anchor = 0
-        parent = stack[-1]
-        label = tag + "".join("." + x for x in names)
-        node = Node(tag, label, _role(tag, parts, parent.role), f"{parent.path}/{label}", False)
-        parent.children.append(node)
+        if not hidden:
+            anchor = 0
+        node = Node(tag, tag + "".join("." + x for x in names), _named(tag, tokens))
+        stack[-1].children.append(node)
         stack.append(node)
     flush()
+    _settle(root)
     return root
 
 
@@ -202,9 +251,8 @@ def style_of(node: Node) -> str:
 
 
 def main_text(root: Node, low: frozenset = frozenset()) -> str:
-    """Blocks of the main elements, or without such text of the others, without the branches that are low."""
-    main: list[str] = []
-    rest: list[str] = []
+    """Blocks of all branches that are neither low nor named as noise."""
+    blocks: list[str] = []
     todo: list = [(root, root)]
     while todo:
         c, parent = todo.pop()
@@ -212,11 +260,8 @@ def main_text(root: Node, low: frozenset = frozenset()) -> str:
             if c.role != "noise" and c.path not in low:
                 todo.extend((x, c) for x in reversed(c.children))
         elif f"{parent.path}/{OWN}" not in low:
-            if parent.role == "main":
-                main.append(c[0])
-            elif not c[1]:
-                rest.append(c[0])
-    return "\n".join(main or rest)
+            blocks.append(c[0])
+    return "\n".join(blocks)
 
 
 def host_of(url: Column) -> Column:

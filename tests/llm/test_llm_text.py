@@ -216,6 +216,28 @@ def test_main_elements_are_measured_too(spark):
     assert got[100] == "Title 0\nCall us now\nStory 0"
 
 
+def test_names_alone_drop_no_body_text():
+    def text(body):
+        return html_extraction.main_text(html_extraction.parse(
+            f"<html><body><nav><ul><li><a href=/a>Menu</a></ul></nav>{body}<footer>The foot</footer></body></html>"))
+    story = "<p>The whole story</p><p>in two parts that are the page</p>"
+    want = "The whole story\nin two parts that are the page"
+    assert text(f"<article><p>Teaser</p></article><div class=post>{story}</div>") == f"Teaser\n{want}"
+    for names in ("class='layout has-sidebar'", "class='no-sidebar'", "id=page class='with-comments'", "class='sidebar'", "id=searchForm"):
+        assert text(f"<div {names}>{story}</div>") == want
+    assert text(f"<form id=aspnetForm><div class=box>{story}</div><div class=sidebar>Side</div></form>") == want
+    assert text(f"<article><p>Teaser</p></article><div class=sidebar>{'<p>word</p>' * 200}</div>").count("word") == 200
+    assert text("<article><p>One</p></article><div class=ad>Buy this now, it is longer than the article</div>") == "One"
+    assert text(f"<div>{story}</div><ul class=menu>{'<li><a href=/x>Some linked page</a>' * 20}</ul>") == want
+    assert text("<div><p><a href=/x>A linked paragraph</a></p><p>Plain</p></div>") == "A linked paragraph\nPlain"
+    assert text("<p>Before <span class=share>Tweet <span>it</span> now</span> and after</p>") == "Before\nand after"
+
+
+def test_deep_pages_are_read():
+    page = html_extraction.parse("<div>" * 3000 + "deep")
+    assert html_extraction.main_text(page) == "deep"
+
+
 def test_a_branch_with_an_important_part_stays():
     node = lambda p, m, cont, role="": (p, role, m, 0.0, cont)
     tree = [node("/html", 9, None), node("/html/body", 9, None), node("/html/body/div", 9, 0.0), node("/html/body/p", 9, 1.0),
