@@ -6,16 +6,17 @@ are the texts seen there. Over the m pages that have the node, the entropy (base
 its presentation importance, and one minus the mean entropy of how its texts spread over pages is its
 content importance: what every page repeats in the same form carries no information. Importances are
 combined bottom up (the deeper the subtree, the more the children count); a branch goes if it and all
-that is in it are below ``LOW``, and so do an element's own texts. The statistics are aggregated by
+that is in it are below ``LOW``, and so do an element's own texts if their content importance is, so what
+holds a text decides on it and what is important keeps the branches around it. The statistics are aggregated by
 Spark per (host, path, value), so a host with a third of all pages is pre-aggregated in the map tasks.
 
 Tags, roles, classes and ids that name a function are a prior on the importance. Inside article, main
 and the like, importance 1 counts as ``MAIN_PAGES`` more pages. Menus, footers, adverts, forms and so on
 weigh ``NOISE_WEIGHT`` in the element around them, and as no measured importance lifts that weight over
 ``LOW``, names decide there: no entropy tells a menu that links elsewhere on every page from an article
-(README, "Where the method met the limits"). Where a main element, or outside of these the page, is
-itself below ``LOW``, the pages are copies of each other: its parts are not judged, so an article that a
-host prints on several pages stays. Text outside main elements is main text too where no name and no
+(README, "Where the method met the limits"). Where all texts of a main element, or outside of these of
+the page, are below ``LOW``, the pages are copies of each other: the parts are not judged, so an article
+that a host prints on several pages stays. Text outside main elements is main text too where no name and no
 importance speaks against it.
 
 A name is a whole class, id, role or itemprop ("has-sidebar" is no sidebar). A noise name alone does not
@@ -273,40 +274,64 @@ def digest(value: str) -> int:
 
 
 def _nodes(batches):
-    """(host, path, role, kind, value) once per page: kind 0 a style, kind 1 a text of an element, both as digests."""
+    """(host, path, role, kind, value, full) once per page: kind 0 a style, kind 1 a text of an element, both as
+    digests; full if there is text in the element or below."""
     import pyarrow as pa
-    types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64())
+    types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_())
     for b in batches:
         out = []
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             seen = set()
             for n in elements(parse(page or "")):
-                seen.add((host, n.path, n.role, 0, digest(style_of(n))))
-                seen.update((host, n.path, n.role, 1, digest(t)) for t in texts_of(n))
+                seen.add((host, n.path, n.role, 0, digest(style_of(n)), n.size > 0))
+                seen.update((host, n.path, n.role, 1, digest(t), True) for t in texts_of(n))
             out.extend(seen)
         cols = list(zip(*out)) or [[]] * len(types)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["host", "path", "role", "kind", "value"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["host", "path", "role", "kind", "value", "full"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """One row per (host, path): role, pages, presentation importance, content importance (null: no text)."""
-    counted = (pages.mapInArrow(_nodes, "host string, path string, role string, kind int, value long")
-               .groupBy("host", "path", "role", "kind", "value").agg(F.count("*").alias("n")))
+    """One row per (host, path): role, pages, presentation importance, content importance (null: no text
+    of its own), full (text in it or below)."""
+    counted = (pages.mapInArrow(_nodes, "host string, path string, role string, kind int, value long, full boolean")
+               .groupBy("host", "path", "role", "kind", "value").agg(F.count("*").alias("n"), F.max("full").alias("full")))
     node = (counted.groupBy("host", "path", "role")
-            .agg(F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
+            .agg(F.max("full").alias("full"), F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
                  F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("s"),
                  F.sum(F.when(F.col("kind") == 1, F.log("n"))).alias("t"),
                  F.sum(F.when(F.col("kind") == 1, 1)).alias("texts")))
     # styles: -sum p log p = log m - sum n log n / m; a text on n pages spreads with entropy log n
     few = F.col("m") < MIN_PAGES
     return node.select(
-        "host", "path", "role", "m",
+        "host", "path", "role", "m", "full",
         F.when(few, 1.0).otherwise(1 - F.col("s") / (F.col("m") * F.log("m"))).alias("presentation"),
         F.when(few & F.col("texts").isNotNull(), 1.0).otherwise(1 - F.col("t") / (F.col("texts") * F.log("m"))).alias("content"))
 
 
-def low_branches(nodes: list[tuple[str, str, int, float, float | None]]) -> list[str]:
-    """Paths of a host's tree below LOW together with all that is in them; ``path/OWN`` stands for an element's own texts."""
+def frequent(tree: DataFrame) -> DataFrame:
+    """The nodes on ``MIN_PAGES`` pages and more, with ``rare``, the weight of the other nodes right under each,
+    and ``clear``, whether one of these is no noise.
+
+    A node on fewer pages has importance 1, and so has all below it, so its weight is all that its
+    parent needs; paths that only a few pages have (a slug in an id) are never gathered by host.
+    """
+    own = F.col("m") >= MIN_PAGES
+    weight = F.when(F.col("role") == "noise", NOISE_WEIGHT).otherwise(1.0) * F.col("m")
+    return (tree.groupBy("host", F.when(own, F.col("path")).otherwise(F.regexp_replace("path", "/[^/]*$", "")).alias("_at"))
+            .agg(F.max(F.when(own, F.struct("path", "role", "m", "presentation", "content"))).alias("node"),
+                 F.sum(F.when(~own & F.col("full"), weight).otherwise(0.0)).alias("rare"),
+                 F.max(~own & F.col("full") & (F.col("role") != "noise")).alias("clear"))
+            .where("node is not null or _at = ''").select("host", "node", "rare", "clear"))
+
+
+def low_branches(nodes: list[tuple[str, str, int, float, float | None]],
+                 rare: dict[str, tuple[float, bool]] | None = None) -> list[str]:
+    """Paths of a host's tree below LOW together with all that is in them; ``path/OWN`` stands for an element's own texts.
+
+    ``rare``: by path the weight of nodes right under it that are not in ``nodes`` and have importance 1, and whether
+    one of them is no noise.
+    """
+    rare = rare or {}
     own = {p: (role, m, pres, cont) for p, role, m, pres, cont in nodes}
     children = defaultdict(list)
     for p in own:
@@ -315,34 +340,35 @@ def low_branches(nodes: list[tuple[str, str, int, float, float | None]]) -> list
     score: dict[str, float] = {}
     for p in sorted(own, key=lambda x: -x.count("/")):
         role, m, pres, cont = own[p]
-        weight[p] = m * (NOISE_WEIGHT if role == "noise" else 1.0) * (cont is not None or any(weight[c] for c in children[p]))
+        weight[p] = m * (NOISE_WEIGHT if role == "noise" else 1.0) * (cont is not None or p in rare or any(weight[c] for c in children[p]))
         below = [(weight[c], score[c]) for c in children[p] if weight[c]] + ([(m, cont)] if cont is not None else [])
+        if p in rare:
+            below.append((rare[p][0], 1.0))
         if not below:
             score[p] = pres
             continue
-        g = DEPTH_WEIGHT if children[p] else 1.0
+        g = DEPTH_WEIGHT if children[p] or p in rare else 1.0
         score[p] = (1 - g) * pres + g * sum(w * s for w, s in below) / sum(w for w, _ in below)
 
     def importance(role: str, m: int, measured: float) -> float:
         return (m * measured + MAIN_PAGES) / (m + MAIN_PAGES) if role == "main" else measured
 
-    # parts are judged where their whole differs between pages: of the nearest main element, or of the page
+    # parts are judged where some text of their whole (the outermost main element, or the page) differs between pages
+    best: dict[str, float] = {}
+    for p in (*sorted(own, key=lambda x: -x.count("/")), ""):
+        found = [best[c] for c in children[p] if own[c][0] != "noise"]
+        best[p] = max([0.0, *found, float(p in rare and rare[p][1]), own[p][3] or 0.0 if p in own else 0.0])
     judged: dict[str, bool] = {}
-    whole = defaultdict(lambda: [0.0, 0.0])
-    for p in children[""]:
-        whole[""][0] += weight[p]
-        whole[""][1] += weight[p] * score[p]
-    page = whole[""][1] >= LOW * whole[""][0]
     for p in sorted(own, key=lambda x: x.count("/")):
         parent = p.rpartition("/")[0]
         first = own[p][0] == "main" and (parent not in own or own[parent][0] != "main")
-        judged[p] = score[p] >= LOW if first else judged.get(parent, page)
+        judged[p] = best[p] >= LOW if first else judged.get(parent, best[""] >= LOW)
     out: list[str] = []
     all_low: dict[str, bool] = {}
     for p in sorted(own, key=lambda x: -x.count("/")):
         role, m, _, cont = own[p]
         text_low = cont is not None and importance(role, m, cont) < LOW
-        all_low[p] = role == "noise" or (judged[p] and importance(role, m, score[p]) < LOW and (cont is None or text_low)
+        all_low[p] = role == "noise" or (judged[p] and importance(role, m, score[p]) < LOW and (cont is None or text_low) and p not in rare
                                          and all(all_low[c] for c in children[p]))
         if role == "noise":
             continue
@@ -356,15 +382,15 @@ def low_branches(nodes: list[tuple[str, str, int, float, float | None]]) -> list
 def _low(batches):
     import pyarrow as pa
     for b in batches:
-        low = [low_branches([(n["path"], n["role"], n["m"], n["presentation"], n["content"]) for n in nodes])
+        low = [low_branches([tuple(n["node"][k] for k in ("path", "role", "m", "presentation", "content")) for n in nodes if n["node"]],
+                            {n["node"]["path"] if n["node"] else "": (n["rare"], n["clear"]) for n in nodes if n["rare"]})
                for nodes in b.column("nodes").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(low, pa.list_(pa.string()))], ["host", "low"])
 
 
 def site_model(pages: DataFrame) -> DataFrame:
     """(host, low): the branches to remove, for hosts that have any."""
-    tree = style_tree(pages)
-    return (tree.groupBy("host").agg(F.collect_list(F.struct("path", "role", "m", "presentation", "content")).alias("nodes"))
+    return (frequent(style_tree(pages)).groupBy("host").agg(F.collect_list(F.struct("node", "rare", "clear")).alias("nodes"))
             .mapInArrow(_low, "host string, low array<string>").where(F.size("low") > 0))
 
 

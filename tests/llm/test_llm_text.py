@@ -238,6 +238,21 @@ def test_deep_pages_are_read():
     assert html_extraction.main_text(page) == "deep"
 
 
+def test_paths_of_few_pages_are_not_gathered(spark):
+    slug = lambda i: chr(97 + i // 26) + chr(97 + i % 26)
+    pages = [(i, f"http://h.example/{i}", page(f"<div class=box><p>Call us now</p></div><div class=wrap><section id='s{slug(i)}'><p>Story {i}</p>"
+                                               f"<ul id='u{slug(i)}'><li>Same</ul></section><p>Call us now</p></div>")) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    tree = html_extraction.style_tree(df.select(html_extraction.host_of(df.url).alias("host"), "html")).cache()
+    some = html_extraction.frequent(tree).collect()
+    assert tree.count() > 4 * 60 and len(some) < 30 and all(r.node.m >= 4 for r in some)
+    nodes = [(r.path, r.role, r.m, r.presentation, r.content) for r in tree.collect()]
+    low = html_extraction.low_branches([tuple(r.node) for r in some], {r.node.path: (r.rare, r.clear) for r in some if r.rare})
+    assert low == html_extraction.low_branches(nodes) and "/html/body/div.box" in low and "/html/body/div.wrap/p" in low
+    got = {r.page_id: r.text for r in html_extraction.extract(df, ["page_id"]).collect()}
+    assert all(got[i] == f"Story {i}\nSame" for i in range(60))
+
+
 def test_a_branch_with_an_important_part_stays():
     node = lambda p, m, cont, role="": (p, role, m, 0.0, cont)
     tree = [node("/html", 9, None), node("/html/body", 9, None), node("/html/body/div", 9, 0.0), node("/html/body/p", 9, 1.0),
