@@ -1,23 +1,23 @@
-"""Suffix-array dedup by distributed prefix doubling (operator 5): repeated byte strings are removed.
+"""Removal of repeated byte strings (operator 5), without the suffix array that was dealt.
 
 A byte goes if some ``WIDTH``-byte string that covers it also starts anywhere else. Ranking all
-suffixes costs one sorted (position, rank) pair per byte and round, over 20 times the input; so the
-doubling runs on the suffixes at sampled positions that every long string is bound to hold:
+suffixes costs one sorted (position, rank) pair per byte and round, 40 times the input in one round
+measured on sf0.1 (README, "Where the method met the limits"). So no suffix is ranked; the strings at
+sampled positions that every long string is bound to hold are grouped by their content hashes:
 
 1. In the tasks, the names of the strings of 1, 2, 4, ... ``SEED`` bytes at every position follow from
    each other, name(2h) = pair(name(h) here, name(h) at offset h). A ``WIDTH``-byte string is filed
    under its *anchor*, the position in it whose ``SEED``-byte name is least (leftmost if tied), so
    equal strings are filed under equal names. Neighbouring strings with one anchor are one claim:
    about one claim in 65 bytes.
-2. Spark groups the claims by the rank of their anchor (32 bytes). Unique ones are done and leave.
-3. The rest are ranked by the pair (rank, name of the whole stretch, 200 to 368 bytes): equal pairs
+2. Spark groups the claims by the name of their anchor (32 bytes). Unique ones are done and leave.
+3. The rest are grouped by the pair (anchor, name of the whole stretch, 200 to 368 bytes): equal pairs
    are past the threshold, their stretch goes as a whole.
-4. What is left is ranked on growing strings around the anchor: blocks of ``BLOCK`` offsets share a core
+4. What is left is grouped on growing strings around the anchor: blocks of ``BLOCK`` offsets share a core
    of 169 bytes; blocks with a unique core leave, equal whole blocks are settled.
 5. Last, the remaining single strings of 200 bytes.
 
-Ranks are names (64 bits; every decision compares two independent ones), so no round needs a dense
-renumbering; each round is a map-side aggregated grouping and an equi-join (``repeats.settle``), and
+Names have 64 bits, and every decision compares two independent ones; each round is a map-side aggregated grouping and an equi-join (``repeats.settle``), and
 its survivors are written to the shared folder.
 
 Defined results: null text reads as empty; texts shorter than ``WIDTH`` keep everything; rows equal in
