@@ -5,7 +5,8 @@ Every line with a word is a position of the sequence; a linear-chain CRF scores
 the lines, and the share of words on content lines decides whether a document is retained.
 
 The CRF is trained here on a bounded sample of labelled documents: the ``MAX_TRAIN`` labelled rows
-with the smallest hash of doc_id, every line taking the label of its document (quality 1: content).
+with the smallest hash of doc_id, every line taking the label of its document (quality 1: content);
+in that order, documents with which the sample would pass ``MAX_LINES`` lines are left out of training.
 Training runs on those rows' line features on the driver; decoding runs in the tasks on all
 documents, each on its whole text.
 
@@ -28,6 +29,7 @@ from playmart.sources.tables import read_table
 from .common import documents
 
 MAX_TRAIN = 1500
+MAX_LINES = 100_000
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
 SPACES = "\t\n\x0b\x0c\r "
@@ -177,11 +179,29 @@ def train(sequences: list[tuple[np.ndarray, int]], steps: int = 150, rate: float
     return w, trans
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
-    """Train on the ``max_train`` labelled documents with the smallest hash of doc_id (a stated bound)."""
+def within(sizes: list[tuple[int, int]], most: int) -> list[int]:
+    """The ids of [(id, lines)], in order, whose lines fit into ``most`` together with those taken before."""
+    out, total = [], 0
+    for i, n in sizes:
+        if total + n <= most:
+            out.append(i)
+            total += n
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_lines: int = MAX_LINES):
+    """Train on the ``max_train`` labelled documents with the smallest hash of doc_id, of these on ``max_lines``
+    lines at most (stated bounds)."""
     chosen = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
               .orderBy(F.crc32(F.col("doc_id").cast("string")), "doc_id").limit(max_train))
-    rows = (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    lines = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*"))  # those with a word
+    sizes = (texts.groupBy("doc_id").agg(F.sum(lines).alias("n"))
+             .select("doc_id", "n", F.crc32(F.col("doc_id").cast("string")).alias("at")).collect())
+    ids = within([(r.doc_id, r.n) for r in sorted(sizes, key=lambda r: (r.at, r.doc_id))], max_lines)
+    if len(ids) < len(sizes):
+        texts = texts.where(F.col("doc_id").isin(ids))
+    rows = (texts
             .mapInArrow(_featurise, "quality int, lines int, features binary").collect())
     width = len(FEATURES)
     seqs = [(np.frombuffer(bytes(r.features), dtype=np.uint8).reshape(r.lines, width).astype(np.float64),

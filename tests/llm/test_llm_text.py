@@ -129,6 +129,20 @@ def test_crf_gradient_training_separates_lines(spark, sf_dir):
     assert np.mean([r.kept for r in junk]) < 0.1
 
 
+def test_training_sample_is_bounded_by_lines(spark, monkeypatch):
+    assert quality.within([(1, 3), (2, 90), (3, 5), (4, 3), (5, 2)], 10) == [1, 3, 5]
+    long = "\n".join(["one two", " ", "three"] * 2000)
+    df = spark.createDataFrame([(1, long), (2, "a b\n\n\t\nc d e"), (3, "x | y"), (4, "z ! z"), (5, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (4, 0), (5, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", seen.extend)
+    quality.fit(df, labels, max_lines=100)
+    assert sorted(len(f) for f, _ in seen) == [1, 1, 2]
+    seen.clear()
+    quality.fit(df, labels, max_lines=4004)
+    assert sorted(len(f) for f, _ in seen) == [1, 1, 2, 4000]
+
+
 def test_quality_without_labels_or_rows(spark, unique_docs, no_docs, sf):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.fit(unique_docs, none) is quality.PRIOR
