@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (bpe, fingerprints, html_extraction, jaccard_join, kd_sharding, language_id, mixing, quality, recompression,
-               simhash, suffix_dedup)
+from . import (bpe, fingerprints, html_extraction, jaccard_join, kd_sharding, language_id, mixing, periodic_runs, quality,
+               recompression, simhash, suffix_dedup)
 
 QUERIES = {
     "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_trie_jaccard_join": jaccard_join.op8_trie_jaccard_join,
     "op9_recompression_dedup": recompression.op9_recompression_dedup,
     "op10_site_style_tree": html_extraction.op10_site_style_tree,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op13_simhash_golay": simhash.op13_simhash_golay,
     "pipeline": corpus_pipeline.run,
 }
