@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (bpe, fingerprints, html_extraction, jaccard_join, kd_sharding, language_id, mixing, periodic_runs, quality,
-               recompression, simhash, suffix_dedup)
+from . import (bpe, conversation_trie, fingerprints, html_extraction, jaccard_join, kd_sharding, language_id,
+               mixing, periodic_runs, quality, recompression, simhash, suffix_dedup)
 
 QUERIES = {
     "op1_oph_fingerprints": fingerprints.op1_oph_fingerprints,
@@ -19,10 +19,11 @@ QUERIES = {
     "op9_recompression_dedup": recompression.op9_recompression_dedup,
     "op10_site_style_tree": html_extraction.op10_site_style_tree,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_conversation_trie": conversation_trie.op12_conversation_trie,
     "op13_simhash_golay": simhash.op13_simhash_golay,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op2_mix_sources": mixing.ORACLE}
+ORACLE = {"op2_mix_sources": mixing.ORACLE, "op12_conversation_trie": conversation_trie.ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
