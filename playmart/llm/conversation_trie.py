@@ -24,6 +24,7 @@ key: its ids (16 bytes a turn) are held by one task.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -228,7 +229,7 @@ def chunk_nodes(keys: list[bytes], ids: list[int], sizes: list) -> list[dict]:
     return out
 
 
-def _nodes(batches):
+def _nodes(chunk_rows: int, batches):
     import pyarrow as pa
     kinds = {"binary": pa.binary(), "long": pa.int64(), "array<long>": pa.list_(pa.int64()), "string": pa.string()}
     columns = [(c, kinds[t]) for c, t in (x.split(" ") for x in PARTS.split(", "))]
@@ -247,7 +248,7 @@ def _nodes(batches):
             ids.append(c)
             sizes.append(s)
             total += len(key)
-            if len(keys) >= CHUNK_ROWS or total >= CHUNK_BYTES:
+            if len(keys) >= chunk_rows or total >= CHUNK_BYTES:
                 yield from emit(keys, ids, sizes)
                 keys, ids, sizes, total = [], [], [], 0
     if keys:
@@ -305,11 +306,11 @@ def rebuilt(turns: DataFrame) -> DataFrame:
     return lists.select("conv_id", F.concat(first, own).alias("turns"))
 
 
-def prefix_trie(lists: DataFrame) -> DataFrame:
+def prefix_trie(lists: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per trie node (columns ``NODE``) of conversations with their turns (conv_id, turns)."""
     rows = stored(lists.select("conv_id", F.unhex(F.array_join("turns.id", "")).alias("key"), F.col("turns.size").alias("sizes")),
                   "trie-keys")
-    parts = stored(rows.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").mapInArrow(_nodes, PARTS),
+    parts = stored(rows.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id").mapInArrow(partial(_nodes, chunk_rows), PARTS),
                    "trie-parts")
     opened = parts.where("path is not null")
     digests = (opened.where("size(ends) > 0").select("path", "ends").withColumn("at", F.get("ends", F.lit(0)))

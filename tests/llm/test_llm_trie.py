@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
-from functools import partial
 
 import pytest
 
@@ -73,11 +72,10 @@ def conversations(seed=1, n=120):
 
 
 @pytest.mark.parametrize("chunk", [7, 50_000])
-def test_nodes_match_a_plain_trie(spark, monkeypatch, tmp_root, chunk):
+def test_nodes_match_a_plain_trie(spark, tmp_root, chunk):
     rows = conversations()
-    monkeypatch.setattr(ct, "_nodes", partial(_in_chunks, chunk))
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(5)
-    got = sorted((tuple(r) for r in ct.prefix_trie(ct.turn_lists(df)).collect()), key=str)
+    got = sorted((tuple(r) for r in ct.prefix_trie(ct.turn_lists(df), chunk).collect()), key=str)
     assert got == plain(lists(rows))
     path = f"{tmp_root}/llm-trie-{chunk}"
     df.write.mode("overwrite").parquet(f"{path}/conversations.parquet")
@@ -86,15 +84,6 @@ def test_nodes_match_a_plain_trie(spark, monkeypatch, tmp_root, chunk):
     assert sorted((tuple(r) for r in out.collect()), key=str) == plain(rebuild(lists(rows)))
 
 
-_whole = ct._nodes
-
-
-def _in_chunks(rows, batches):
-    from playmart.llm import conversation_trie
-    conversation_trie.CHUNK_ROWS = rows
-    return _whole(batches)
-
-
 def test_empty_and_turnless(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert ct.prefix_trie(ct.rebuilt(none)).count() == 0
