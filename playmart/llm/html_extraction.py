@@ -11,21 +11,23 @@ holds a text decides on it and what is important keeps the branches around it. T
 Spark per (host, path, value), so a host with a third of all pages is pre-aggregated in the map tasks.
 
 Tags, roles, classes and ids that name a function are a prior on the importance. Inside article, main
-and the like, importance 1 counts as ``MAIN_PAGES`` more pages. Menus, footers, adverts, forms and so on
-weigh ``NOISE_WEIGHT`` in the element around them, and as no measured importance lifts that weight over
-``LOW``, names decide there: no entropy tells a menu that links elsewhere on every page from an article
-(README, "Where the method met the limits"). Where all texts of a main element, or outside of these of
-the page, are below ``LOW``, the pages are copies of each other: the parts are not judged, so an article
-that a host prints on several pages stays. Text outside main elements is main text too where no name and no
-importance speaks against it.
-
-A name is a whole class, id, role or itemprop ("has-sidebar" is no sidebar). A noise name alone does not
-remove an element with more than half of a page's text; it does so with a second sign: over ``LINK_SHARE``
-of the text are links, or it is under ``LONG`` characters and the page has a main element beside it.
+and the like, importance 1 counts as ``MAIN_PAGES`` more pages. What menus, footers, adverts, forms and so on
+hold is weighed by how much of a page they are: an element named so counts ``NOISE_WEIGHT`` and, for the
+rest, the cube of the share of the page's text that it holds outside links, text of main elements elsewhere
+weighing ``MAIN_WEIGHT`` times. Its importance is the measured one times the mean of that weight over its pages, so a
+"sidebar" that is the page stays, and a menu that links elsewhere on every page goes, which no entropy
+tells from an article (README, "Where the method met the limits"). Where all texts of a main element, or
+outside of these of the page, are below ``LOW``, the pages are copies of each other: the parts are not judged,
+so an article that a host prints on several pages stays. Text outside main elements is main text too where no
+name and no importance speaks against it.
+
+A name is a whole class, id, role or itemprop ("has-sidebar" is no sidebar) of a block element: inline
+elements of any name, formulas and drawings with text belong to the block around them.
 
 Defined results: null html reads as empty and gives an empty text; null or odd urls share the host
 ""; hosts with fewer than ``MIN_PAGES`` pages for a node give it importance 1; repeated pages count
-as pages. Unclosed and stray tags are tolerated.
+as pages. Unclosed and stray tags are tolerated; as browsers do, a page that ends inside a tag, a comment
+or a script loses what that tag or comment holds. Pages are read in one pass, in time linear in their length.
 """
 
 from __future__ import annotations
@@ -46,18 +48,20 @@ from .common import stored
 LOW = 0.2
 DEPTH_WEIGHT = 0.9
 MIN_PAGES = 4
-LINK_SHARE = 0.6
-LONG = 500
 NOISE_WEIGHT = 0.1
 MAIN_PAGES = 1
-#: Stands in a path for the texts that an element holds itself.
-OWN = "#"
+MAIN_WEIGHT = 20
+MAX_DEPTH = 256
+#: Stand at the end of a path: the texts that an element holds itself; an element kept against its name.
+OWN, KEPT = "#", "+"
 
-#: Fixed values of HTML: elements without content, raw-text elements, inline elements.
+#: Fixed values of HTML: elements without content, elements whose content is never shown as text, inline elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noframes xmp template select svg math object canvas audio video".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr img".split())
+RAW = frozenset("script style textarea title iframe noembed noframes template select datalist canvas audio video".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark object q rp rt ruby s samp "
+                   "small span strike strong sub sup time tt u var wbr img math mi mo mn ms mtext mspace mrow msup msub msubsup "
+                   "mfrac msqrt mroot mover munder munderover mstyle mpadded mphantom menclose mmultiscripts mtable mtr mtd "
+                   "semantics svg g text tspan path rect circle ellipse line polyline polygon defs use symbol".split())
 #: An opening tag closes the nearest open element of these names, up to the boundary names.
 CLOSES = {"p": ({"p"}, {"table", "td", "th", "article", "section", "div", "li", "blockquote"}),
           "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -77,20 +81,21 @@ NOISE_OUTSIDE = frozenset("header siteheader pageheader masthead banner notice n
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_NAMES = frozenset("article articlebody main".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: One attribute or the end of the tag; no part of it can be matched in two ways.
+_ATTRIBUTE = re.compile(r"""[\s/]*+(?:(>)|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?+)""")
+_NAMING = frozenset(("class", "id", "role", "itemprop"))
 _FILL = re.compile(r"[\d_-]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "named", "role", "path", "children", "inner", "size", "linked", "main")
+    __slots__ = ("tag", "label", "named", "role", "path", "children", "size", "linked", "main", "weight")
 
     def __init__(self, tag, label, named):
         self.tag, self.label, self.named, self.role, self.path = tag, label, named, "", ""
         self.children: list = []  # Node, or (text, characters in links) for a text block
-        self.inner = 0  # open inline elements of the same name
-        self.size = self.linked = self.main = 0  # characters below: all, in links, in main elements
+        self.size = self.linked = self.main = 0  # characters below: all, in links, in main elements outside links
+        self.weight = 1.0  # of an element named as noise
 
 
 def _named(tag: str, names: set[str]) -> str:
@@ -106,8 +111,7 @@ def _named(tag: str, names: set[str]) -> str:
 
 
 def _settle(root: Node) -> None:
-    """Roles and paths. A noise name does not count for an element with most of the page's text, unless that is
-    mostly links, or a short text beside a main element; its label then says so, as it is another node of the tree."""
+    """Roles, paths and weights: 'noise' for elements named so (what they hold has roles of its own), 'main', or ''."""
     order = list(elements(root))
     for node in (*reversed(order), root):
         for c in node.children:
@@ -119,32 +123,92 @@ def _settle(root: Node) -> None:
                 node.size += len(c[0])
                 node.linked += c[1]
         if node.named.endswith("main"):
-            node.main = node.size
+            node.main = node.size - node.linked
     for node in (root, *order):
+        paths: dict[str, str] = {}
         for c in node.children:
             if not isinstance(c, Node):
                 continue
-            c.role = node.role
-            if c.role != "noise":
-                main = c.role == "main" or c.named.endswith("main")
-                if c.named == "noise" or c.named.startswith("outside") and c.role != "main":
-                    most = 2 * c.size > root.size and c.linked <= LINK_SHARE * c.size
-                    if most and (c.size >= LONG or c.main == root.main):
-                        c.label += "!"
-                        c.role = "main" if main else ""
-                    else:
-                        c.role = "noise"
-                elif main:
-                    c.role = "main"
-            c.path = f"{node.path}/{c.label}"
+            main = node.role == "main" or c.named.endswith("main")
+            if c.named == "noise" or c.named.startswith("outside") and node.role != "main":
+                c.role = "noise"
+                own = c.size - c.linked
+                whole = root.size + (MAIN_WEIGHT - 1) * (root.main - c.main)
+                c.weight = NOISE_WEIGHT + (1 - NOISE_WEIGHT) * (own / whole if own else 0.0) ** 3
+            elif main:
+                c.role = "main"
+            c.path = paths.get(c.label) or paths.setdefault(c.label, f"{node.path}/{c.label}")
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, list]]:
+    """(kind, value, names): ('text', text, []), ('open', tag, names of class, id, role and itemprop), ('close', tag, []).
+
+    One pass: every search either ends behind what it has read or ends the page.
+    """
+    at, end = 0, len(page)
+    unclosed: set[str] = set()  # raw elements that nothing further down closes
+    while at < end:
+        i = page.find("<", at)
+        if i < 0:
+            yield "text", page[at:], []
+            return
+        if i > at:
+            yield "text", page[at:i], []
+        m = _TAG.match(page, i)
+        if not m:
+            stop = ">"
+            if page.startswith("<!--", i):
+                at, stop = i + 4, "-->"
+                if page.startswith((">", "->"), at):
+                    at, stop = i + 2, ">"
+            elif page.startswith("<![CDATA[", i):
+                at, stop = i + 9, "]]>"
+            elif page.startswith(("<!", "<?", "</"), i):
+                at = i + 2
+            else:
+                yield "text", "<", []
+                at = i + 1
+                continue
+            at = page.find(stop, at)
+            if at < 0:
+                return
+            at += len(stop)
+            continue
+        at, names = m.end(), []
+        while (a := _ATTRIBUTE.match(page, at)) and not a[1]:
+            at = a.end()
+            if a[2].lower() in _NAMING:
+                names.append(a[3] or a[4] or a[5] or "")
+        if not a:  # the page ends inside the tag
+            return
+        at = a.end()
+        tag = m[2].lower()
+        if m[1]:
+            yield "close", tag, []
+            continue
+        yield "open", tag, names
+        if tag == "xmp" or tag in RAW and tag not in unclosed:
+            close = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
+            if tag == "xmp":
+                yield "text", _html.escape(page[at:close.start() if close else end]), []
+                at = close.end() if close else end
+                yield "close", tag, []
+            elif close:
+                at = close.end()
+            elif tag in ("script", "style", "title", "textarea"):
+                return
+            else:
+                unclosed.add(tag)
 
 
 def parse(page: str) -> Node:
-    """A tolerant DOM: elements with paths and roles; inline markup is folded into text blocks."""
+    """A tolerant DOM: elements with paths, roles and weights; inline markup is folded into text blocks."""
     root = Node("", "", "")
     stack = [root]
+    open_tags: dict[str, int] = defaultdict(int)  # so that a tag that is not open costs no search
     text: list[str] = []
     linked = [0, 0]
+    anchor = 0
 
     def flush():
         if text:
@@ -155,79 +219,51 @@ def parse(page: str) -> Node:
         linked[0] = linked[1] = 0
 
     def pop_to(names, bounds=()):
+        if not any(open_tags[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
                 flush()
+                for n in stack[i:]:
+                    open_tags[n.tag] -= 1
                 del stack[i:]
                 return
             if stack[i].tag in bounds:
                 return
 
-    at, anchor = 0, 0
-    end = len(page)
-    while at < end:
-        i = page.find("<", at)
-        m = None
-        while i >= 0 and not (m := _TOKEN.match(page, i)):  # a lone < is text
-            i = page.find("<", i + 1)
-        piece = page[at:i if m else end]
-        if piece:
-            text.append(piece)
-            n = len(piece.strip())
+    for kind, value, names in tokens(page):
+        if kind == "text":
+            text.append(value)
+            n = len(value.strip())
             linked[1] += n
             if anchor:
                 linked[0] += n
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "a":
+        elif kind == "close":
+            if value == "a":
                 anchor = max(0, anchor - 1)
-            elif tag not in INLINE:
-                pop_to({tag})
-            elif hit := next((n for n in reversed(stack) if n.tag == tag), None):
-                if hit.inner:
-                    hit.inner -= 1
-                else:
-                    pop_to({tag})
-            continue
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end if tag in ("script", "style", "title", "textarea") else at
-            if tag not in INLINE:
-                flush()
-            continue
-        if tag == "br":
+            elif value not in INLINE:
+                pop_to({value})
+        elif value in INLINE:
+            anchor += value == "a"
+        elif value in RAW:
+            flush()
+        elif value == "br":
             text.append(" ")
-            continue
-        tokens, names = set(), []
-        if m[3]:
-            for a in _NAMES.finditer(m[3]):
-                value = a[2] or a[3] or a[4] or ""
-                names.append(re.sub(r"[\d/]+", "", value.lower()))
-                tokens.update(_FILL.sub("", x) for x in value.lower().split())
-        hidden = tag in INLINE and tokens & NOISE_NAMES and tag != "a"
-        if tag in INLINE and not hidden:
-            if tag == "a":
-                anchor += 1
-            elif tag not in VOID and (hit := next((n for n in reversed(stack) if n.tag == tag), None)):
-                hit.inner += 1
-            continue
-        if tag in CLOSE_P:
-            pop_to({"p"}, CLOSES["p"][1])
-        if tag in CLOSES:
-            pop_to(*CLOSES[tag])
-        flush()
-        if tag in VOID:
-            continue
-        if not hidden:
+        else:
+            if value in CLOSE_P:
+                pop_to({"p"}, CLOSES["p"][1])
+            if value in CLOSES:
+                pop_to(*CLOSES[value])
+            flush()
+            if value in VOID:
+                continue
             anchor = 0
-        node = Node(tag, tag + "".join("." + x for x in names), _named(tag, tokens))
-        stack[-1].children.append(node)
-        stack.append(node)
+            words = {_FILL.sub("", x) for v in names for x in v.lower().split()}
+            label = value + "".join("." + re.sub(r"[\d/]+", "", v.lower()) for v in names)
+            node = Node(value, label, _named(value, words))
+            stack[min(len(stack), MAX_DEPTH) - 1].children.append(node)  # as browsers do: deeper ones become neighbours
+            stack.append(node)
+            open_tags[value] += 1
     flush()
     _settle(root)
     return root
@@ -252,16 +288,17 @@ def style_of(node: Node) -> str:
 
 
 def main_text(root: Node, low: frozenset = frozenset()) -> str:
-    """Blocks of all branches that are neither low nor named as noise."""
+    """Blocks of all branches that are not low. An element named as noise on too few pages to be judged by
+    its host (neither low nor kept) has importance 1 times its own weight."""
     blocks: list[str] = []
     todo: list = [(root, root)]
     while todo:
         c, parent = todo.pop()
-        if isinstance(c, Node):
-            if c.role != "noise" and c.path not in low:
-                todo.extend((x, c) for x in reversed(c.children))
-        elif f"{parent.path}/{OWN}" not in low:
-            blocks.append(c[0])
+        if not isinstance(c, Node):
+            if f"{parent.path}/{OWN}" not in low:
+                blocks.append(c[0])
+        elif c.path not in low and (c.role != "noise" or c.weight >= LOW or f"{c.path}/{KEPT}" in low):
+            todo.extend((x, c) for x in reversed(c.children))
     return "\n".join(blocks)
 
 
@@ -274,29 +311,33 @@ def digest(value: str) -> int:
 
 
 def _nodes(batches):
-    """(host, path, role, kind, value, full) once per page: kind 0 a style, kind 1 a text of an element, both as
+    """(host, path, role, kind, value, full, weight) once per page: kind 0 a style, kind 1 a text of an element, both as
     digests; full if there is text in the element or below."""
     import pyarrow as pa
-    types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_())
+    types = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.float64())
     for b in batches:
         out = []
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
-            seen = set()
+            seen: dict = {}
             for n in elements(parse(page or "")):
-                seen.add((host, n.path, n.role, 0, digest(style_of(n)), n.size > 0))
-                seen.update((host, n.path, n.role, 1, digest(t), True) for t in texts_of(n))
-            out.extend(seen)
+                for key, full in (((0, digest(style_of(n))), n.size > 0), *(((1, digest(t)), True) for t in texts_of(n))):
+                    f, w = seen.get((n.path, n.role, *key), (False, 0.0))
+                    seen[n.path, n.role, *key] = f or full, max(w, n.weight)
+            out.extend((host, *k, *v) for k, v in seen.items())
         cols = list(zip(*out)) or [[]] * len(types)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["host", "path", "role", "kind", "value", "full"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                         ["host", "path", "role", "kind", "value", "full", "weight"])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """One row per (host, path): role, pages, presentation importance, content importance (null: no text
-    of its own), full (text in it or below)."""
-    counted = (pages.mapInArrow(_nodes, "host string, path string, role string, kind int, value long, full boolean")
-               .groupBy("host", "path", "role", "kind", "value").agg(F.count("*").alias("n"), F.max("full").alias("full")))
+    of its own), full (text in it or below), weight (mean over pages; 1 for what is not named as noise)."""
+    counted = (pages.mapInArrow(_nodes, "host string, path string, role string, kind int, value long, full boolean, weight double")
+               .groupBy("host", "path", "role", "kind", "value")
+               .agg(F.count("*").alias("n"), F.max("full").alias("full"), F.sum("weight").alias("weight")))
     node = (counted.groupBy("host", "path", "role")
             .agg(F.max("full").alias("full"), F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
+                 F.sum(F.when(F.col("kind") == 0, F.col("weight"))).alias("weight"),
                  F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("s"),
                  F.sum(F.when(F.col("kind") == 1, F.log("n"))).alias("t"),
                  F.sum(F.when(F.col("kind") == 1, 1)).alias("texts")))
@@ -305,7 +346,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
     return node.select(
         "host", "path", "role", "m", "full",
         F.when(few, 1.0).otherwise(1 - F.col("s") / (F.col("m") * F.log("m"))).alias("presentation"),
-        F.when(few & F.col("texts").isNotNull(), 1.0).otherwise(1 - F.col("t") / (F.col("texts") * F.log("m"))).alias("content"))
+        F.when(few & F.col("texts").isNotNull(), 1.0).otherwise(1 - F.col("t") / (F.col("texts") * F.log("m"))).alias("content"),
+        F.round(F.col("weight") / F.col("m"), 9).alias("weight"))
 
 
 def frequent(tree: DataFrame) -> DataFrame:
@@ -316,31 +358,33 @@ def frequent(tree: DataFrame) -> DataFrame:
     parent needs; paths that only a few pages have (a slug in an id) are never gathered by host.
     """
     own = F.col("m") >= MIN_PAGES
-    weight = F.when(F.col("role") == "noise", NOISE_WEIGHT).otherwise(1.0) * F.col("m")
+    weight = F.col("weight") * F.col("m")
     return (tree.groupBy("host", F.when(own, F.col("path")).otherwise(F.regexp_replace("path", "/[^/]*$", "")).alias("_at"))
-            .agg(F.max(F.when(own, F.struct("path", "role", "m", "presentation", "content"))).alias("node"),
+            .agg(F.max(F.when(own, F.struct("path", "role", "m", "presentation", "content", "weight"))).alias("node"),
                  F.sum(F.when(~own & F.col("full"), weight).otherwise(0.0)).alias("rare"),
-                 F.max(~own & F.col("full") & (F.col("role") != "noise")).alias("clear"))
+                 F.max(~own & F.col("full") & (F.col("weight") >= LOW)).alias("clear"))
             .where("node is not null or _at = ''").select("host", "node", "rare", "clear"))
 
 
-def low_branches(nodes: list[tuple[str, str, int, float, float | None]],
-                 rare: dict[str, tuple[float, bool]] | None = None) -> list[str]:
-    """Paths of a host's tree below LOW together with all that is in them; ``path/OWN`` stands for an element's own texts.
+def low_branches(nodes: list[tuple], rare: dict[str, tuple[float, bool]] | None = None) -> list[str]:
+    """Paths of a host's tree below LOW together with all that is in them; ``path/OWN`` stands for an element's own texts,
+    ``path/KEPT`` for an element kept against its name.
 
-    ``rare``: by path the weight of nodes right under it that are not in ``nodes`` and have importance 1, and whether
-    one of them is no noise.
+    ``nodes``: (path, role, pages, presentation importance, content importance or None, weight). ``rare``: by path the
+    weight of nodes right under it that are not in ``nodes`` and have importance 1, and whether one of them stays.
     """
     rare = rare or {}
-    own = {p: (role, m, pres, cont) for p, role, m, pres, cont in nodes}
+    own = {p: (role, m, pres, cont) for p, role, m, pres, cont, *_ in nodes}
+    named = {n[0]: n[5] if len(n) > 5 else NOISE_WEIGHT for n in nodes if n[1] == "noise"}
     children = defaultdict(list)
     for p in own:
         children[p.rpartition("/")[0]].append(p)
+    deep = sorted(own, key=lambda x: -x.count("/"))
     weight: dict[str, float] = {}  # none for what holds no text
     score: dict[str, float] = {}
-    for p in sorted(own, key=lambda x: -x.count("/")):
+    for p in deep:
         role, m, pres, cont = own[p]
-        weight[p] = m * (NOISE_WEIGHT if role == "noise" else 1.0) * (cont is not None or p in rare or any(weight[c] for c in children[p]))
+        weight[p] = m * named.get(p, 1.0) * (cont is not None or p in rare or any(weight[c] for c in children[p]))
         below = [(weight[c], score[c]) for c in children[p] if weight[c]] + ([(m, cont)] if cont is not None else [])
         if p in rare:
             below.append((rare[p][0], 1.0))
@@ -349,40 +393,45 @@ def low_branches(nodes: list[tuple[str, str, int, float, float | None]],
             continue
         g = DEPTH_WEIGHT if children[p] or p in rare else 1.0
         score[p] = (1 - g) * pres + g * sum(w * s for w, s in below) / sum(w for w, _ in below)
+    noise = {p for p, w in named.items() if score[p] * w < LOW}
 
     def importance(role: str, m: int, measured: float) -> float:
         return (m * measured + MAIN_PAGES) / (m + MAIN_PAGES) if role == "main" else measured
 
     # parts are judged where some text of their whole (the outermost main element, or the page) differs between pages
     best: dict[str, float] = {}
-    for p in (*sorted(own, key=lambda x: -x.count("/")), ""):
-        found = [best[c] for c in children[p] if own[c][0] != "noise"]
+    for p in (*deep, ""):
+        found = [best[c] for c in children[p] if c not in noise]
         best[p] = max([0.0, *found, float(p in rare and rare[p][1]), own[p][3] or 0.0 if p in own else 0.0])
     judged: dict[str, bool] = {}
-    for p in sorted(own, key=lambda x: x.count("/")):
+    for p in reversed(deep):
         parent = p.rpartition("/")[0]
         first = own[p][0] == "main" and (parent not in own or own[parent][0] != "main")
         judged[p] = best[p] >= LOW if first else judged.get(parent, best[""] >= LOW)
-    out: list[str] = []
+    own_low: dict[str, bool] = {}
     all_low: dict[str, bool] = {}
-    for p in sorted(own, key=lambda x: -x.count("/")):
+    for p in deep:
         role, m, _, cont = own[p]
-        text_low = cont is not None and importance(role, m, cont) < LOW
-        all_low[p] = role == "noise" or (judged[p] and importance(role, m, score[p]) < LOW and (cont is None or text_low) and p not in rare
-                                         and all(all_low[c] for c in children[p]))
-        if role == "noise":
-            continue
-        if all_low[p]:
-            out.append(p)
-        elif text_low and judged[p]:
-            out.append(f"{p}/{OWN}")
-    return sorted(out)
+        own_low[p] = judged[p] and cont is not None and importance(role, m, cont) < LOW
+        all_low[p] = p in noise or (judged[p] and importance(role, m, score[p]) < LOW and (cont is None or own_low[p])
+                                    and p not in rare and all(all_low[c] for c in children[p]))
+    out: set[str] = set()
+    for p in reversed(deep):  # parents first: nothing is listed below a branch that goes
+        if p.rpartition("/")[0] in out:
+            out.add(p)
+        elif all_low[p]:
+            out.add(p)
+        elif own_low[p]:
+            out.add(f"{p}/{OWN}")
+        if p in named and p not in out:
+            out.add(f"{p}/{KEPT}")
+    return sorted(x for x in out if x.rpartition("/")[0] not in out)
 
 
 def _low(batches):
     import pyarrow as pa
     for b in batches:
-        low = [low_branches([tuple(n["node"][k] for k in ("path", "role", "m", "presentation", "content")) for n in nodes if n["node"]],
+        low = [low_branches([tuple(n["node"][k] for k in ("path", "role", "m", "presentation", "content", "weight")) for n in nodes if n["node"]],
                             {n["node"]["path"] if n["node"] else "": (n["rare"], n["clear"]) for n in nodes if n["rare"]})
                for nodes in b.column("nodes").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(low, pa.list_(pa.string()))], ["host", "low"])
