@@ -9,8 +9,8 @@ count as one blank, which also stands before and after the text.
 Prototypes are summed over all training rows: each task bundles its rows per language and emits one
 vector per language it met, and these are added up, so what is shuffled and gathered is languages x
 ``DIM`` numbers whatever the size of the corpus. Only text and lang of training rows are read.
-Text profiles are computed as (texts x distinct trigrams) @ (trigrams x DIM) for a slice of rows at
-a time; whole texts are used.
+Text profiles are sums over blocks of trigrams, as a product where most texts of a slice have most of
+them and from the sorted (trigram, text) pairs elsewhere; whole texts are used.
 
 Defined results: null text, or text without a letter, gets ``und`` with score 0, as does every
 text when nothing was learned; equal cosines go to the first language in code point order; scores
@@ -26,7 +26,8 @@ from .common import documents, slices
 
 DIM = 1024
 UNKNOWN = "und"
-SLICE_BYTES = 1 << 19
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 2048
+PIECE, BLOCK, VECTORS = 1 << 18, 1 << 19, 4096
 _letters: list[np.ndarray] = []
 _vectors: dict[int, np.ndarray] = {}
 
@@ -67,15 +68,25 @@ def counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     tri = (ids[:-2] * a + ids[1:-1]) * a + ids[2:]
     ok = (doc[:-2] == doc[2:])
     tri, doc = tri[ok], doc[:-2][ok]
-    if a ** 3 <= 1 << 22:
-        used = np.flatnonzero(np.bincount(tri, minlength=a ** 3))
-        at = np.zeros(a ** 3, dtype=np.int64)
-        at[used] = np.arange(len(used))
-        col = at[tri]
-    else:
-        used, col = np.unique(tri, return_inverse=True)
+    used, col = _distinct(tri, a ** 3)
     m = np.bincount(doc * len(used) + col, minlength=len(texts) * len(used)).reshape(len(texts), len(used))
-    return m.astype(np.float32), np.stack([alphabet[used // (a * a)], alphabet[used // a % a], alphabet[used % a]], 1)
+    return m.astype(np.float32), _letters_in(used, alphabet)
+
+
+def _distinct(tri: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams that occur and, for each element, its number among them; all are below ``size``."""
+    if size > 1 << 22:
+        return np.unique(tri, return_inverse=True)
+    used = np.flatnonzero(np.bincount(tri, minlength=size))
+    at = np.zeros(size, dtype=np.int64)
+    at[used] = np.arange(len(used))
+    return used, at[tri]
+
+
+def _letters_in(tri: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
+    """Code points (trigrams, 3)."""
+    a = len(alphabet)
+    return np.stack([alphabet[tri // (a * a)], alphabet[tri // a % a], alphabet[tri % a]], 1)
 
 
 def _compact(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,17 +105,72 @@ def trigram_vectors(tri: np.ndarray) -> np.ndarray:
     return (r2[at[:, 0]] * r1[at[:, 1]] * v[at[:, 2]]).astype(np.float32)
 
 
+def profiles(texts: list[str | None], owner: np.ndarray | None = None, n: int | None = None) -> np.ndarray:
+    """Bundles (n, DIM) of the trigram vectors of each owner's texts (by default every text its own), float64.
+
+    Sequences are cut into pieces of ``PIECE`` letters that overlap by two, and read in blocks of ``BLOCK`` letters;
+    vectors exist for ``VECTORS`` trigrams at a time, so memory does not grow with a text or a script.
+    """
+    owner = np.arange(len(texts)) if owner is None else owner
+    out = np.zeros((len(texts) if n is None else n, DIM))
+
+    def add(seqs, who):
+        whom, who = np.unique(who, return_inverse=True)
+        codes = np.concatenate(seqs)
+        doc = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
+        same = doc[:-2] == doc[2:]
+        alphabet, ids = _compact(codes) if codes.max() <= 0xFFFF else np.unique(codes, return_inverse=True)
+        a = len(alphabet)
+        tri = ((ids[:-2] * a + ids[1:-1]) * a + ids[2:])[same]
+        used, col = _distinct(tri, a ** 3)
+        row = who[doc[:-2][same]]
+        if len(whom) * len(used) <= 16 * len(tri):  # most owners have most of the trigrams
+            m = np.bincount(row * len(used) + col, minlength=len(whom) * len(used)).reshape(len(whom), len(used)).astype(np.float32)
+            for k in range(0, len(used), VECTORS):
+                out[whom] += m[:, k:k + VECTORS] @ trigram_vectors(_letters_in(used[k:k + VECTORS], alphabet))
+            return
+        pair, times = np.unique(col * len(whom) + row, return_counts=True)
+        col, row = pair // len(whom), pair % len(whom)
+        for k in range(0, len(used), VECTORS):
+            vec = trigram_vectors(_letters_in(used[k:k + VECTORS], alphabet))
+            lo, hi = np.searchsorted(col, [k, k + VECTORS])
+            for x in range(lo, hi, VECTORS):
+                by = np.argsort(row[x:min(hi, x + VECTORS)], kind="stable") + x
+                start = np.flatnonzero(np.concatenate([[True], row[by][1:] != row[by][:-1]]))
+                out[whom[row[by][start]]] += np.add.reduceat(vec[col[by] - k] * times[by].astype(np.float32)[:, None], start, axis=0)
+
+    seqs, who, held = [], [], 0
+    for t, o in zip(texts, owner.tolist()):
+        s = letters_of(t)
+        for k in range(0, max(1, len(s) - 2), PIECE):
+            piece = s[k:k + PIECE + 2]
+            if len(piece) < 3:
+                continue
+            seqs.append(piece)
+            who.append(o)
+            held += len(piece)
+            if held >= BLOCK:
+                add(seqs, np.array(who))
+                seqs, who, held = [], [], 0
+    if seqs:
+        add(seqs, np.array(who))
+    return out
+
+
+def pieces(batch):
+    for s in slices(batch, SLICE_BYTES):
+        for k in range(0, s.num_rows, SLICE_ROWS):
+            yield s.slice(k, SLICE_ROWS)
+
+
 def _bundle(batches):
     """Sum of the trigram vectors per language over the rows of one task."""
     import pyarrow as pa
     total: dict[str, np.ndarray] = {}
     for b in batches:
-        for s in slices(b, SLICE_BYTES):
-            langs = np.array(s.column("lang").to_pylist(), dtype=object)
-            m, tri = counts(s.column("text").to_pylist())
-            vec = trigram_vectors(tri).astype(np.float64)
-            for lang in sorted(set(langs)):
-                row = m[langs == lang].sum(0, dtype=np.float64) @ vec
+        for s in pieces(b):
+            langs, owner = np.unique(np.array(s.column("lang").to_pylist(), dtype=object), return_inverse=True)
+            for lang, row in zip(langs, profiles(s.column("text").to_pylist(), owner, len(langs))):
                 total[lang] = total.get(lang, 0) + row
     yield pa.RecordBatch.from_pydict({
         "lang": pa.array([k for k in total for _ in range(DIM)], pa.string()),
@@ -136,18 +202,18 @@ def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
         import pyarrow as pa
         names = np.array([*langs, UNKNOWN], dtype=object)
         for b in batches:
-            for s in slices(b, SLICE_BYTES):
-                m, tri = counts(s.column("text").to_pylist())
-                pred = np.full(len(m), len(langs))
-                score = np.zeros(len(m))
-                if len(langs) and m.shape[1]:
-                    profile = m @ trigram_vectors(tri)
+            for s in pieces(b):
+                texts = s.column("text").to_pylist()
+                pred = np.full(len(texts), len(langs))
+                score = np.zeros(len(texts))
+                if len(langs):
+                    profile = profiles(texts)
                     norm = np.linalg.norm(profile, axis=1)
                     cos = (profile @ protos.T) / np.maximum(norm, 1e-12)[:, None]
                     best = cos.argmax(1)
-                    has = m.any(1)
+                    has = profile.any(1)
                     pred[has] = best[has]
-                    score[has] = np.clip(cos[np.arange(len(m)), best], 0, 1)[has]
+                    score[has] = np.clip(cos[np.arange(len(texts)), best], 0, 1)[has]
                 yield pa.RecordBatch.from_arrays([*(s.column(k) for k in keep), pa.array(names[pred], pa.string()),
                                                   pa.array(score.astype(np.float64))], [*keep, "lang_pred", "score"])
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
