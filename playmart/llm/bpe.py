@@ -24,7 +24,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import documents
+from .common import documents, stored
 
 CHUNK = 1 << 14
 OVERLAP = 1 << 10
@@ -166,7 +166,7 @@ def _encode(path: str | None, keep: list[str]):
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None,
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Add the array column ``ids`` with the token ids of the whole ``text``."""
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "bpe-rows")  # numbers that no retry changes
     texts = rows.select(F.col("_row").alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     enc = long_ids(texts, path, chunk, overlap).unionByName(
         texts.where(F.length("text") <= chunk)
@@ -229,7 +229,7 @@ def encode_digest(df: DataFrame, path: str | None = None, chunk: int = CHUNK, ov
     """Encode every whole text, decode the ids again and return one digest row per input row."""
     texts = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     short = texts.where(F.length("text") <= chunk).mapInArrow(_digest_texts(path), DIGEST)
-    long = texts.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
+    long = stored(texts.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id()), "bpe-long")
     ids = long_ids(long.select("row", "text"), path, chunk, overlap)
     digests = (ids.join(long.select("row", "doc_id"), "row").select("doc_id", "ids")
                .mapInArrow(_digest_ids(path), DIGEST))
