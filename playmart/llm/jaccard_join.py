@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import M1, documents, mix64, slices, stored, string_buffers
 from .components import components
 from .recompression import word_names
-from .repeats import KEY, NULL_ID, Chain, keyed
+from .repeats import KEY, NULL_ID, Chain, document_key, keyed
 
 NGRAM, SHARE = 4, 85
 STAGE_NGRAM, STAGE_SHARE = 5, 80
@@ -88,7 +88,7 @@ def parity_bits(s: np.ndarray) -> bytes:
     return np.packbits(odd, bitorder="little").tobytes()
 
 
-SETS = "did long, th int, sid long, m int, bits binary, gram long, n long"
+SETS = "did long, th long, sid long, m int, bits binary, gram long, n long"
 
 
 def _sets(ngram: int, batches):
@@ -103,7 +103,7 @@ def _sets(ngram: int, batches):
             k = int(often.sum())
             has = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([sl.column("did"), pa.nulls(k, pa.int64())]), pa.concat_arrays([sl.column("th"), pa.nulls(k, pa.int32())]),
+                [pa.concat_arrays([sl.column("did"), pa.nulls(k, pa.int64())]), pa.concat_arrays([sl.column("th"), pa.nulls(k, pa.int64())]),
                  pa.array([set_id(s) if h else None for s, h in zip(sets, has)] + none * k, pa.int64()),
                  pa.array([len(s) for s in sets] + none * k, pa.int32()),
                  pa.array([parity_bits(s) if h else None for s, h in zip(sets, has)] + none * k, pa.binary()),
@@ -408,7 +408,7 @@ def linked_sets(rows: DataFrame, sets: DataFrame, frequent: np.ndarray, ngram: i
     load = active.groupBy("bucket").agg(F.ceil(F.sum("m") / BUCKET_SHINGLES).alias("parts"))
     active = stored(active.join(load, "bucket").select("bucket", "parts", "sid", "rep.did", "rep.th"), "jaccard-active")
     # only texts of candidate sets are hashed and shuffled: a fixed-size bitmap filters the scan
-    some = rows.withColumn("h", _key_hash()).mapInArrow(partial(_whole_sets, key_bitmap(active), ngram), "did long, th int, grams binary")
+    some = rows.withColumn("h", _key_hash()).mapInArrow(partial(_whole_sets, key_bitmap(active), ngram), "did long, th long, grams binary")
     whole = some.join(active, KEY).select("bucket", "parts", "sid", "grams").dropDuplicates(["sid"])
     links = (spread_blocks(whole, "sid", "parts").select("bucket", "i", "j", "own", "sid", "grams")
              .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "sid")
@@ -416,9 +416,9 @@ def linked_sets(rows: DataFrame, sets: DataFrame, frequent: np.ndarray, ngram: i
     return components(links, "jaccard-links")
 
 
-def classes(docs: DataFrame, ngram: int = NGRAM, share: int = SHARE) -> DataFrame:
+def classes(docs: DataFrame, ngram: int = NGRAM, share: int = SHARE, key: dict | None = None) -> DataFrame:
     """did, th, m, and node: one row per document, equal nodes for documents that hang together (null: empty set)."""
-    rows = keyed(docs)
+    rows = keyed(docs, key)
     found = stored(rows.mapInArrow(partial(_sets, ngram), SETS), "jaccard-sets")
     sets = found.where("gram is null").select(*KEY, "sid", "m", "bits")
     top = (found.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -448,14 +448,14 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The stage links texts at ``STAGE_NGRAM`` words and ``STAGE_SHARE`` percent, the query at 4 and 85.
     Documents without words are linked with nothing and stay.
     """
-    from .repeats import key_columns
-    rows = stored(classes(docs.select("doc_id", "text"), STAGE_NGRAM, STAGE_SHARE), "jaccard-classes")
+    key = document_key(docs)
+    rows = stored(classes(docs.select("doc_id", "text"), STAGE_NGRAM, STAGE_SHARE, key), "jaccard-classes")
     grouped = rows.where("node is not null")
     keep = (grouped.groupBy("node", *KEY).agg(F.count("*").alias("times"))
             .groupBy("node").agg(F.min(F.struct(*KEY, "times")).alias("k")).select("k.did", "k.th", "k.times"))
     empty = rows.where("node is null").select(*KEY).distinct().withColumn("times", F.lit(1).cast("long"))
     keep = keep.unionByName(empty).select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("times").alias("_times"))
-    tagged = docs.withColumns({f"_{k}": c for k, c in key_columns().items()}).join(keep, ["_did", "_th"])
+    tagged = docs.withColumns({f"_{k}": c for k, c in key.items()}).join(keep, ["_did", "_th"])
     own = [F.col(f"`{c}`") for c in docs.columns]
     once = tagged.where("_times = 1").select(own)
     again = tagged.where("_times > 1").dropDuplicates(["_did", "_th"]).select(own)  # the same row several times

@@ -15,8 +15,9 @@ one partial row per task plus a join that adaptive execution can split.
 
 Rules: ``any`` marks windows that occur anywhere else; ``earlier`` marks windows that also occur in
 a document with a smaller key. A document row is identified by ``did`` (doc_id, null reads as the
-smallest long) and ``th`` (hash of its text): rows that repeat a doc_id are told apart by their
-text, and rows equal in both get the same marks.
+smallest long) and ``th`` (a 64-bit hash of its text): rows that repeat a doc_id are told apart by
+their text, and rows equal in both get the same marks. ``document_key`` makes sure of it: it looks for
+two texts that share a key and salts the hash until there are none.
 """
 
 from __future__ import annotations
@@ -29,20 +30,42 @@ from pyspark.sql import DataFrame, functions as F
 from .common import stored
 
 NULL_ID = -(1 << 63)
-CLAIM = "did long, th int, g long, u long, s int, n int, o int, want boolean"
+CLAIM = "did long, th long, g long, u long, s int, n int, o int, want boolean"
 KEY = ["did", "th"]
 
 
-def key_columns() -> dict:
+#: Bits of the text hash in a key (fewer only in tests).
+KEY_BITS = 64
+
+
+def key_columns(salt: int = 0) -> dict:
     """did and th of a document row (columns doc_id, text)."""
     text = F.coalesce("text", F.lit(""))
     return {"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-            "th": F.shiftrightunsigned(F.xxhash64(text), 33).cast("int")}
+            "th": F.shiftrightunsigned(F.xxhash64(text, F.lit(salt)), 64 - KEY_BITS)}
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """did, th and the text (null reads as empty)."""
-    k = key_columns()
+def document_key(docs: DataFrame) -> dict:
+    """``key_columns`` under which no two different texts of ``docs`` share a key.
+
+    Texts are told apart by their size and a second 64-bit hash with a seed of its own, so only
+    texts that agree in all three could pass for one.
+    """
+    text = F.coalesce("text", F.lit(""))
+    salt = 0
+    while True:
+        key = key_columns(salt)
+        rows = docs.select(*(c.alias(k) for k, c in key.items()),
+                           F.struct(F.octet_length(text), F.xxhash64(F.lit("another seed"), text)).alias("v"))
+        clash = rows.groupBy(*KEY).agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a != b")
+        if clash.isEmpty():
+            return key
+        salt += 1
+
+
+def keyed(docs: DataFrame, key: dict | None = None) -> DataFrame:
+    """did, th and the text (null reads as empty); ``key``: what ``document_key`` gave for these rows."""
+    k = key or document_key(docs)
     return docs.select(k["did"].alias("did"), k["th"].alias("th"), F.coalesce("text", F.lit("")).alias("text"))
 
 

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import M3, documents, mix64, pair_name, slices, stored, string_buffers
-from .repeats import (CLAIM, KEY, NULL_ID, Chain, byte_symbols, claim_batch, claim_lists, covered, expand, key_columns, keyed,
+from .repeats import (CLAIM, KEY, NULL_ID, Chain, byte_symbols, claim_batch, claim_lists, covered, document_key, expand, keyed,
                       marked, settle, spread)
 
 WIDTH, SEED, BLOCK = 200, 32, 32
@@ -117,10 +117,10 @@ def _strings(width: int, batch):
                           p - off[d], np.ones(len(p), np.int64), np.zeros(len(p), np.int64), want[row])
 
 
-def repeated_bytes(docs: DataFrame, width: int = WIDTH, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+def repeated_bytes(docs: DataFrame, width: int = WIDTH, seed: int = SEED, block: int = BLOCK, key: dict | None = None) -> DataFrame:
     """did, th, text and ``marks``: runs of starts of strings that occur elsewhere. ``docs``: doc_id, text."""
     assert width > seed + block
-    rows = keyed(docs)
+    rows = keyed(docs, key)
     claims = stored(rows.mapInArrow(partial(_claims, width, seed), CLAIM), "suffix-claims")
     whole, open1 = settle(claims, "any", "suffix-anchors")
     blocks = expand(rows, open1, partial(_blocks, width, block), "suffix-blocks")
@@ -153,7 +153,7 @@ def _kept(width: int, batches):
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """did, th, kept (bytes), n_bytes, n_removed, n_spans for every document."""
     return repeated_bytes(docs, width).mapInArrow(
-        partial(_kept, width), "did long, th int, kept binary, n_bytes long, n_removed long, n_spans long")
+        partial(_kept, width), "did long, th long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,9 +177,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     becomes empty and its row stays. Bytes of a character that a removal cut in two go with it.
     """
     own = docs.columns
-    tagged = docs.withColumns({f"_{k}": c for k, c in key_columns().items()})
-    changed = (repeated_bytes(docs.select("doc_id", "text")).where("marks is not null").dropDuplicates(KEY)
-               .mapInArrow(partial(_kept_text, WIDTH), "_did long, _th int, _kept string"))
+    key = document_key(docs)
+    tagged = docs.withColumns({f"_{k}": c for k, c in key.items()})
+    changed = (repeated_bytes(docs.select("doc_id", "text"), key=key).where("marks is not null").dropDuplicates(KEY)
+               .mapInArrow(partial(_kept_text, WIDTH), "_did long, _th long, _kept string"))
     hit = F.col("_kept").isNotNull()
     out = (tagged.join(changed, ["_did", "_th"], "left")
            .withColumn("text", F.when(hit, F.col("_kept")).otherwise(F.col("text"))))

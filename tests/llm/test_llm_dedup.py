@@ -183,3 +183,32 @@ def test_empty_tables_and_null_ids(spark, no_docs):
         [(None, 47, 3), (None, 47, 3), (3, 47, 3), (None, 0, None)], key=str)
     assert sorted((r.doc_id or -1, r.n_removed) for r in recompression.dedup_words(df).collect()) == [(-1, 0), (-1, 0), (-1, 0), (3, 50)]
     assert F is not None
+
+
+def test_texts_that_share_a_short_key_are_told_apart(spark, monkeypatch):
+    """Null and repeated doc_ids with distinct texts: the key's hash is salted until no two texts share it."""
+    from playmart.llm import repeats
+    monkeypatch.setattr(repeats, "KEY_BITS", 4)
+    word = lambda k, n: " ".join(f"{k}x{i}" for i in range(n))
+    texts = [word("a", 90), word("b", 90), word("c", 90), word("a", 90) + " " + word("d", 40), None]
+    df = spark.createDataFrame([(d, t, "th", 1) for d in (None, 5) for t in texts], "doc_id long, text string, th string, did int")
+    key = repeats.document_key(df)
+    assert df.select(key["did"].alias("d"), key["th"].alias("t")).distinct().count() == 10
+    once = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    raw = [(t or "").encode() for t in texts]
+    seen = collections.Counter(b[i:i + 200] for b in raw for i in range(len(b) - 199))
+    want = [sum(cover(len(b), [i for i in range(len(b) - 199) if seen[b[i:i + 200]] > 1], 200)) for b in raw]
+    assert sorted(r.n_removed for r in suffix_dedup.remove_repeats(once).collect()) == sorted(want) and sum(want) > 0
+    kept = jaccard_join.dedup_stage(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted((r.text or "") for r in kept.collect()) == sorted([*(t for t in texts if t), "", ""])
+    got = sorted((r.doc_id or -1, r.n_words, r.n_removed) for r in recompression.dedup_words(df).collect())
+    n = lambda t: len((t or "").split())
+    assert got == sorted([(-1, n(t), 0) for t in texts] + [(5, n(t), n(t)) for t in texts])
+
+
+def test_keys_are_unique_among_many_texts_without_ids(spark):
+    from playmart.llm import repeats
+    df = spark.range(300_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    key = repeats.document_key(df)
+    assert df.select(key["did"].alias("d"), key["th"].alias("t")).distinct().count() == 300_000

@@ -8,6 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from playmart.llm import bpe, fingerprints, html_extraction, language_id, quality
 
 
@@ -44,6 +46,77 @@ def test_encode_and_decode_round_trip(spark, unique_docs):
 
 # ---- 1 ----------------------------------------------------------------------------------------
 
+def plain_fingerprint(text):
+    """Binning, densification and packing one value at a time."""
+    import struct
+
+    import xxhash
+
+    def chain(*values):
+        h = 42
+        for v, form in values:
+            h = xxhash.xxh64(struct.pack(form, v), seed=h).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+    words = [xxhash.xxh64(w, seed=42).intdigest() for w in (text or "").encode().split()]
+    words = [h - (1 << 64) if h >> 63 else h for h in words]
+    if not words:
+        return ""
+    runs = [words[i:i + 5] for i in range(len(words) - 4)] or [words]
+    full = (1 << 56) - 1
+    bins = [None] * 256
+    for h in sorted((chain(*((x, "<q") for x in r)) for r in runs), reverse=True):
+        if h & full != full:
+            bins[(h >> 56) + 128] = "0123456789abcdef"[h & 15]
+    have = [j for j, y in enumerate(bins) if y is not None]
+    out = []
+    for i, y in enumerate(bins):
+        for a in range(fingerprints.PROBES):
+            y = bins[chain((i, "<i"), (a, "<i")) % 256] if y is None else y
+        out.append(y or bins[min(have, key=lambda j: (chain((i, "<i"), (j, "<i"), (fingerprints.PROBES, "<i")), bins[j]))])
+    return "".join(out)
+
+
+def plain_likeness(a, b):
+    if a == b or not a or not b:
+        return float(a == b)
+    same = sum(x == y for x, y in zip(a, b)) / 256
+    return max(0.0, min(1.0, (same - 1 / 16) / (15 / 16)))
+
+
+def test_fingerprint_query_matches_plain_python(spark, tmp_root):
+    import hashlib
+    import xxhash
+    rnd = __import__("random").Random(8)
+    texts = [None, "", " ", "one", "a b c d", "a b c d e", "ü 漢 🙂 x y z", "w " * 3000, "same text " * 9]
+    texts += [" ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.choice([6, 30, 100, 700]))) for _ in range(50)]
+    for n, rows in enumerate(([(None, t) for t in texts[:4]] + [(7, "twice one"), (7, "twice two")] + list(enumerate(texts)), [(3, "a single row of words here")], [])):
+        path = f"{tmp_root}/llm-oph-{n}"
+        spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, _range string, row int") \
+            .write.mode("overwrite").parquet(f"{path}/documents.parquet")
+        got = [tuple(r) for r in fingerprints.op1_oph_fingerprints(spark, path).collect()]
+        sign = lambda h: h - (1 << 64) if h >> 63 else h
+        ring = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, sign(xxhash.xxh64((r[1] or "").encode(), seed=42).intdigest())))
+        want = []
+        for (d, t), (_, u) in zip(ring, ring[1:] + ring[:1]):
+            t, u = t or "", u or ""
+            half = len(t) // 2
+            e = t[:len(t) - half] + u[:half]
+            f = [plain_fingerprint(x) for x in (t, e, u)]
+            want.append((d, len(t), hashlib.sha256(e.encode()).hexdigest(), f[0], f[1], plain_likeness(f[0], f[1]), plain_likeness(f[0], f[2])))
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_ranges_grow_with_rows_and_are_searched_in_two_steps(spark, monkeypatch):
+    df = spark.range(-3, 40).select(F.when(F.col("id") >= 0, F.col("id")).alias("x"))
+    for bounds in ([], [5], [0, 3, 4, 9, 11, 30, 39], list(range(0, 40, 2))):
+        for r in df.select("x", fingerprints.range_number(F.col("x"), bounds).alias("n")).collect():
+            assert r.n == (0 if r.x is None else sum(b < r.x for b in bounds))
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 7)
+    docs = spark.range(0, 3000, 3).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    out = fingerprints.with_next(docs, {"doc_id": "next"}).collect()
+    assert {r.doc_id: r.next for r in out} == {i: (i + 3) % 3000 for i in range(0, 3000, 3)}
+
+
 def test_fingerprints_estimate_jaccard(spark, rows, no_docs):
     rng = np.random.default_rng(2)
     base = [f"f{i}" for i in range(600)]
@@ -182,6 +255,48 @@ def test_language_of_odd_rows(spark, no_docs):
     assert [r.lang_pred for r in language_id.predict(df, empty, ["doc_id"]).collect()] == ["und"] * 3
 
 
+def test_predictions_match_plain_python(spark, rows):
+    train = [(r[1], r[2]) for r in rows if r[1] and r[2]]
+    model = language_id.learn(spark.createDataFrame(train, "text string, lang string").repartition(3))
+    got = {r.text: (r.lang_pred, r.score) for r in language_id.predict(
+        spark.createDataFrame([(r[1], 1) for r in rows], "text string, m int"), model, ["text"]).collect()}
+    lv = language_id.letter_vector
+
+    def bundle(text):
+        codes = language_id.letters_of(text).tolist()
+        out = np.zeros(language_id.DIM)
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            out += np.roll(lv(a), 2).astype(int) * np.roll(lv(b), 1) * lv(c)
+        return out
+    protos = {}
+    for t, lang in train:
+        protos[lang] = protos.get(lang, 0) + bundle(t)
+    for t in {r[1] for r in rows}:
+        x = bundle(t) if t else np.zeros(language_id.DIM)
+        if not x.any():
+            assert got[t] == ("und", 0.0)
+            continue
+        cos = {k: float(v @ x / np.linalg.norm(v) / np.linalg.norm(x)) for k, v in protos.items()}
+        best = max(cos.values())
+        assert abs(cos[got[t][0]] - best) < 1e-5 and abs(got[t][1] - min(1, max(0, best))) < 1e-5
+
+
+def test_bundles_need_bounded_memory_whatever_the_script():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    short = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 20))) for _ in range(10_000)]
+    long = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 400_000)))]
+    for texts in (short, long):
+        tracemalloc.start()
+        got = language_id.profiles(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got.shape == (len(texts), language_id.DIM) and peak < 400 << 20
+    some = short[:30]
+    m, tri = language_id.counts(some)
+    assert (language_id.profiles(some) == m @ language_id.trigram_vectors(tri)).all()
+
+
 # ---- 10 ---------------------------------------------------------------------------------------
 
 def page(main, extra=""):
@@ -244,7 +359,8 @@ def test_names_alone_drop_no_body_text():
     assert text("<article><p>One</p></article><div class=ad>Buy this now, it is longer than the article</div>") == "One"
     assert text(f"<div>{story}</div><ul class=menu>{'<li><a href=/x>Some linked page</a>' * 20}</ul>") == want
     assert text("<div><p><a href=/x>A linked paragraph</a></p><p>Plain</p></div>") == "A linked paragraph\nPlain"
-    assert text("<p>Before <span class=share>Tweet <span>it</span> now</span> and after</p>") == "Before\nand after"
+    # names of inline elements say nothing: they mark up code and prose
+    assert text("<p>Before <span class=share>Tweet <span>it</span> now</span> and after</p>") == "Before Tweet it now and after"
 
 
 def test_deep_pages_are_read():
@@ -276,6 +392,61 @@ def test_a_branch_with_an_important_part_stays():
     assert "/html/body/div/#" in low and "/html/body/div/ul.a" in low
 
 
+def read(page):
+    return html_extraction.main_text(html_extraction.parse(page))
+
+
+def test_inline_names_formulas_and_odd_attributes():
+    assert read('<article><p>Run <code>x = 1 <span class="token comment"># set x</span></code> now</p></article>') == "Run x = 1 # set x now"
+    assert read("<p data-x=don't>One</p><p>Two</p><p title='it\"s' class=a>isn't</p>") == "One\nTwo\nisn't"
+    assert read("<p>If <math><mi>a</mi><mo>=</mo><mn>2</mn></math> then <svg><text>b</text></svg></p>") == "If a=2 then b"
+    assert read("<noscript><p>Read</p></noscript><object>this</object><xmp><b>&amp;</xmp><p>on") == "Read\nthis\n<b>&amp;\non"
+    assert read("<p a = 'x>y' b=\"</p>\" / c=z/>One<p>Two</P  x><!---->Three<!-- <p>no --><? no ?></ no>Four") == "One\nTwo\nThreeFour"
+    assert read("1 < 2 <3 <> <p>a<script>if (a</b) '<p>'</script >b<style>x") == "1 < 2 <3 <>\na\nb"
+    assert read("<p>One<select><option>no</select><p>Two<select><p>Three") == "One\nTwo\nThree"
+
+
+def test_long_pages_are_not_clipped_and_broken_ones_are_linear():
+    import time
+    long = "".join(f"<p class='c{i}'>Paragraph {i}</p>" for i in range(40_000))
+    assert len(read(long).split("\n")) == 40_000
+    for broken in ("<a " * 350_000, "<a b='" * 170_000, "<p x=\"" * 150_000, "<!-- " * 200_000, "<select>" * 130_000, "<template>" * 100_000,
+                   "<![CDATA[" * 110_000, "</" * 500_000, "<" * 1_000_000, "</p>" * 250_000, "<div></p>" * 110_000, "<b></i>" * 140_000):
+        start = time.process_time()
+        read("<p>text</p>" + broken)
+        assert time.process_time() - start < 12, broken[:8]
+
+
+def test_weights_of_noise_names_grow_with_their_share():
+    def weight(own, other, main=""):
+        root = html_extraction.parse(f"<article>{main}</article><div class=sidebar>{own}</div><div>{other}</div>")
+        return next(n.weight for n in html_extraction.elements(root) if n.role == "noise")
+    assert weight("x" * 100, "") == 1 and weight("", "y") == html_extraction.NOISE_WEIGHT
+    assert weight("x" * 100, "y" * 300) < html_extraction.LOW < weight("x" * 100, "y" * 60)
+    assert weight("x" * 9000, "", "z" * 3000) < html_extraction.LOW  # comments three times as long as the article
+    assert weight("<a>" + "x" * 100 + "</a>", "y") == html_extraction.NOISE_WEIGHT
+
+
+def test_planted_templates_without_telling_names_are_removed_by_entropy(spark):
+    """Hosts of three templates; boilerplate and stories stand in elements of the same neutral names."""
+    def body(i, k):
+        top, end = f"<div class=r{'abc'[k]}><p>Our office {k} is open all week</p></div>", f"<div class=z><span>Call {k} for more</span></div>"
+        story = f"<div class=t><h2>Story {i}</h2><p>It happened {i * 31} times in {i % 7} towns</p><p>End of {i}</p></div>"
+        return f"<html><body>{top}{story}{end}</body></html>", f"Story {i}\nIt happened {i * 31} times in {i % 7} towns\nEnd of {i}"
+    made = {i: body(i, i % 3) for i in range(90)}
+    df = spark.createDataFrame([(i, f"http://h{i % 3}.example/{i}", p) for i, (p, _) in made.items()], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract(df, ["page_id"]).collect()}
+    assert got == {i: t for i, (_, t) in made.items()}
+    assert all(read(p) != t for p, t in made.values())  # names alone change no page here
+
+
+def test_noise_names_are_judged_by_host(spark):
+    side = lambda i: f"<html><body><div class=sidebar><p>{'Body %d words. ' % i * 20}</p></div><div class=x><p>By line {i}</p></div></body></html>"
+    df = spark.createDataFrame([(i, f"http://s.example/{i}", side(i)) for i in range(12)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract(df.withColumn("path", df.url).withColumn("low", df.url), ["page_id"]).collect()}
+    assert all(got[i].startswith(f"Body {i} words.") and got[i].endswith(f"By line {i}") for i in range(12))
+
+
 @pytest.mark.parametrize("name", ["op10_site_style_tree"])
 def test_pages_query(spark, sf_dir, name):
     import __spark_entry__ as entry
