@@ -5,7 +5,8 @@ The reference fills gaps with windows ``PARTITION BY user ORDER BY ts``. On a cl
 that user's rows into one task. These helpers compute the same values as a two-level scan:
 
 1. a window over ``(user, segment)`` where the segment is a time bucket of the ordering column
-   (so segments are ordered the same way as rows), and
+   (so segments are ordered the same way as rows); a bucket of more than ``SEGMENT_ROWS`` rows of one user
+   is cut further by count (``with_segments``), and
 2. a per-user window over one summary row per segment (first/last non-null value, counts), which
    is tiny compared with the events, joined back on ``(user, segment)``.
 
@@ -21,18 +22,62 @@ from pyspark.sql import functions as F
 SEGMENT_UNIT = "hour"
 
 
-def total_order(df: DataFrame, ts_col: str) -> Column:
+#: A user's time bucket with more rows is cut into pieces of about this many.
+SEGMENT_ROWS = 1_000_000
+#: Most pieces of one bucket, and how many edges are searched at a time.
+PIECES, EDGE_BLOCK = 1024, 32
+
+
+def total_order(df: DataFrame, ts_col: str, over: list[str] | None = None) -> Column:
     """One total order of rows: the timestamp, then the event name where there is one, then a hash of
-    the whole row. Every window and every first/last aggregate of a scan uses it, so rows with equal
-    timestamps have the same order everywhere (rows equal in all columns are interchangeable)."""
-    names = df.columns
+    the whole row (of the columns ``over``, if given). Every window and every first/last aggregate of a scan
+    uses it, so rows with equal timestamps have the same order everywhere (rows equal in all columns are
+    interchangeable)."""
+    names = over or df.columns
     tie = [F.col("event_name")] if "event_name" in names else []
     return F.struct(F.col(ts_col), *tie, F.xxhash64(*(F.col(c) for c in names)).alias("_h"))
 
 
-def segment_of(ts_col: str, unit: str = SEGMENT_UNIT) -> Column:
-    """Time bucket of the ordering column; ordered like the column itself."""
-    return F.date_trunc(unit, F.col(ts_col))
+def with_segments(df: DataFrame, key_cols: list[str], ts_col: str, unit: str = SEGMENT_UNIT, rows: int | None = None,
+                  over: list[str] | None = None) -> DataFrame:
+    """Add ``_ord`` (``total_order``) and ``_seg``, a struct ordered like it whose field ``at`` is the time bucket.
+
+    Buckets with more than ``rows`` rows of a key are found by a pre-aggregated count and cut at quantiles of the
+    timestamp. A moment that is a quantile itself is a piece of its own, cut by event name and by the high bits of
+    the row hash, so many rows with one timestamp are spread too. Edges are at most one per ``rows`` rows of the
+    table, which bounds the broadcast; nothing is cut, and nothing but the count is read, where no bucket is hot.
+    """
+    rows = rows or SEGMENT_ROWS
+    keys = [*key_cols, "_at"]
+    d = df.withColumn("_ord", total_order(df, ts_col, over)).withColumn("_at", F.date_trunc(unit, F.col(ts_col)))
+    d = d.withColumn("_us", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    narrow = d.select(*keys, "_us")
+    hot = narrow.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows)
+    step = F.greatest(F.lit(1), F.ceil(F.lit(PIECES) * rows / F.col("_n"))).cast("int")
+    cuts = (narrow.join(F.broadcast(hot), keys).groupBy(*keys, "_n")
+            .agg(F.percentile_approx("_us", [k / PIECES for k in range(1, PIECES)], 10 * PIECES).alias("_q"))
+            .withColumn("_q", F.array_distinct(F.filter("_q", lambda x, k: (k + 1) % step == 0)))
+            .withColumn("_lists", F.transform(F.sequence(F.lit(0), F.size("_q") - 1, F.lit(EDGE_BLOCK)),
+                                              lambda k: F.slice("_q", k + 1, EDGE_BLOCK)))
+            .withColumn("_tops", F.transform("_lists", lambda x: F.element_at(x, -1)))
+            .select(*(F.col(k).alias(f"_c{k}") for k in keys), "_lists", "_tops"))
+    same = [F.col(k) == F.col(f"_c{k}") for k in keys]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    d = d.join(F.broadcast(cuts), on, "left")
+    us = F.col("_us")
+    block = F.size(F.filter("_tops", lambda x: x < us))
+    here = F.coalesce(F.get("_lists", block), F.array().cast("array<long>"))
+    edge = F.array_contains(here, us)
+    piece = F.when(F.col("_tops").isNull(), 0).otherwise(
+        2 * (block * EDGE_BLOCK + F.size(F.filter(here, lambda x: x < us))) + edge.cast("int"))
+    cut = F.col("_tops").isNotNull() & edge
+    name = F.when(cut, F.col("event_name")) if "event_name" in (over or df.columns) else F.lit(None).cast("string")
+    part = F.when(cut, F.shiftright(F.col("_ord._h"), 56).cast("int"))
+    d = d.withColumn("_seg", F.struct(F.col("_at").alias("at"), piece.alias("piece"), F.coalesce(name, F.lit("")).alias("name"),
+                                      F.coalesce(part, F.lit(0)).alias("part")))
+    return d.drop("_at", "_us", "_lists", "_tops", *(f"_c{k}" for k in keys))
 
 
 def _first_last_nonnull(value_col: str):
@@ -43,12 +88,12 @@ def _first_last_nonnull(value_col: str):
 
 def segmented_fill(df: DataFrame, value_col: str, key_col: str = "user_pseudo_id",
                    ts_col: str = "event_timestamp", prev_out: str = "previous_level_id",
-                   next_out: str | None = "next_level_id", unit: str = SEGMENT_UNIT) -> DataFrame:
+                   next_out: str | None = "next_level_id", unit: str = SEGMENT_UNIT, rows: int | None = None) -> DataFrame:
     """Add ``prev_out`` = last non-null ``value_col`` at or before the row and (optionally)
     ``next_out`` = first non-null ``value_col`` at or after the row, per ``key_col`` in ``ts_col``
     order. Keys must be non-null (callers drop NULL users first)."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    d = with_segments(df, [key_col], ts_col, unit, rows)
     w = Window.partitionBy(key_col, seg).orderBy("_ord")
     d = d.withColumn("_prev_local", F.last(value_col, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -75,12 +120,12 @@ def segmented_fill(df: DataFrame, value_col: str, key_col: str = "user_pseudo_id
 
 
 def segmented_lag(df: DataFrame, col: str, out: str, key_col: str = "user_pseudo_id",
-                  ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
+                  ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT, rows: int | None = None) -> DataFrame:
     """``out`` = value of ``col`` on the previous row of the same key in ``ts_col`` order.
 
     ``col`` must be non-decreasing with ``ts_col`` within a key (it is ``ts_col`` itself in use)."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    d = with_segments(df, [key_col], ts_col, unit, rows)
     w = Window.partitionBy(key_col, seg).orderBy("_ord")
     d = d.withColumn("_lag_local", F.lag(col).over(w))
     summary = d.groupBy(key_col, seg).agg(F.max_by(F.col(col), F.col("_ord")).alias("_seg_last"))
@@ -92,7 +137,8 @@ def segmented_lag(df: DataFrame, col: str, out: str, key_col: str = "user_pseudo
 
 
 def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_pseudo_id",
-               ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
+               ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT, rows: int | None = None,
+               state: DataFrame | None = None, next_at: str | None = None, over: list[str] | None = None) -> DataFrame:
     """Forward-fill ``level_col`` (overwriting it), number the runs of equal filled values and add
     the levels of the neighbouring runs.
 
@@ -103,9 +149,13 @@ def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_
     One wide exchange on (key, segment): inside a segment one window gives the fill, the run number
     and the neighbours that lie in the segment. What crosses a segment's edge comes from one narrow
     row per segment: its first two and last two run levels and its number of runs.
+
+    ``state`` (key, ``level_col``, ``previous_level_id``, ``level_run_id``; one row a key) is how each key stood
+    before the first row; it joins the narrow rows only. ``next_at`` names a column for the time bucket in
+    which the next run starts. ``over``: the columns that order rows with equal timestamps.
     """
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    d = with_segments(df, [key_col], ts_col, unit, rows, over)
     w = Window.partitionBy(key_col, seg).orderBy("_ord")
     upto, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1, Window.unboundedFollowing)
     ff = F.col("_ff")
@@ -125,17 +175,26 @@ def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_
     wu = Window.partitionBy(key_col).orderBy(seg)
     earlier = wu.rowsBetween(Window.unboundedPreceding, -1)
     later = wu.rowsBetween(1, Window.unboundedFollowing)
-    summary = summary.withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
+    if state is None:
+        none = F.lit(None).cast(df.schema[level_col].dataType)
+        summary = summary.withColumns({"_was": none, "_was_prev": none, "_was_run": F.lit(0)})
+    else:
+        summary = summary.join(state.select(key_col, F.col(level_col).alias("_was"), F.col("previous_level_id").alias("_was_prev"),
+                                            F.col("level_run_id").alias("_was_run")), key_col, "left")
+    summary = summary.withColumn("_carry", F.coalesce(F.last("_last", ignorenulls=True).over(earlier), "_was"))
     # the segment's first run goes on with the carried-in one when it has the same level
     summary = summary.withColumn("_continues", F.coalesce(F.col("_first") == F.col("_carry"), F.lit(False)))
-    summary = summary.withColumn("_offset", F.coalesce(F.sum(F.col("_n") - F.col("_continues").cast("int")).over(earlier), F.lit(0)))
+    summary = summary.withColumn("_offset", F.coalesce(F.sum(F.col("_n") - F.col("_continues").cast("int")).over(earlier), F.lit(0))
+                                 + F.coalesce("_was_run", F.lit(0)))
     # level before the one carried in: set where a segment ends in another run than it began with
     ended = F.when(F.col("_n") >= 2, F.col("_last_but_one")).when((F.col("_n") == 1) & ~F.col("_continues"), F.col("_carry"))
-    summary = summary.withColumn("_carry_prev", F.last(ended, ignorenulls=True).over(earlier))
+    summary = summary.withColumn("_carry_prev", F.coalesce(F.last(ended, ignorenulls=True).over(earlier), "_was_prev"))
     # first level in the segment that differs from the carried-in one, and the same of later segments
     summary = summary.withColumn("_change", F.when(F.col("_continues"), F.col("_second")).otherwise(F.col("_first")))
-    summary = summary.withColumn("_carry_next", F.first("_change", ignorenulls=True).over(later))
-    d = d.join(summary.select(key_col, seg, "_carry", "_continues", "_offset", "_carry_prev", "_change", "_carry_next"),
+    change = F.when(F.col("_change").isNotNull(), F.struct(F.col("_change").alias("level"), F.col(seg)["at"].alias("at")))
+    summary = summary.withColumn("_later", F.first(change, ignorenulls=True).over(later))
+    summary = summary.withColumn("_carry_next", F.col("_later.level"))
+    d = d.join(summary.select(key_col, seg, "_carry", "_continues", "_offset", "_carry_prev", "_change", "_carry_next", "_later"),
                [key_col, seg], "left")
     carried = ff.isNull()  # the row belongs to the run carried in
     first_run = F.col("_run") == 1
@@ -145,6 +204,9 @@ def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_
     following = F.when(carried, F.coalesce("_change", "_carry_next")).otherwise(F.coalesce("_next_local", "_carry_next"))
     out = {level_col: F.coalesce(ff, F.col("_carry")), "level_run_id": run.cast("bigint"),
            "previous_level_id": previous, "next_level_id": following}
+    if next_at:
+        local = F.when(carried, F.col("_change")).otherwise(F.col("_next_local")).isNotNull()
+        out[next_at] = F.when(local, F.col(seg)["at"]).otherwise(F.col("_later.at"))
     return d.withColumns(out).select(*df.columns, *(c for c in out if c not in df.columns))
 
 
@@ -154,7 +216,7 @@ def segmented_running_max(df: DataFrame, value_col: str, key_cols: list[str], ou
     """``out`` = max of ``value_col`` over rows of the same key at or before the row, ordered by
     (``ts_col``, ``tie_col``). NULL values are ignored (NULL until the first non-null value)."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit))
+    d = df.withColumn(seg, F.date_trunc(unit, F.col(ts_col)))
     order = [ts_col] + ([tie_col] if tie_col else [])
     w = Window.partitionBy(*key_cols, seg).orderBy(*order)
     d = d.withColumn("_local", F.max(value_col).over(w.rangeBetween(Window.unboundedPreceding, 0)))  # ties see each other
@@ -179,11 +241,11 @@ def dense_rank_by_day(df: DataFrame, key_col: str = "user_pseudo_id", day_col: s
 
 
 def segmented_row_number(df: DataFrame, out: str, key_col: str = "user_pseudo_id",
-                         ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT) -> DataFrame:
-    """``out`` = ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts, total order) as BIGINT: local numbers per (key, segment) plus the count of the key's rows in
-    earlier segments."""
+                         ts_col: str = "event_timestamp", unit: str = SEGMENT_UNIT, rows: int | None = None) -> DataFrame:
+    """``out`` = ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts, total order) as BIGINT: local numbers per
+    (key, segment) plus the count of the key's rows in earlier segments."""
     seg = "_seg"
-    d = df.withColumn(seg, segment_of(ts_col, unit)).withColumn("_ord", total_order(df, ts_col))
+    d = with_segments(df, [key_col], ts_col, unit, rows)
     w = Window.partitionBy(key_col, seg).orderBy("_ord")
     d = d.withColumn("_rn_local", F.row_number().over(w))
     summary = d.groupBy(key_col, seg).agg(F.count(F.lit(1)).alias("_n"))

@@ -307,18 +307,19 @@ def retention_cohorts(events: DataFrame) -> DataFrame:
     """(cohort date, geo, acquisition source, version, spender segment) -> cohort size, IAP
     value and users active exactly 1/3/7/14/30 days after the cohort date (no elapsed-day guard).
 
-    The cohort row is the user's first first_open/new_player event (its date is the minimum
-    date); activity is distinct per (user, day) and each user has one cohort row, so a
+    The cohort row is the user's least first_open/new_player event by (moment, day, country, source,
+    version), so tied moments give one answer; activity is distinct per (user, day) and each user has one cohort row, so a
     conditional count equals the distinct count and no Expand is needed."""
     keys = ["cohort_date", "geo_country", "acquisition_source", "app_version", "spender_segment"]
     touch = _named(events, "first_open", "new_player")
-    first = F.min_by(F.struct(
-        F.col("event_date").alias("cohort_date"),
+    first = F.min(F.struct(
+        "event_timestamp", F.col("event_date").alias("cohort_date"),
         F.coalesce("geo_country", F.lit("unknown")).alias("geo_country"),
         F.coalesce(F.nullif("traffic_source_source", F.lit("")), F.nullif("app_info_install_source", F.lit("")),
                    F.lit("unknown")).alias("acquisition_source"),
-        F.coalesce("app_version", F.lit("unknown")).alias("app_version")), F.col("event_timestamp"))
-    cohort = touch.groupBy(USER).agg(first.alias("c")).select(USER, "c.*")
+        F.coalesce("app_version", F.lit("unknown")).alias("app_version")))
+    cohort = touch.groupBy(USER).agg(first.alias("c")).select(
+        USER, "c.cohort_date", "c.geo_country", "c.acquisition_source", "c.app_version")
     value = events.groupBy(USER).agg(
         F.when(F.max(F.when(is_iap_revenue_event(), 1).otherwise(0)) == 1, F.lit("spender"))
          .otherwise(F.lit("non_spender")).alias("spender_segment"),

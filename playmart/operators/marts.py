@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playmart.functions.columns import (IAP_EVENT_NAMES, NOISE_EVENTS, iap_value_usd,
@@ -109,16 +109,17 @@ def iap_arpdau_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bo
 def cohort_assignments(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bool = False) -> DataFrame:
     """First ``first_open`` per user (outside the test country): cohort date, geo and version.
 
-    ``min_by`` over the user's first_open rows is an aggregate, so it combines map-side and a hot
-    user never needs one ordered partition."""
+    The least (moment, day, country, version) of the user's first_open rows is an aggregate, so it
+    combines map-side, a hot user never needs one ordered partition and tied moments give one answer."""
     fo = events.where((F.col("event_name") == "first_open") & F.col("user_pseudo_id").isNotNull()
                       & not_test_country())
     fo = incremental_window(fo, "event_date", as_of, MAX_DSI + MART_LOOKBACK_DAYS, incremental)
-    first = F.min_by(F.struct(
-        F.col("event_date").alias("cohort_date"),
+    first = F.min(F.struct(
+        "event_timestamp", F.col("event_date").alias("cohort_date"),
         F.coalesce("geo_country", F.lit("unknown")).alias("geo_country"),
-        F.coalesce("app_version", F.lit("unknown")).alias("app_version")), F.col("event_timestamp"))
-    return fo.groupBy("user_pseudo_id").agg(first.alias("c")).select("user_pseudo_id", "c.*")
+        F.coalesce("app_version", F.lit("unknown")).alias("app_version")))
+    return fo.groupBy("user_pseudo_id").agg(first.alias("c")).select(
+        "user_pseudo_id", "c.cohort_date", "c.geo_country", "c.app_version")
 
 
 def cohort_ltv_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bool = False) -> DataFrame:
@@ -225,49 +226,57 @@ def session_user_days(sess: DataFrame) -> DataFrame:
                         "user_pseudo_id").agg(F.countDistinct("ga_session_id").alias("sessions_in_day"))
 
 
-def _dist(col: str, metric: str, exact: bool, accuracy: int) -> list:
-    """avg + five percentiles of ``col`` named ``<avg|pNN>_<metric>``.
+SESSION_METRICS = {"events_per_session": "events_in_session", "duration_seconds": "duration_seconds",
+                   "levels_per_session": "levels_in_session"}
 
-    Approximate mode evaluates one ``percentile_approx`` with an array of fractions (one sketch
-    per group). Exact mode uses discrete percentiles (``percentile_disc``)."""
-    out = [F.avg(col).alias(f"avg_{metric}")]
-    if exact:
-        for p, n in zip(PERCENTILES, PCT_NAMES):
-            out.append(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {col})").cast("double").alias(f"{n}_{metric}"))
-    else:
-        out.append(F.percentile_approx(F.col(col), list(PERCENTILES), accuracy).alias(f"_q_{metric}"))
-    return out
 
+def counted_percentiles(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows, mean and discrete percentiles p25..p99 of each (``keys``, metric) from mergeable counts (``keys``, metric, value, n).
+
+    A running sum over the distinct values in order finds the least value that ``p`` percent of the rows do
+    not exceed; sums and comparisons are whole numbers. Counts of several days or tables may be added up first."""
+    w = Window.partitionBy(*keys, "metric")
+    upto = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    given = F.when(F.col("value").isNotNull(), F.col("n"))  # nulls come first and count for nothing
+    c = counts.withColumn("_cum", F.sum(given).over(upto)).withColumn("_all", F.sum(given).over(w))
+    pick = [F.min(F.when(F.col("_cum") * 100 >= F.col("_all") * round(100 * p), F.col("value"))).cast("double").alias(n)
+            for p, n in zip(PERCENTILES, PCT_NAMES)]
+    mean = F.sum(F.col("value") * F.col("n")) / F.sum(given)
+    return c.groupBy(*keys, "metric").agg(F.sum("n").alias("rows"), mean.alias("avg"), *pick)
 
-def _unpack(metric: str, exact: bool) -> list:
-    if exact:
-        return [F.col(f"{n}_{metric}") for n in PCT_NAMES]
-    return [F.col(f"_q_{metric}")[i].cast("double").alias(f"{n}_{metric}") for i, n in enumerate(PCT_NAMES)]
+
+def session_values(sess: DataFrame, keys: list[str]) -> DataFrame:
+    """(``keys``, metric, value): one row per session and metric, and one per user-day for sessions_per_user."""
+    pairs = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(c).cast("long").alias("value")) for m, c in SESSION_METRICS.items()))
+    per_session = sess.select(F.col("session_date").alias("date"), *keys[1:], F.explode(pairs).alias("x"))
+    per_day = session_user_days(sess)
+    return per_session.select(*keys, "x.metric", "x.value").unionByName(per_day.select(
+        *keys, F.lit("sessions_per_user").alias("metric"), F.col("sessions_in_day").cast("long").alias("value")))
 
 
 def session_depth_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bool = False,
-                        exact: bool = False, accuracy: int = 10000) -> DataFrame:
+                        exact: bool = False, accuracy: int = 10000, sess: DataFrame | None = None) -> DataFrame:
     """(date, platform, version, geo) -> sessions, user-days, avg + p25..p99 of events per
-    session, duration, levels per session and sessions per user-day."""
+    session, duration, levels per session and sessions per user-day.
+
+    Exact mode works on counts per distinct value, which combine in the map tasks, so no group's values
+    are held in one buffer; approximate mode evaluates one ``percentile_approx`` with an array of fractions (one
+    sketch per group and metric). ``sess``: the stored sessions (P7), if there are any."""
     keys = ["date", "platform", "app_version", "geo_country"]
-    sess = sessions(events, as_of, incremental)
-    s = sess.withColumnRenamed("session_date", "date").groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("sessions"),
-        *_dist("events_in_session", "events_per_session", exact, accuracy),
-        *_dist("duration_seconds", "duration_seconds", exact, accuracy),
-        *_dist("levels_in_session", "levels_per_session", exact, accuracy))
-    s = s.select(*keys, "sessions",
-                 *[x for m in ("events_per_session", "duration_seconds", "levels_per_session")
-                   for x in [F.col(f"avg_{m}"), *_unpack(m, exact)]])
-    ud = session_user_days(sess).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("user_days"),
-        *_dist("sessions_in_day", "sessions_per_user", exact, accuracy))
-    ud = ud.select(*keys, "user_days", F.col("avg_sessions_per_user"), *_unpack("sessions_per_user", exact))
-    out = s.join(ud, keys, "left")
-    return out.select(*keys, "sessions", "user_days",
-                      *[f"{p}_{m}" for m in ("events_per_session", "duration_seconds", "levels_per_session")
-                        for p in ("avg", *PCT_NAMES)],
-                      *[f"{p}_sessions_per_user" for p in ("avg", *PCT_NAMES)])
+    sess = sessions(events, as_of, incremental) if sess is None else sess
+    values = session_values(sess, keys)
+    if exact:
+        counts = values.groupBy(*keys, "metric", "value").agg(F.count("*").alias("n"))
+        dist = counted_percentiles(counts, keys)
+    else:
+        q = F.percentile_approx("value", list(PERCENTILES), accuracy)
+        dist = values.groupBy(*keys, "metric").agg(q.alias("q"), F.count("*").alias("rows"), F.avg("value").alias("avg")).select(
+            *keys, "metric", "rows", "avg", *(F.col("q")[i].cast("double").alias(n) for i, n in enumerate(PCT_NAMES)))
+    of = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c)))
+    metrics = (*SESSION_METRICS, "sessions_per_user")
+    return dist.groupBy(*keys).agg(
+        of("events_per_session", "rows").alias("sessions"), of("sessions_per_user", "rows").alias("user_days"),
+        *(of(m, c).alias(f"{c}_{m}") for m in metrics for c in ("avg", *PCT_NAMES)))
 
 
 def tutorial_funnel_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bool = False) -> DataFrame:

@@ -138,20 +138,28 @@ def stg_events_intraday(raw: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
     return flatten_events(tracked_event_filter(snap))
 
 
-def stg_events_union(daily: DataFrame, intraday: DataFrame) -> DataFrame:
+def stg_events_union(daily: DataFrame, intraday: DataFrame, finalized: DataFrame | None = None) -> DataFrame:
     """Daily UNION ALL intraday by column name.
 
-    ``intraday`` holds one date (S8). Its rows count only while that date has no finalized rows:
-    the daily side is asked for just the dates of the intraday snapshot, so the check reads the
-    partitions of one day and not the whole export a second time.
+    ``intraday`` holds one date (S8). Its rows count only while that date has no finalized rows.
+    ``finalized`` gives the finalized dates to check against: callers that know the snapshot's date pass the
+    daily rows of that shard or partition only (``finalized_on``), so the export is not scanned a second time.
     """
     cols = list(EVENT_COLUMNS)
-    days = intraday.select("event_date").distinct()  # one row per snapshot day
-    finalized = daily.select("event_date").join(F.broadcast(days), "event_date", "left_semi").distinct()
-    fresh = intraday.join(F.broadcast(finalized), "event_date", "left_anti")
+    if finalized is None:
+        days = intraday.select("event_date").distinct()  # one row per snapshot day
+        finalized = daily.select("event_date").join(F.broadcast(days), "event_date", "left_semi")
+    fresh = intraday.join(F.broadcast(finalized.select("event_date").distinct()), "event_date", "left_anti")
     return daily.select(*cols).unionByName(fresh.select(*cols))
 
 
+def finalized_on(raw: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
+    """The date of the snapshot if its finalized shard is among the daily ones: a static filter on the shard suffix,
+    which leaves no partition to read as long as the shard is newer than the daily ones."""
+    shard = tracked_event_filter(ga4_shard_scan(raw, as_of).where(F.col("table_suffix") == _suffix(as_of)))
+    return shard.select(F.to_date(F.col("event_date"), "yyyyMMdd").alias("event_date"))
+
+
 def level_neighbors(runs: DataFrame, user: str = "user_pseudo_id") -> DataFrame:
     """One row per (user, run) with the run's level and the previous/next run's level.
 

@@ -98,24 +98,24 @@ def q_stg_events_intraday(w: Warehouse) -> DataFrame:
 
 @query("stg_events_union")
 def q_stg_events_union(w: Warehouse) -> DataFrame:
-    return staging.stg_events_union(w.stg_events_daily, w.stg_events_intraday)
+    return w.stg_events_union
 
 
 @query("level_forward_fill")
 def q_level_forward_fill(w: Warehouse) -> DataFrame:
-    runs = staging.event_level_runs(staging.stg_events_union(w.stg_events_daily, w.stg_events_intraday))
+    runs = staging.event_level_runs(w.stg_events_union)
     return runs.select("user_pseudo_id", "event_timestamp", "event_name", "level_id")
 
 
 @query("level_runs")
 def q_level_runs(w: Warehouse) -> DataFrame:
-    runs = staging.event_level_runs(staging.stg_events_union(w.stg_events_daily, w.stg_events_intraday))
+    runs = staging.event_level_runs(w.stg_events_union)
     return runs.select("user_pseudo_id", "event_timestamp", "event_name", "level_id", "level_run_id")
 
 
 @query("level_neighbors")
 def q_level_neighbors(w: Warehouse) -> DataFrame:
-    runs = staging.event_level_runs(staging.stg_events_union(w.stg_events_daily, w.stg_events_intraday))
+    runs = staging.event_level_runs(w.stg_events_union)
     return staging.level_neighbors(runs)
 
 
@@ -210,18 +210,18 @@ def q_sessions(w: Warehouse) -> DataFrame:
 
 @query("session_user_days")
 def q_session_user_days(w: Warehouse) -> DataFrame:
-    return marts.session_user_days(marts.sessions(w.stg_events, w.as_of))
+    return marts.session_user_days(w.sessions)
 
 
 @query("session_depth_daily")
 def q_session_depth_daily(w: Warehouse) -> DataFrame:
     """Exact percentiles (the oracle's twin); the approximate default is ``session_depth_daily_approx``."""
-    return marts.session_depth_daily(w.stg_events, w.as_of, exact=True)
+    return marts.session_depth_daily(w.stg_events, w.as_of, exact=True, sess=w.sessions)
 
 
 @query("session_depth_daily_approx")
 def q_session_depth_daily_approx(w: Warehouse) -> DataFrame:
-    return marts.session_depth_daily(w.stg_events, w.as_of, exact=False)
+    return marts.session_depth_daily(w.stg_events, w.as_of, exact=False, sess=w.sessions)
 
 
 @query("tutorial_funnel_daily")
@@ -399,7 +399,7 @@ def model(w: Warehouse, name: str) -> DataFrame:
         "ua_funnel_daily": lambda: marts.ua_funnel_daily(w.stg_adjust, w.as_of),
         "iap_arpdau_daily": lambda: marts.iap_arpdau_daily(w.stg_events, w.as_of),
         "cohort_ltv_daily": lambda: marts.cohort_ltv_daily(w.stg_events, w.as_of),
-        "session_depth_daily": lambda: marts.session_depth_daily(w.stg_events, w.as_of, exact=True),
+        "session_depth_daily": lambda: marts.session_depth_daily(w.stg_events, w.as_of, exact=True, sess=w.sessions),
         "tutorial_funnel_daily": lambda: marts.tutorial_funnel_daily(w.stg_events, w.as_of),
         "overview_daily": lambda: marts.overview_daily(_ua(w), _eng(w)),
         "retention_cohorts": lambda: analytics.retention_cohorts(w.stg_events),

@@ -115,7 +115,8 @@ class Warehouse:
 
     @cached_property
     def stg_events_union(self) -> DataFrame:
-        return staging.stg_events_union(self.stg_events_daily, self.stg_events_intraday)
+        return staging.stg_events_union(self.stg_events_daily, self.stg_events_intraday,
+                                        staging.finalized_on(self.raw_events, self.as_of))
 
     @cached_property
     def _stg_events_lazy(self) -> DataFrame:
@@ -153,6 +154,12 @@ class Warehouse:
                 cache[name] = self._write_and_read(build(), self._scratch(name), partition_by=partition_by)
         return cache[name]
 
+    @property
+    def sessions(self) -> DataFrame:
+        """P7, built once where tables are."""
+        from playmart.operators import marts
+        return self.model_table("sessions", lambda: marts.sessions(self.stg_events, self.as_of))
+
     @cached_property
     def stg_adjust(self) -> DataFrame:
         return staging.stg_adjust__report(self.raw_adjust)

@@ -144,3 +144,28 @@ def test_wide_rows_never_shuffled_by_user_alone(spark, sf_dir):
     wide = [n for n in exchanges if n.output().size() > 20]
     assert len(wide) == 1
     assert "_seg" in wide[0].outputPartitioning().toString()
+
+
+def test_a_hot_hour_is_cut_by_count(spark):
+    """One user's hour with ties and one moment of a third of its rows: pieces stay small, results do not change."""
+    from playmart.functions.scans import segmented_row_number, with_segments
+    rnd = random.Random(5)
+    rows = [("hot", T0 + dt.timedelta(seconds=rnd.randrange(600)), rnd.choice([None, None, 1, 2])) for _ in range(1500)]
+    rows += [("hot", T0 + dt.timedelta(seconds=300), rnd.choice([None, 1, 2, 3])) for _ in range(700)]
+    rows += [("cold", T0 + dt.timedelta(minutes=k), k % 3) for k in range(40)]
+    df = _frame(spark, rows).withColumn("event_name", F.concat(F.lit("e"), F.monotonically_increasing_id() % 3)) \
+        .withColumn("n", F.monotonically_increasing_id())
+    seg = with_segments(df, ["user_pseudo_id"], "event_timestamp", rows=100)
+    sizes = seg.groupBy("user_pseudo_id", "_seg").count().collect()
+    assert max(r["count"] for r in sizes) < 250 and sum(r["count"] for r in sizes) == len(rows)
+    assert len({r._seg.at for r in sizes if r.user_pseudo_id == "cold"}) == len([r for r in sizes if r.user_pseudo_id == "cold"])
+    # segments are ordered as the rows are
+    w = Window.partitionBy("user_pseudo_id").orderBy("_ord")
+    assert seg.withColumn("before", F.lag("_seg").over(w)).where("before > _seg").count() == 0
+    cols = ["n", "level_id", "level_run_id", "previous_level_id", "next_level_id"]
+    assert sorted(map(str, level_runs(df, rows=100).select(cols).collect())) == sorted(map(str, level_runs(df).select(cols).collect()))
+    cols = ["n", "p", "q"]
+    cut, plain = (segmented_fill(df, "level_id", prev_out="p", next_out="q", rows=r).select(cols).collect() for r in (100, None))
+    assert sorted(map(str, cut)) == sorted(map(str, plain))
+    cut, plain = (segmented_row_number(df, "rn", rows=r).select("n", "rn").collect() for r in (100, None))
+    assert sorted(map(str, cut)) == sorted(map(str, plain))
