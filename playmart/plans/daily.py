@@ -1,7 +1,7 @@
 """The daily build: raw feeds -> stg_events -> marts -> data-quality gate.
 
-After the day's feeds have landed: staging first, then every mart with its look-back (14 days; 44 for LTV)
-replaced by partition overwrite, then the models that are rebuilt in full, then the data tests, as one
+After the day's feeds have landed: staging first, by changed shards of the look-back and carried run state
+(``staging_load``), then every mart with its look-back (14 days; 44 for LTV) replaced by partition overwrite, then the models that are rebuilt in full, then the data tests, as one
 Spark job: ``full=True`` rebuilds every table; otherwise each mart rewrites
 only the partitions its incremental window produces. Every write is idempotent, so a failed or
 repeated run is simply run again.
@@ -14,8 +14,10 @@ import datetime as _dt
 from pyspark.sql import SparkSession
 
 from playmart.operators import analytics, marts, quality
+from playmart.plans import staging_load
 from playmart.plans.warehouse import Warehouse
 from playmart.session import AS_OF
+from playmart.sources import fixtures
 from playmart.sources.sinks import insert_overwrite_partitions, write_table
 
 # mart -> (builder(warehouse, incremental), partition column, clustering columns)
@@ -71,11 +73,30 @@ def gate(tables: dict, raw_adjust, as_of: _dt.date) -> list:
     return parts + [quality.rows_as_summary(df, k, k.removeprefix("dq_")) for k, df in rules.items()]
 
 
+def land_events(w: Warehouse, landing: str, full: bool) -> None:
+    """The export's part: shards that are not there yet (all with ``full``) and the newest intraday snapshot."""
+    from pyspark.sql import functions as F
+    raw = fixtures.raw_ga4_events(w.table("events"), w.as_of)
+    have = [] if full else [c.split("=", 1)[1] for c in staging_load.children(w.spark, landing) if "intraday" not in c]
+    new = F.col("table_suffix").startswith("intraday")
+    if not have:
+        new = F.lit(True)
+    else:
+        days = [(w.as_of - _dt.timedelta(days=k)).strftime("%Y%m%d") for k in range(1, staging_load.LOOKBACK_DAYS + 1)]
+        missing = [d for d in days if d not in have]
+        new = new | F.col("table_suffix").isin(*missing) if missing else new
+    write_table(raw.where(new), landing, partition_by=("table_suffix",), dynamic=True)
+
+
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date = AS_OF,
               full: bool = False, check: bool = True) -> dict[str, str]:
     """Build every mart and model under ``out_dir`` and return {name: path}. With ``check`` all declared
     tests run against the written tables and an ``error`` failure raises."""
     w = Warehouse(spark, sf_dir, as_of, materialize=True)
+    landing, staged = f"{out_dir.rstrip('/')}/_landing/events", f"{out_dir.rstrip('/')}/_staging"
+    land_events(w, landing, full)
+    staging_load.load(spark, landing, staged, as_of, full)
+    w.use_events(staging_load.events_view(spark, staged))
     paths = {}
     for name, (build, part, cluster) in MARTS.items():
         path = f"{out_dir.rstrip('/')}/{name}"

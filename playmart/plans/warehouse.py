@@ -143,6 +143,10 @@ class Warehouse:
                                                      cluster_by=("event_name", "user_pseudo_id"))
         return path
 
+    def use_events(self, events: DataFrame) -> None:
+        """Take ``stg_events`` from a table that a load keeps up to date."""
+        self._events_override = events
+
     def model_table(self, name: str, build, partition_by=()) -> DataFrame:
         """A table built once per warehouse when materialising (as the reference's tables are),
         else the lazy plan."""
