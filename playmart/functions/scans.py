@@ -210,22 +210,19 @@ def level_runs(df: DataFrame, level_col: str = "level_id", key_col: str = "user_
     return d.withColumns(out).select(*df.columns, *(c for c in out if c not in df.columns))
 
 
-def segmented_running_max(df: DataFrame, value_col: str, key_cols: list[str], out: str,
-                          ts_col: str = "event_timestamp", tie_col: str | None = None,
-                          unit: str = SEGMENT_UNIT) -> DataFrame:
-    """``out`` = max of ``value_col`` over rows of the same key at or before the row, ordered by
-    (``ts_col``, ``tie_col``). NULL values are ignored (NULL until the first non-null value)."""
-    seg = "_seg"
-    d = df.withColumn(seg, F.date_trunc(unit, F.col(ts_col)))
-    order = [ts_col] + ([tie_col] if tie_col else [])
-    w = Window.partitionBy(*key_cols, seg).orderBy(*order)
-    d = d.withColumn("_local", F.max(value_col).over(w.rangeBetween(Window.unboundedPreceding, 0)))  # ties see each other
-    summary = d.groupBy(*key_cols, seg).agg(F.max(value_col).alias("_seg_max"))
-    wu = Window.partitionBy(*key_cols).orderBy(seg)
-    summary = summary.withColumn("_carry", F.max("_seg_max").over(
-        wu.rowsBetween(Window.unboundedPreceding, -1))).select(*key_cols, seg, "_carry")
-    d = d.join(summary, [*key_cols, seg], "left")
-    return d.withColumn(out, F.greatest(F.col("_local"), F.col("_carry"))).drop("_local", "_carry", seg)
+def record_steps(df: DataFrame, keys: list[str], order_col: str, value_col: str) -> DataFrame:
+    """The running maximum of ``value_col`` per key as a step function: (keys, value_col, ``_from``, ``_to``), one row
+    per record high, valid from ``_from`` up to but not at ``_to`` (NULL: for good). Rows without value or order are
+    left out; of rows tied in order the highest counts.
+
+    A (key, value) counts from its first appearance only, so a partial aggregation leaves at most one row per
+    distinct value before the window, however many rows a key has."""
+    first = df.where(F.col(value_col).isNotNull() & F.col(order_col).isNotNull()).groupBy(*keys, value_col).agg(
+        F.min(order_col).alias("_from"))
+    w = Window.partitionBy(*keys).orderBy("_from", F.col(value_col).desc())
+    before = F.max(value_col).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    highs = first.withColumn("_before", before).where(F.col("_before").isNull() | (F.col(value_col) > F.col("_before")))
+    return highs.withColumn("_to", F.lead("_from").over(w)).drop("_before")
 
 
 def dense_rank_by_day(df: DataFrame, key_col: str = "user_pseudo_id", day_col: str = "event_date",

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playmart.functions.columns import IAP_EVENT_NAMES, iap_value_usd, is_iap_revenue_event, not_test_country
-from playmart.functions.scans import (dense_rank_by_day, segmented_fill, segmented_lag, segmented_row_number,
-                                      segmented_running_max)
+from playmart.functions.scans import (dense_rank_by_day, record_steps, segmented_fill, segmented_lag,
+                                      segmented_row_number)
 
 USER = "user_pseudo_id"
 
@@ -342,60 +342,47 @@ def retention_cohorts(events: DataFrame) -> DataFrame:
 UPGRADE_EVENTS = ("staff_level_purchase", "object_level_purchase")
 
 
-def upgrades_at_fail(events: DataFrame, min_version: str = "0.1.8") -> DataFrame:
-    """For each (version, user, level) last fail and each item the user bought up to that moment:
-    the highest upgrade level bought. ``app_version >= '0.1.8'`` is a string compare ('0.1.10' is
-    below it), as in the reference.
+def recommended_steps(recommendations: DataFrame) -> DataFrame:
+    """One row per item of the sheet: ``recs``, the record highs of its recommended upgrade by level in ascending
+    order, as structs (level, upgrade). What is recommended at a level is the last entry at or below it. An item has
+    at most one entry per distinct upgrade level, so the array is bounded by the game's content, not by rows."""
+    steps = record_steps(recommendations, ["item_id"], "level_id", "upgrade_level")
+    return steps.groupBy("item_id").agg(F.sort_array(F.collect_list(
+        F.struct(F.col("_from").alias("level"), F.col("upgrade_level").alias("upgrade")))).alias("recs"))
 
-    The reference joins every purchase to every later fail of the user (F x U rows). Here fails
-    become probes in one stream with the purchases, and a running max per (user, item) in time
-    order answers each probe: output is bounded by fails x items bought, with no pair explosion."""
+
+def upgrades_analysis(events: DataFrame, recommendations: DataFrame, min_version: str = "0.1.8") -> DataFrame:
+    """For each (version, user, level) last fail on a level of the sheet and each item the user had bought by
+    then, the highest upgrade bought against the highest one recommended for the item at or below the level.
+    ``app_version >= '0.1.8'`` is a string compare ('0.1.10' is below it), as in the reference. A purchase at the
+    moment of the fail counts; rows without item, upgrade level or moment match nothing.
+
+    The reference joins every purchase to every later fail of the user and the sheet to itself on ``level >= level``.
+    Here purchases reduce to the record highs per (user, item), each valid until the next one, limited to the sheet's
+    items and carrying their recommendations; fails reduce to the last per key, limited to the sheet's levels. What
+    meets is at most one row per purchase and per fail, a user's rows are bounded by items, levels and versions
+    however many events they own, and the interval join gives exactly the result's rows."""
     v = F.col("app_version") >= F.lit(min_version)
     fails = _named(events, "level_failed").where(v).groupBy("app_version", USER, "level_id").agg(
         F.max("event_timestamp").alias("event_timestamp"))
+    fails = fails.join(recommendations.select("level_id").distinct(), "level_id", "left_semi")
     purchases = _named(events, *UPGRADE_EVENTS).where(v).select(
         USER, "event_timestamp", F.coalesce("staff_id", "object_id").alias("item_id"),
         F.coalesce("staff_level", "object_level").alias("upgrade_level"))
-    user_items = purchases.select(USER, "item_id").distinct()
-    probes = fails.join(user_items, USER)
-    stream = purchases.select(USER, "item_id", "event_timestamp", "upgrade_level",
-                              F.lit(None).cast("string").alias("app_version"),
-                              F.lit(None).cast("bigint").alias("level_id"), F.lit(0).alias("_kind")).unionByName(
-        probes.select(USER, "item_id", "event_timestamp", F.lit(None).cast("bigint").alias("upgrade_level"),
-                      "app_version", "level_id", F.lit(1).alias("_kind")))
-    stream = segmented_running_max(stream, "upgrade_level", [USER, "item_id"], "_best", tie_col="_kind")
-    return stream.where((F.col("_kind") == 1) & F.col("_best").isNotNull()).select(
-        "app_version", USER, "level_id", "event_timestamp", "item_id", F.col("_best").alias("upgrade_level"))
-
-
-def recommended_upgrades(recommendations: DataFrame, probes: DataFrame) -> DataFrame:
-    """For each probed (level_id, item_id) whose level is a recommendation level: the highest
-    recommended upgrade of that item at or below the level.
-
-    The reference self-joins the sheet on ``level >= level`` (quadratic). Here probes and sheet
-    rows form one small stream per item and a running max answers each probe."""
-    levels = recommendations.select("level_id").distinct()
-    q = probes.select("level_id", "item_id").distinct().join(levels, "level_id", "left_semi")
-    recs = recommendations.groupBy("item_id", "level_id").agg(F.max("upgrade_level").alias("upgrade_level"))
-    stream = recs.withColumn("_kind", F.lit(0)).unionByName(
-        q.select("item_id", "level_id", F.lit(None).cast("bigint").alias("upgrade_level"), F.lit(1).alias("_kind")))
-    w = Window.partitionBy("item_id").orderBy("level_id", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    stream = stream.withColumn("_best", F.max("upgrade_level").over(w))
-    return stream.where((F.col("_kind") == 1) & F.col("_best").isNotNull()).select(
-        "level_id", "item_id", F.col("_best").alias("recommended_upgrade_level"))
-
-
-def upgrades_analysis(events: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """For each last fail, the upgrade bought before it vs the recommended cumulative max."""
-    u = upgrades_at_fail(events)
-    rec = recommended_upgrades(recommendations, u)
-    j = u.join(rec, ["level_id", "item_id"])
+    steps = record_steps(purchases, [USER, "item_id"], "event_timestamp", "upgrade_level")
+    steps = steps.join(recommended_steps(recommendations), "item_id")
+    f, s = fails.alias("f"), steps.alias("s")
+    at = F.col("f.event_timestamp")
+    j = f.join(s, (F.col(f"f.{USER}") == F.col(f"s.{USER}")) & (F.col("s._from") <= at)
+               & (F.col("s._to").isNull() | (at < F.col("s._to")))
+               & (F.col("s.recs")[0]["level"] <= F.col("f.level_id")))
+    below = F.filter("s.recs", lambda r: r["level"] <= F.col("f.level_id"))
+    rec = F.element_at(below, -1)["upgrade"]
     return j.select(
-        "app_version", USER, "level_id", "item_id", "upgrade_level",
-        F.col("level_id").alias("recommended_level_id"), F.col("item_id").alias("recommended_item_id"),
-        "recommended_upgrade_level",
-        F.when(F.col("upgrade_level") >= F.col("recommended_upgrade_level"), F.lit("pass"))
-         .otherwise(F.lit("fail")).alias("follow_recommendation"))
+        "f.app_version", f"f.{USER}", "f.level_id", "s.item_id", "s.upgrade_level",
+        F.col("f.level_id").alias("recommended_level_id"), F.col("s.item_id").alias("recommended_item_id"),
+        rec.alias("recommended_upgrade_level"),
+        F.when(F.col("s.upgrade_level") >= rec, F.lit("pass")).otherwise(F.lit("fail")).alias("follow_recommendation"))
 
 
 def upgrades_level(events: DataFrame, game_objects: DataFrame) -> DataFrame:

@@ -66,6 +66,12 @@ def _event_name(event_type: Column, event_id: Column) -> Column:
     return expr
 
 
+def _item(key: Column, popular: Column) -> Column:
+    """Item of an upgrade: every third event buys one of ten popular items, the others range over the part keys
+    (five events a part at every size), so items and their sheet grow with the tables."""
+    return F.when(key % 3 == 0, popular).otherwise(F.floor(key / 5))
+
+
 def raw_ga4_events(events: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
     """GA4 export rows (nested structs + event_params array) with a ``table_suffix`` column.
 
@@ -109,9 +115,9 @@ def raw_ga4_events(events: DataFrame, as_of: _dt.date = AS_OF) -> DataFrame:
         F.when(is_iap, _kv("product_id", str_v=F.concat(F.lit("prod_"), (k % 4).cast("string")))),
         F.when(is_iap, _kv("item_name", str_v=F.concat(F.lit("prod_"), (k % 4).cast("string")))),
         F.when(name == "booster_used", _kv("booster_id", int_v=F.floor(F.col("event_id") / 5) + 1)),
-        F.when(name == "staff_level_purchase", _kv("staff_id", int_v=110 + k % 5)),
+        F.when(name == "staff_level_purchase", _kv("staff_id", int_v=_item(eid, 110 + k % 5))),
         F.when(name == "staff_level_purchase", _kv("staff_level", int_v=1 + eid % 10)),
-        F.when(name == "object_level_purchase", _kv("object_id", int_v=120 + k % 5)),
+        F.when(name == "object_level_purchase", _kv("object_id", int_v=_item(eid, 120 + k % 5))),
         F.when(name == "object_level_purchase", _kv("object_level", int_v=1 + eid % 10)),
         F.when(is_tutorial, _kv("tutorial_id", int_v=40000 + k % 3)),
         F.when(name == "tutorial_step", _kv("step_num", int_v=1 + k % 5)),
@@ -186,11 +192,13 @@ def game_objects(part: DataFrame) -> DataFrame:
 
 
 def level_upgrade_recommendations(part: DataFrame) -> DataFrame:
-    """Sheet lookup (level_id, item_id, upgrade_level): the distinct recommendations of all parts."""
+    """Sheet lookup (level_id, item_id, upgrade_level): the distinct recommendations of all parts, every third for
+    one of ten popular items, the others for the part itself."""
     pk = F.col("p_partkey")
     return part.select(
         (60000 + pk % 10).alias("level_id"),
-        (F.when(pk % 2 == 0, F.lit(110)).otherwise(F.lit(120)) + pk % 5).cast("bigint").alias("item_id"),
+        F.when(pk % 3 == 0, F.when(pk % 2 == 0, F.lit(110)).otherwise(F.lit(120)) + pk % 5).otherwise(pk)
+         .cast("bigint").alias("item_id"),
         (1 + F.col("p_size") % 10).cast("bigint").alias("upgrade_level"),
     ).distinct()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -86,6 +87,42 @@ def test_upgrades_analysis_as_of_rules(spark):
     assert (r.upgrade_level, r.recommended_upgrade_level, r.follow_recommendation) == (3, 2, "pass")
 
 
+def test_upgrades_analysis_equals_brute_force(spark):
+    # ties, missing items and levels, levels and items outside the sheet, one user with a third of the rows
+    rng = random.Random(5)
+    maybe = lambda v: None if rng.random() < 0.1 else v
+    ev = []
+    for _ in range(600):
+        m = dt.datetime(2024, 1, 20, rng.randrange(3), rng.randrange(20))
+        user, version = rng.choice(["hot", "a", "b", "c", "hot"]), rng.choice(["0.1.7", "0.1.8", "0.1.9"])
+        kind = rng.choice(["level_failed", "staff_level_purchase", "object_level_purchase"])
+        item, up = maybe(rng.choice([110, 111, 112, 500])), maybe(rng.randrange(1, 9))
+        row = {"level_failed": (maybe(60000 + rng.randrange(8)), None, None, None, None),
+               "staff_level_purchase": (None, item, up, None, None),
+               "object_level_purchase": (None, None, None, item, up)}[kind]
+        ev.append((m.date(), m, kind, user, version, *row))
+    recs = [(60000 + rng.randrange(6), rng.choice([110, 111, 112, 113]), maybe(rng.randrange(1, 9))) for _ in range(25)]
+    recs.append((60000, None, 3))
+    bought = [(e[3], e[1], e[6] if e[6] is not None else e[8], e[7] if e[7] is not None else e[9])
+              for e in ev if e[2] != "level_failed" and e[4] >= "0.1.8"]
+    last = {}
+    for e in ev:
+        if e[2] == "level_failed" and e[4] >= "0.1.8":
+            key = (e[4], e[3], e[5])
+            last[key] = max(last.get(key, e[1]), e[1])
+    expected = set()
+    for (version, user, level), at in last.items():
+        for item in {r[1] for r in recs if level in {x[0] for x in recs}} - {None}:
+            own = [b[3] for b in bought if b[0] == user and b[1] <= at and b[2] == item and b[3] is not None]
+            rec = [r[2] for r in recs if r[1] == item and r[0] <= level and r[2] is not None]
+            if own and rec:
+                expected.add((version, user, level, item, max(own), level, item, max(rec),
+                              "pass" if max(own) >= max(rec) else "fail"))
+    out = analytics.upgrades_analysis(spark.createDataFrame(ev, UPG_SCHEMA), spark.createDataFrame(
+        recs, "level_id bigint, item_id bigint, upgrade_level bigint")).collect()
+    assert len(out) == len(expected) > 20 and {tuple(r) for r in out} == expected
+
+
 def test_upgrades_analysis_string_version_compare(spark):
     # Q12: '0.1.10' < '0.1.8' as strings, so its fails are excluded
     d = dt.date(2024, 1, 25)
