@@ -34,6 +34,7 @@ class Warehouse:
         self.materialize = materialize
         self._events_override: DataFrame | None = None
         self._lock = threading.RLock()
+        self._database: str | None = None
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) -> "Warehouse":
@@ -56,7 +57,7 @@ class Warehouse:
         re-deriving the feed; otherwise it is the lazy derivation."""
         if not self.materialize:
             return build()
-        return self.model_table(f"raw_{name}", build, partition_by=partition_by)
+        return self.model_table(f"raw_{name}", build, partition_by=partition_by, register=False)
 
     @cached_property
     def raw_events(self) -> DataFrame:
@@ -141,21 +142,40 @@ class Warehouse:
         path = path or self._scratch("stg_events")
         self._events_override = self._write_and_read(staging.stg_events(union), path, partition_by=("event_date",),
                                                      cluster_by=("event_name", "user_pseudo_id"))
+        self._register("stg_events", path, self._events_override, ("event_date",))
         return path
 
     def use_events(self, events: DataFrame) -> None:
         """Take ``stg_events`` from a table that a load keeps up to date."""
         self._events_override = events
 
-    def model_table(self, name: str, build, partition_by=()) -> DataFrame:
-        """A table built once per warehouse when materialising (as the reference's tables are),
-        else the lazy plan."""
+    @property
+    def database(self) -> str:
+        """The catalog database that lists the tables built here."""
+        with self._lock:
+            if self._database is None:
+                name = f"playmart_{uuid.uuid4().hex[:8]}"
+                self.spark.sql(f"CREATE DATABASE `{name}` LOCATION '{self._scratch(name)}'")
+                self._database = name
+        return self._database
+
+    def _register(self, name: str, path: str, df: DataFrame, partition_by=()) -> None:
+        from playmart.sources.sinks import register_table
+        register_table(self.spark, self.database, name, path, df.schema, partition_by)
+
+    def model_table(self, name: str, build, partition_by=(), register: bool = True) -> DataFrame:
+        """A table built once per warehouse when materialising (as the reference's tables are) and, with
+        ``register``, listed in the catalog, else the lazy plan."""
         if not self.materialize:
             return build()
         cache = self.__dict__.setdefault("_models", {})
         with self._lock:
             if name not in cache:
-                cache[name] = self._write_and_read(build(), self._scratch(name), partition_by=partition_by)
+                path = self._scratch(name)
+                df = self._write_and_read(build(), path, partition_by=partition_by)
+                if register:
+                    self._register(name, path, df, partition_by)
+                cache[name] = df
         return cache[name]
 
     @property

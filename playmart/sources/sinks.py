@@ -38,6 +38,25 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w.parquet(path)
 
 
+def register_table(spark: SparkSession, database: str, name: str, path: str, schema: StructType,
+                   partition_by: Sequence[str] = ()) -> None:
+    """K2 in the catalog: ``database.name`` names the Parquet files under ``path``. The table is external, so
+    replacing the name leaves the files; registering again takes up partitions and columns that came since."""
+    table = f"`{database}`.`{name}`"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)}) " if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {parts}LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
+
+
+def catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The tables of a database by name; views are left out."""
+    names = sorted(t.name for t in spark.catalog.listTables(database) if t.tableType in ("EXTERNAL", "MANAGED"))
+    return {n: spark.table(f"`{database}`.`{n}`") for n in names}
+
+
 def insert_overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
                                 cluster_by: Sequence[str] = ()) -> None:
     """K3: replace only the partitions present in ``df``; all other partitions stay as they are.

@@ -125,7 +125,7 @@ def test_daily_run_full_then_incremental_is_stable(spark, sf_dir, tmp_root):
     from playmart.plans.daily import run_daily
     from tools.compare import rows_key  # floats compared at 6 decimals: sums may change order
     out = os.path.join(tmp_root, "daily")
-    paths = run_daily(spark, sf_dir, out, full=True)
+    paths = run_daily(spark, sf_dir, out, full=True, database="daily_build")
 
     def rows(p):
         df = spark.read.parquet(p)
@@ -134,6 +134,32 @@ def test_daily_run_full_then_incremental_is_stable(spark, sf_dir, tmp_root):
     stable = ("ua_performance_daily", "engagement_daily", "iap_arpdau_daily",
               "creative_performance_daily", "ua_funnel_daily", "tutorial_funnel_daily")
     before = {k: rows(paths[k]) for k in stable}
-    run_daily(spark, sf_dir, out, full=False)
+    run_daily(spark, sf_dir, out, full=False, database="daily_build")
+    assert set(sinks.catalog_tables(spark, "daily_build")) == set(paths)
+    assert spark.table("daily_build.ua_funnel_daily").count() == len(before["ua_funnel_daily"])
     for k in stable:
         assert rows(paths[k]) == before[k], k
+
+
+def test_row_counts_follow_the_catalog(spark, tmp_root):
+    """A registered table has its row without a list of names, later partitions are taken up, views and dropped
+    names are not counted, an empty table counts nothing."""
+    db, path = "counted_tables", os.path.join(tmp_root, "counted")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_root, 'counted_db')}'")
+    df = spark.createDataFrame([(1, AS_OF), (2, AS_OF), (3, AS_OF - dt.timedelta(days=30))], "n int, date date")
+    counts = lambda: {(r.table_name, r.day): r.row_count for r in q.row_counts_by_day(
+        sinks.catalog_tables(spark, db), AS_OF).collect()}
+    sinks.write_table(df, path, partition_by=("date",))
+    sinks.register_table(spark, db, "mart", path, df.schema, ("date",))
+    sinks.write_table(df.drop("date"), path + "_sheet")
+    sinks.register_table(spark, db, "sheet", path + "_sheet", df.drop("date").schema)
+    sinks.write_table(df.where("n > 9"), path + "_none", partition_by=("date",))
+    sinks.register_table(spark, db, "nothing", path + "_none", df.schema, ("date",))
+    spark.sql(f"CREATE OR REPLACE VIEW {db}.some_view AS SELECT 1 AS n")
+    assert counts() == {("mart", AS_OF): 2, ("sheet", None): 3}
+    day = AS_OF - dt.timedelta(days=1)
+    sinks.insert_overwrite_partitions(spark.createDataFrame([(4, day)], df.schema), path, ["date"])
+    sinks.register_table(spark, db, "mart", path, df.schema, ("date",))
+    assert counts() == {("mart", AS_OF): 2, ("mart", day): 1, ("sheet", None): 3}
+    spark.sql(f"DROP TABLE {db}.mart")
+    assert counts() == {("sheet", None): 3} and spark.read.parquet(path).count() == 4
