@@ -246,6 +246,8 @@ METRICS: dict[str, Metric] = {
     "ecpi": Metric("ua_performance_daily", "spend", "installs"),
     "ctr": Metric("ua_performance_daily", "clicks", "impressions"),
     "cvr": Metric("ua_performance_daily", "installs", "clicks"),
+    "ecpc": Metric("ua_performance_daily", "spend", "clicks"),
+    "ecpm": Metric("ua_performance_daily", "1000 * spend", "impressions"),
     "arpdau_ua": Metric("ua_performance_daily", "revenue", "daus"),
     "iap_share": Metric("ua_performance_daily", "revenue", "all_revenue"),
     "ad_share": Metric("ua_performance_daily", "ad_revenue", "all_revenue"),
@@ -254,7 +256,21 @@ METRICS: dict[str, Metric] = {
     "arpdau_iap": Metric("iap_arpdau_daily", "iap_revenue", "dau"),
     "impr_to_click_rate": Metric("ua_funnel_daily", "clicks", "impressions"),
     "click_to_install_rate": Metric("ua_funnel_daily", "installs", "clicks"),
+    "install_to_event_rate": Metric("ua_funnel_daily", "events", "installs"),
     "install_to_purchase_rate": Metric("ua_funnel_daily", "revenue_events", "installs"),
+    "install_arpu_d0": Metric("ua_funnel_daily", "cohort_revenue", "installs"),
+    "ecpi_meta": Metric("creative_performance_daily", "spend", "installs"),
+    "cvr_meta": Metric("creative_performance_daily", "installs", "clicks"),
+    "roas_meta": Metric("creative_performance_daily", "purchase_value", "spend"),
+    "video_completion_rate": Metric("creative_performance_daily", "video_p100", "video_plays"),
+    **{f"d{n}_retention": Metric("engagement_daily", f"d{n}_retention * dau", "dau") for n in (1, 7, 30)},
+    **{f"retained_d{n}": Metric("retention_cohorts", f"retained_d{n}_users", "cohort_size") for n in (1, 3, 7, 14, 30)},
+    # a cohort has one row a day and its size on each: the size counts once, on day 0
+    **{f"ltv_d{n}": Metric("cohort_ltv_daily", f"CASE WHEN days_since_install <= {n} THEN iap_revenue END",
+                           "CASE WHEN days_since_install = 0 THEN cohort_size END") for n in (0, 7, 14, 30)},
+    # completion rows have no step
+    "tutorial_completion": Metric("tutorial_funnel_daily", "CASE WHEN step_num IS NULL THEN users END",
+                                  "CASE WHEN step_num = 1 THEN users END"),
 }
 
 

@@ -376,7 +376,17 @@ def q_ltv_to_cac(w: Warehouse) -> DataFrame:
     return metrics.ltv_to_cac(marts.cohort_ltv_daily(w.stg_events, w.as_of), _ua(w))
 
 
-ROLLUP_METRICS = ["roas", "roas_ad", "roi", "ecpi", "ctr", "cvr", "arpdau_ua", "iap_share", "ad_share"]
+ROLLUP_METRICS = ["roas", "roas_ad", "roi", "ecpi", "ctr", "cvr", "ecpc", "ecpm", "arpdau_ua", "iap_share", "ad_share"]
+# query -> (mart, dimensions); each rolls up every metric of its mart
+ROLLUPS = {
+    "metric_rollup_creative": ("creative_performance_daily", ["account_id", "campaign_id"]),
+    "metric_rollup_engagement": ("engagement_daily", ["country"]),
+    "metric_rollup_iap": ("iap_arpdau_daily", ["app_version", "spender_segment"]),
+    "metric_rollup_funnel": ("ua_funnel_daily", ["network", "country"]),
+    "metric_rollup_retention": ("retention_cohorts", ["acquisition_source", "spender_segment"]),
+    "metric_rollup_ltv": ("cohort_ltv_daily", ["geo_country", "app_version"]),
+    "metric_rollup_tutorial": ("tutorial_funnel_daily", ["tutorial_id", "platform"]),
+}
 
 
 @query("metric_rollup")
@@ -384,9 +394,19 @@ def q_metric_rollup(w: Warehouse) -> DataFrame:
     return metrics.metric_rollup(_ua(w), ROLLUP_METRICS, ["network", "platform"])
 
 
+def _rollup(mart: str, dims: list[str]):
+    names = [k for k, m in metrics.METRICS.items() if m.source == mart]
+    return lambda w: metrics.metric_rollup(model(w, mart), names, dims)
+
+
+for _key, _spec in ROLLUPS.items():
+    QUERIES[_key] = _rollup(*_spec)
+
+
 # ---- D: data-quality jobs -----------------------------------------------------------------------
 
 from playmart.operators import quality  # noqa: E402
+from playmart.plans import daily  # noqa: E402
 
 
 def model(w: Warehouse, name: str) -> DataFrame:
@@ -401,13 +421,13 @@ def model(w: Warehouse, name: str) -> DataFrame:
         "cohort_ltv_daily": lambda: marts.cohort_ltv_daily(w.stg_events, w.as_of),
         "session_depth_daily": lambda: marts.session_depth_daily(w.stg_events, w.as_of, exact=True, sess=w.sessions),
         "tutorial_funnel_daily": lambda: marts.tutorial_funnel_daily(w.stg_events, w.as_of),
-        "overview_daily": lambda: marts.overview_daily(_ua(w), _eng(w)),
-        "retention_cohorts": lambda: analytics.retention_cohorts(w.stg_events),
         "game_objects": lambda: w.game_objects,
         "level_upgrade_recommendations": lambda: w.level_upgrade_recommendations,
     }
-    if name in ("stg_events", "game_objects", "level_upgrade_recommendations"):
+    if name == "stg_events":
         return builders[name]()
+    if name not in builders:  # the daily build's models without a look-back
+        return w.model_table(name, lambda: daily.FULL[name](w, {t: model(w, t) for t in ("ua_performance_daily", "engagement_daily")}))
     return w.model_table(name, builders[name])
 
 
@@ -470,14 +490,14 @@ def q_dq_summary(w: Warehouse) -> DataFrame:
     return quality.dq_summary(parts)
 
 
-ROW_COUNT_TABLES = ("stg_events", "ua_performance_daily", "engagement_daily", "creative_performance_daily",
-                    "ua_funnel_daily", "iap_arpdau_daily", "cohort_ltv_daily", "session_depth_daily",
-                    "tutorial_funnel_daily", "retention_cohorts", "game_objects", "level_upgrade_recommendations")
-
-
 @query("row_counts_by_day")
 def q_row_counts_by_day(w: Warehouse) -> DataFrame:
-    return quality.row_counts_by_day({t: model(w, t) for t in ROW_COUNT_TABLES}, w.as_of)
+    """The daily build's marts and models, the sheets and the tables they are built from, as the catalog lists
+    them; what is not built yet in this warehouse is built first."""
+    from playmart.sources.sinks import catalog_tables
+    for t in ("stg_events", *daily.MARTS, *daily.FULL, "game_objects", "level_upgrade_recommendations"):
+        model(w, t)
+    return quality.row_counts_by_day(catalog_tables(w.spark, w.database), w.as_of)
 
 
 # ---- T: streaming -----------------------------------------------------------------------------

@@ -43,6 +43,37 @@ def test_approx_percentiles_close_to_exact(spark, sf_dir):
         assert r.sessions == e.sessions and r.avg_events_per_session == e.avg_events_per_session
 
 
+@pytest.mark.parametrize("accuracy", [10000, 20])
+def test_approx_percentiles_keep_their_rank_error(spark, accuracy):
+    """Of every group, metric and fraction p: the answer is a value of the group, and the share of rows it covers
+    brackets p within 1 / accuracy (rank error of the sketch) of the exact rank."""
+    import bisect
+    import datetime as dt
+    import random
+    from playmart.operators import marts
+    rng = random.Random(11)
+    sizes = {"IOS": 4000, "ANDROID": 900, "WEB": 3}
+    rows = [(f"u{rng.randrange(400)}", i, dt.date(2024, 1, 5), p, "0.1.8", "Germany",
+             int(rng.paretovariate(0.7)), rng.randrange(100000), rng.randrange(6))
+            for p, n in sizes.items() for i in range(n)]
+    sess = spark.createDataFrame(rows, "user_pseudo_id string, ga_session_id bigint, session_date date, platform string, "
+                                 "app_version string, geo_country string, events_in_session bigint, "
+                                 "duration_seconds bigint, levels_in_session bigint").cache()
+    days = {p: [] for p in sizes}
+    for r in marts.session_user_days(sess).collect():
+        days[r.platform].append(r.sessions_in_day)
+    for r in marts.session_depth_daily(None, accuracy=accuracy, sess=sess).collect():
+        of = lambda i: sorted(x[i] for x in rows if x[3] == r.platform)  # noqa: B023, E731
+        values = {"events_per_session": of(6), "duration_seconds": of(7), "levels_per_session": of(8),
+                  "sessions_per_user": sorted(days[r.platform])}
+        for metric, v in values.items():
+            for p, name in zip(marts.PERCENTILES, marts.PCT_NAMES):
+                got, slack = r[f"{name}_{metric}"], len(v) / accuracy + 1
+                assert got in v
+                below, upto = bisect.bisect_left(v, got), bisect.bisect_right(v, got)
+                assert below - slack <= p * len(v) <= upto + slack, (r.platform, metric, name, accuracy)
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and "days_since_install" in df.columns
