@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from playmart.functions.columns import IAP_EVENT_NAMES, iap_value_usd, is_iap_revenue_event, not_test_country
 from playmart.functions.scans import (dense_rank_by_day, record_steps, segmented_fill, segmented_lag,
                                       segmented_row_number)
+from playmart.operators.players import player_facts, spender_segment
 
 USER = "user_pseudo_id"
 
@@ -303,32 +304,18 @@ def retention_abandonment_rate(events: DataFrame) -> DataFrame:
 RETENTION_DAYS = (1, 3, 7, 14, 30)
 
 
-def retention_cohorts(events: DataFrame) -> DataFrame:
+def retention_cohorts(events: DataFrame, players: DataFrame | None = None) -> DataFrame:
     """(cohort date, geo, acquisition source, version, spender segment) -> cohort size, IAP
     value and users active exactly 1/3/7/14/30 days after the cohort date (no elapsed-day guard).
 
-    The cohort row is the user's least first_open/new_player event by (moment, day, country, source,
-    version), so tied moments give one answer; activity is distinct per (user, day) and each user has one cohort row, so a
+    The cohort row is the user's least first_open/new_player event (``player_facts``, or the maintained
+    ``players``); activity is distinct per (user, day) and each user has one cohort row, so a
     conditional count equals the distinct count and no Expand is needed."""
     keys = ["cohort_date", "geo_country", "acquisition_source", "app_version", "spender_segment"]
-    touch = _named(events, "first_open", "new_player")
-    first = F.min(F.struct(
-        "event_timestamp", F.col("event_date").alias("cohort_date"),
-        F.coalesce("geo_country", F.lit("unknown")).alias("geo_country"),
-        F.coalesce(F.nullif("traffic_source_source", F.lit("")), F.nullif("app_info_install_source", F.lit("")),
-                   F.lit("unknown")).alias("acquisition_source"),
-        F.coalesce("app_version", F.lit("unknown")).alias("app_version")))
-    cohort = touch.groupBy(USER).agg(first.alias("c")).select(
-        USER, "c.cohort_date", "c.geo_country", "c.acquisition_source", "c.app_version")
-    value = events.groupBy(USER).agg(
-        F.when(F.max(F.when(is_iap_revenue_event(), 1).otherwise(0)) == 1, F.lit("spender"))
-         .otherwise(F.lit("non_spender")).alias("spender_segment"),
-        F.sum(F.when(F.col("event_name").isin(*IAP_EVENT_NAMES), iap_value_usd()).otherwise(F.lit(0.0)))
-         .alias("total_iap_value_usd"))
-    users = cohort.join(value, USER, "left").select(
-        USER, "cohort_date", "geo_country", "acquisition_source", "app_version",
-        F.coalesce("spender_segment", F.lit("non_spender")).alias("spender_segment"),
-        F.coalesce("total_iap_value_usd", F.lit(0.0)).alias("total_iap_value_usd"))
+    players = player_facts(events) if players is None else players
+    users = players.where(F.col("touch").isNotNull()).select(
+        USER, "touch.cohort_date", "touch.geo_country", "touch.acquisition_source", "touch.app_version",
+        spender_segment().alias("spender_segment"), F.col("iap_value_usd").alias("total_iap_value_usd"))
     activity = events.select(USER, "event_date").distinct()
     offset = F.datediff(F.col("event_date"), F.col("cohort_date"))
     base = users.join(activity, USER).where(offset.between(0, 30))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from playmart.functions.columns import (IAP_EVENT_NAMES, NOISE_EVENTS, iap_value_usd,
                                         is_iap_revenue_event, not_test_country, safe_divide)
+from playmart.operators.players import spender_segment
 from playmart.session import AS_OF
 from playmart.sources.sinks import incremental_window
 
@@ -84,13 +85,15 @@ def spender_lookup(events: DataFrame) -> DataFrame:
          .otherwise(F.lit("non_spender")).alias("spender_segment"))
 
 
-def iap_arpdau_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bool = False) -> DataFrame:
+def iap_arpdau_daily(events: DataFrame, as_of: _dt.date = AS_OF, incremental: bool = False,
+                     players: DataFrame | None = None) -> DataFrame:
     """(date, geo, app_version, spender_segment) -> dau, iap revenue/transactions, arpdau.
 
     The spender lookup is one row per user; the join is on the user key and AQE chooses the
-    strategy from the measured size (broadcast only below its threshold).
+    strategy from the measured size (broadcast only below its threshold). With ``players`` (the maintained
+    dimension of ``plans.players``) the lookup is that table, so an incremental run reads its look-back only.
     """
-    seg = spender_lookup(events)
+    seg = spender_lookup(events) if players is None else players.select("user_pseudo_id", spender_segment().alias("spender_segment"))
     e = events.where(F.col("user_pseudo_id").isNotNull() & not_test_country())
     e = incremental_window(e, "event_date", as_of, MART_LOOKBACK_DAYS, incremental)
     rev = F.when(F.col("event_name").isin(*IAP_EVENT_NAMES), iap_value_usd()).otherwise(F.lit(0.0))

@@ -1,7 +1,7 @@
 """The daily build: raw feeds -> stg_events -> marts -> data-quality gate.
 
 After the day's feeds have landed: staging first, by changed shards of the look-back and carried run state
-(``staging_load``), then every mart with its look-back (14 days; 44 for LTV) replaced by partition overwrite, then the models that are rebuilt in full, then the data tests, as one
+(``staging_load``), then the player dimension (``players``), then every mart with its look-back (14 days; 44 for LTV) replaced by partition overwrite, then the models that are rebuilt in full, then the data tests, as one
 Spark job: ``full=True`` rebuilds every table; otherwise each mart rewrites
 only the partitions its incremental window produces. Every write is idempotent, so a failed or
 repeated run is simply run again.
@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import SparkSession
 
 from playmart.operators import analytics, marts, quality
-from playmart.plans import staging_load
+from playmart.plans import players, staging_load
 from playmart.plans.warehouse import Warehouse
 from playmart.session import AS_OF
 from playmart.sources import fixtures
@@ -26,17 +26,17 @@ MARTS = {
                              "date", ("app", "network", "country")),
     "engagement_daily": (lambda w, inc: marts.engagement_daily(w.stg_unity, w.as_of, inc),
                          "date", ("country", "platform")),
-    "iap_arpdau_daily": (lambda w, inc: marts.iap_arpdau_daily(w.stg_events, w.as_of, inc),
+    "iap_arpdau_daily": (lambda w, inc: marts.iap_arpdau_daily(w.events_without_next, w.as_of, inc, w.players),
                          "date", ("geo_country", "app_version", "spender_segment")),
-    "cohort_ltv_daily": (lambda w, inc: marts.cohort_ltv_daily(w.stg_events, w.as_of, inc),
+    "cohort_ltv_daily": (lambda w, inc: marts.cohort_ltv_daily(w.events_without_next, w.as_of, inc),
                          "cohort_date", ("geo_country", "app_version", "days_since_install")),
     "creative_performance_daily": (lambda w, inc: marts.creative_performance_daily(w.stg_meta_ad, w.as_of, inc),
                                    "date", ("account_id", "campaign_id")),
     "ua_funnel_daily": (lambda w, inc: marts.ua_funnel_daily(w.stg_adjust, w.as_of, inc),
                         "date", ("app", "network", "country")),
-    "session_depth_daily": (lambda w, inc: marts.session_depth_daily(w.stg_events, w.as_of, inc),
+    "session_depth_daily": (lambda w, inc: marts.session_depth_daily(w.events_without_next, w.as_of, inc),
                             "date", ("platform", "app_version", "geo_country")),
-    "tutorial_funnel_daily": (lambda w, inc: marts.tutorial_funnel_daily(w.stg_events, w.as_of, inc),
+    "tutorial_funnel_daily": (lambda w, inc: marts.tutorial_funnel_daily(w.events_without_next, w.as_of, inc),
                               "date", ("tutorial_id", "app_version", "geo_country")),
 }
 
@@ -44,10 +44,11 @@ MARTS = {
 FULL = {
     "overview_daily": lambda w, t: marts.overview_daily(t["ua_performance_daily"], t["engagement_daily"]),
     **{name: (lambda w, t, f=getattr(analytics, name): f(w.stg_events)) for name in (
-        "retention_cohorts", "avg_time_spent", "coins_balance", "coins_balance_level", "coins_earned_failed",
+        "avg_time_spent", "coins_balance", "coins_balance_level", "coins_earned_failed",
         "coins_earned_won", "coins_earned_won_count", "coins_failed_count", "completed_players", "fail_rate",
         "fail_reasons", "fails_count", "tries_count", "iap_ltv", "iap_overview", "level_start_per_user",
         "max_level_active_day", "retention_abandonment_rate")},
+    "retention_cohorts": lambda w, t: analytics.retention_cohorts(w.events_without_next, w.players),
     **{name: (lambda w, t, f=getattr(analytics, name): f(w.stg_events, w.game_objects)) for name in (
         "boosters_usage", "earned_spent_analysis", "upgrades_level")},
     "upgrades_analysis": lambda w, t: analytics.upgrades_analysis(w.stg_events, w.level_upgrade_recommendations),
@@ -97,7 +98,9 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date =
     landing, staged = f"{out_dir.rstrip('/')}/_landing/events", f"{out_dir.rstrip('/')}/_staging"
     land_events(w, landing, full)
     staging_load.load(spark, landing, staged, as_of, full)
-    w.use_events(staging_load.events_view(spark, staged))
+    stored = staging_load.stored_events(spark, staged)
+    dimension = players.load(spark, stored, f"{out_dir.rstrip('/')}/_players", as_of, full=full)
+    w.use_events(staging_load.events_view(spark, staged), stored, dimension)
     paths = {}
     for name, (build, part, cluster) in MARTS.items():
         path = f"{out_dir.rstrip('/')}/{name}"

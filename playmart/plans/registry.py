@@ -272,6 +272,18 @@ for _k, _fn in (
     _events_model(_k, _fn)
 
 
+@query("player_dimension")
+def q_player_dimension(w: Warehouse) -> DataFrame:
+    """The per-user lookup of P3 and A19, loaded as a daily job does: up to four days ago, then up to the day."""
+    import datetime as _dt
+    from playmart.plans import players
+    path = _sink_path(w, "players")
+    for day in (w.as_of - _dt.timedelta(days=4), w.as_of):
+        df = players.load(w.spark, w.stg_events, path, day, w.database, buckets=8)
+    return df.select("user_pseudo_id", "touch.cohort_date", "touch.geo_country", "touch.acquisition_source", "touch.app_version",
+                     "first_spend", F.col("iap_value_usd").alias("total_iap_value_usd"))
+
+
 @query("boosters_usage")
 def q_boosters_usage(w: Warehouse) -> DataFrame:
     return analytics.boosters_usage(w.stg_events, w.game_objects)

@@ -171,6 +171,11 @@ def _between(spark: SparkSession, path: str, first: _dt.date, last: _dt.date) ->
     return spark.read.option("basePath", path).parquet(*(f"{path}/{d}" for d in have)) if have else None
 
 
+def stored_events(spark: SparkSession, out: str) -> DataFrame:
+    """The stored rows alone, for models that do not use ``next_level_id`` (86 columns): no patches are joined."""
+    return spark.read.parquet(f"{out}/events").select(*EVENT_KEYS, "previous_level_id")
+
+
 def events_view(spark: SparkSession, out: str) -> DataFrame:
     """S13 as loaded by day: the stored rows, open runs closed by the patches (87 columns)."""
     events = spark.read.parquet(f"{out}/events")

@@ -33,6 +33,8 @@ class Warehouse:
         self.as_of = as_of
         self.materialize = materialize
         self._events_override: DataFrame | None = None
+        self._without_next: DataFrame | None = None
+        self.players: DataFrame | None = None
         self._lock = threading.RLock()
         self._database: str | None = None
 
@@ -145,9 +147,14 @@ class Warehouse:
         self._register("stg_events", path, self._events_override, ("event_date",))
         return path
 
-    def use_events(self, events: DataFrame) -> None:
-        """Take ``stg_events`` from a table that a load keeps up to date."""
-        self._events_override = events
+    def use_events(self, events: DataFrame, without_next: DataFrame | None = None, players: DataFrame | None = None) -> None:
+        """Take ``stg_events`` from a table that a load keeps up to date, with its plain rows for models that do
+        not use ``next_level_id`` and the player dimension for those that look users up."""
+        self._events_override, self._without_next, self.players = events, without_next, players
+
+    @property
+    def events_without_next(self) -> DataFrame:
+        return self.stg_events if self._without_next is None else self._without_next
 
     @property
     def database(self) -> str:
