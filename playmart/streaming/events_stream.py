@@ -7,12 +7,13 @@ latest snapshot. As streams:
   functions as the batch staging model and appended to a partitioned Parquet table
   (stateless; ``availableNow`` processes whatever has landed, then stops).
 * T2 ``stream_snapshot_replace``: every landing is a full snapshot of a day so far, kept under
-  ``event_date=/snapshot_ts=``. A micro-batch only tells *which dates* changed; the batch function
-  reads the newest snapshot folder of those dates (pruned by both folder levels, older snapshots
-  and other dates are not opened) and replaces exactly those partitions.
+  ``event_date=/snapshot_ts=`` and published by a marker once complete (``sources.snapshots``). The stream
+  watches the markers alone; the batch function reads the newest complete snapshot of the days they
+  name (older snapshots, half-landed ones and other days are not opened) and publishes each as the
+  table's next snapshot of that day, which readers see at once or not at all.
 
 Both are restartable: progress lives in the checkpoint location, and T2's writes are idempotent
-(a replayed batch rewrites the same partitions with the same rows).
+(a replayed batch finds its snapshots published).
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from playmart.operators.staging import EVENT_COLUMNS, flatten_events, tracked_event_filter
-from playmart.sources.sinks import insert_overwrite_partitions
+from playmart.sources import snapshots
 
 
 def land_increments(raw: DataFrame, landing_dir: str, parts: int = 4) -> None:
@@ -48,42 +49,36 @@ def stream_flatten_events(spark: SparkSession, landing_dir: str, schema: StructT
 
 
 def land_snapshot(raw: DataFrame, landing_dir: str, snapshot_ts: str) -> None:
-    """Test harness: land one full snapshot of the day(s) in ``raw`` (``snapshot_ts`` sorts by time)."""
-    (raw.withColumn("snapshot_ts", F.lit(snapshot_ts)).write.mode("append")
-     .partitionBy("event_date", "snapshot_ts").parquet(landing_dir))
-
-
-def latest_snapshots(landed: DataFrame, dates: list[str]) -> DataFrame:
-    """Rows of the newest snapshot of each of ``dates``. Both filters are on partition columns."""
-    some = landed.where(F.col("event_date").isin(dates))
-    newest = some.groupBy("event_date").agg(F.max("snapshot_ts").alias("ts")).collect()  # one row per touched day
-    keep = F.lit(False)
-    for r in newest:
-        keep = keep | ((F.col("event_date") == r["event_date"]) & (F.col("snapshot_ts") == r["ts"]))
-    return some.where(keep).drop("snapshot_ts")
+    """Land one full snapshot of the day(s) in ``raw`` (``snapshot_ts`` sorts by time) and publish it."""
+    days = [r[0] for r in raw.select("event_date").distinct().collect()]  # one row per landed day
+    snapshots.publish(raw, landing_dir, "event_date", {d: snapshot_ts for d in days})
 
 
 def stream_snapshot_replace(spark: SparkSession, landing_dir: str, schema: StructType, table_dir: str,
                             checkpoint_dir: str, as_of: _dt.date | None = None, files_per_batch: int = 1000) -> None:
-    """For every micro-batch, replace the partitions of the dates it touched with the newest
-    snapshot of those dates. With ``as_of`` only that day's rows count, as in the batch model (S8)."""
-    landed_schema = StructType([*schema.fields, StructField("snapshot_ts", StringType())])
+    """For every micro-batch, replace the days whose snapshots became complete by the newest of these.
+    With ``as_of`` only that day's rows count, as in the batch model (S8)."""
     today = as_of and as_of.strftime("%Y%m%d")
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        dates = [r[0] for r in batch.select("event_date").distinct().collect()]  # one row per touched day
-        if today:
-            dates = [d for d in dates if d == today]
-        if dates:
-            landed = spark.read.schema(landed_schema).parquet(landing_dir)
-            full = latest_snapshots(landed, dates).select(*schema.names)
-            insert_overwrite_partitions(flatten_events(tracked_event_filter(full)), table_dir, ["event_date"])
-
-    src = spark.readStream.schema(landed_schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_dir)
+        days = [r[0] for r in batch.select("day").distinct().collect()]  # one row per touched day
+        newest = snapshots.published(spark, landing_dir, [d for d in days if not today or d == today])
+        if newest:
+            full = snapshots.read_published(spark, landing_dir, "event_date", schema, newest)
+            dated = {_dt.datetime.strptime(d, "%Y%m%d").date().isoformat(): v for d, v in newest.items()}
+            snapshots.publish(flatten_events(tracked_event_filter(full)), table_dir, "event_date", dated,
+                              cluster_by=("event_name", "user_pseudo_id"))
+
+    src = (spark.readStream.schema(snapshots.MARKER_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+           .json(snapshots.markers(spark, landing_dir)))
     q = (src.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_events_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*EVENT_COLUMNS)
+    """The table of T1, or the newest complete snapshot of every day of T2's."""
+    events = spark.read.parquet(path)
+    if snapshots.published(spark, path):
+        return snapshots.read_published(spark, path, "event_date", events.schema).select(*EVENT_COLUMNS)
+    return events.select(*EVENT_COLUMNS)

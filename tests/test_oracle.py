@@ -108,21 +108,16 @@ def test_newest_snapshot_replaces_the_day(spark, sf_dir, tmp_root):
     assert got() == want
 
 
-def test_snapshot_read_is_pruned(spark, sf_dir, tmp_root):
+def test_snapshot_read_opens_the_newest_folder_of_the_day(spark, sf_dir, tmp_root):
     import os
     from playmart.plans.warehouse import Warehouse
+    from playmart.sources import snapshots
     from playmart.streaming import events_stream
     w = Warehouse(spark, sf_dir)
     landing = os.path.join(tmp_root, "pruned")
     for ts in ("1", "2"):
         events_stream.land_snapshot(w.raw_events.where("event_date >= '20240129'"), landing, ts)
-    df = events_stream.latest_snapshots(spark.read.parquet(landing).withColumn("event_date", F_string("event_date"))
-                                        .withColumn("snapshot_ts", F_string("snapshot_ts")), ["20240130"])
-    opened = {f.split("event_date=")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
-    assert "PartitionFilters: [" in df._jdf.queryExecution().toString() and opened
-    assert all("snapshot_ts" not in c for c in df.columns)
-
-
-def F_string(name):
-    from pyspark.sql import functions as F
-    return F.col(name).cast("string")
+    df = snapshots.read_published(spark, landing, "event_date", w.raw_events.schema, ["20240130"])
+    opened = {f.split("pruned/")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+    assert opened == {"event_date=20240130/snapshot_ts=2"}
+    assert df.schema.names == w.raw_events.schema.names
