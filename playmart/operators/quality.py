@@ -1,7 +1,8 @@
 """Data-quality jobs.
 
-Column checks return one summary row ``(check, table_name, column_name, severity, failures)``;
-business-rule checks return the offending rows. Each check is a single aggregate or filter over
+Column checks return one summary row ``(check, table_name, column_name, severity, failures)``; where a table is
+written they are observed by the write itself (``write_metrics``) and only grain and rules read it again.
+Business-rule checks return the offending rows. Each check is a single aggregate or filter over
 the table, so it runs as one distributed pass; ``dq_summary`` unions the summaries and
 ``assert_clean`` is the only action (it raises when an ``error`` check has failures).
 """
@@ -149,6 +150,35 @@ def accepted_range_check(column: str, min_value=None, max_value=None, severity:
     return ("accepted_range", column, severity, F.coalesce(bad, F.lit(False)))
 
 
+def declared_checks() -> dict[str, list]:
+    """The declared column checks by table."""
+    checks: dict[str, list] = {}
+    for specs, make in ((NOT_NULL_TESTS, not_null_check), (ACCEPTED_VALUES_TESTS, accepted_values_check),
+                        (RANGE_TESTS, accepted_range_check)):
+        for table, *spec in specs:
+            checks.setdefault(table, []).append(make(*spec))
+    return checks
+
+
+def write_metrics(table: str) -> dict[str, Column]:
+    """The declared column checks of a table as aggregates to observe while it is written (``sinks.write_table``)."""
+    return {f"_f{i}": F.count_if(cond) for i, (_, _, _, cond) in enumerate(declared_checks().get(table, ()))}
+
+
+def column_checks(tables: Mapping[str, DataFrame], measured: Mapping[str, Mapping[str, int]]) -> list[DataFrame]:
+    """Summary rows of the declared column checks. A table in ``measured`` has the counts that its write observed
+    and is not read; any other is one aggregate."""
+    declared = declared_checks()
+    seen = [(chk, t, col, sev, int(measured[t][f"_f{i}"])) for t, checks in declared.items() if t in measured
+            for i, (chk, col, sev, _) in enumerate(checks)]
+    parts = [table_checks(tables[t], t, checks) for t, checks in declared.items() if t not in measured]
+    if seen:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(seen, "check string, table_name string, column_name string, severity string, "
+                                                 "failures bigint"))  # one row per declared check
+    return parts
+
+
 def dq_summary(parts: list[DataFrame]) -> DataFrame:
     """All check summaries in one frame."""
     return reduce(DataFrame.unionByName, [p.select(*SUMMARY_COLS) for p in parts])

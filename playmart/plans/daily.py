@@ -55,16 +55,10 @@ FULL = {
 }
 
 
-def gate(tables: dict, raw_adjust, as_of: _dt.date) -> list:
-    """All declared tests as summary rows: one aggregate per table for its column checks, one per grain,
-    the business rules and the feed's freshness."""
-    checks: dict[str, list] = {}
-    for specs, make in ((quality.NOT_NULL_TESTS, quality.not_null_check),
-                        (quality.ACCEPTED_VALUES_TESTS, quality.accepted_values_check),
-                        (quality.RANGE_TESTS, quality.accepted_range_check)):
-        for table, *spec in specs:
-            checks.setdefault(table, []).append(make(*spec))
-    parts = [quality.table_checks(tables[t], t, c) for t, c in checks.items()]
+def gate(tables: dict, raw_adjust, as_of: _dt.date, measured: dict | None = None) -> list:
+    """All declared tests as summary rows: the column checks as the writes observed them (one aggregate for a
+    table that was not measured), one per grain, the business rules and the feed's freshness."""
+    parts = quality.column_checks(tables, measured or {})
     parts += [quality.dq_unique_grain(tables[t], t, list(keys), sev) for t, keys, sev in quality.GRAIN_TESTS]
     ua, iap, ltv = (tables[k] for k in ("ua_performance_daily", "iap_arpdau_daily", "cohort_ltv_daily"))
     rules = {"dq_no_future_dates": quality.dq_no_future_dates({t: (tables[t], c) for t, c in quality.DATED_MARTS}, as_of),
@@ -92,12 +86,13 @@ def land_events(w: Warehouse, landing: str, full: bool) -> None:
 def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date = AS_OF,
               full: bool = False, check: bool = True, database: str | None = None) -> dict[str, str]:
     """Build every mart and model under ``out_dir`` and return {name: path}. With ``check`` all declared
-    tests run against the written tables and an ``error`` failure raises. With ``database`` every table is
+    tests run and an ``error`` failure raises: column checks on the rows this run wrote, counted by the writes
+    themselves (earlier partitions were checked when they were written), grain and rules on whole tables. With ``database`` every table is
     registered there (``quality.row_counts_by_day`` over ``sinks.catalog_tables`` then covers it)."""
     w = Warehouse(spark, sf_dir, as_of, materialize=True)
     landing, staged = f"{out_dir.rstrip('/')}/_landing/events", f"{out_dir.rstrip('/')}/_staging"
     land_events(w, landing, full)
-    staging_load.load(spark, landing, staged, as_of, full)
+    measured = {"stg_events": staging_load.load(spark, landing, staged, as_of, full, quality.write_metrics("stg_events")).metrics}
     stored = staging_load.stored_events(spark, staged)
     dimension = players.load(spark, stored, f"{out_dir.rstrip('/')}/_players", as_of, full=full)
     w.use_events(staging_load.events_view(spark, staged), stored, dimension)
@@ -106,14 +101,14 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date =
         path = f"{out_dir.rstrip('/')}/{name}"
         df = build(w, not full)
         if full:
-            write_table(df, path, partition_by=(part,), cluster_by=cluster)
+            measured[name] = write_table(df, path, partition_by=(part,), cluster_by=cluster, metrics=quality.write_metrics(name))
         else:
-            insert_overwrite_partitions(df, path, [part], cluster_by=cluster)
+            measured[name] = insert_overwrite_partitions(df, path, [part], cluster_by=cluster, metrics=quality.write_metrics(name))
         paths[name] = path
     tables = {name: spark.read.parquet(p) for name, p in paths.items()}
     for name, build in FULL.items():
         paths[name] = f"{out_dir.rstrip('/')}/{name}"
-        write_table(build(w, tables), paths[name])
+        measured[name] = write_table(build(w, tables), paths[name], metrics=quality.write_metrics(name))
         tables[name] = spark.read.parquet(paths[name])
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -121,5 +116,6 @@ def run_daily(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.date =
             part = (MARTS[name][1],) if name in MARTS else ()
             register_table(spark, database, name, path, tables[name].schema, part)
     if check:
-        quality.assert_clean(quality.dq_summary(gate(tables | {"stg_events": w.stg_events}, w.raw_adjust, as_of)))
+        quality.assert_clean(quality.dq_summary(gate(tables | {"stg_events": w.stg_events}, w.raw_adjust, as_of,
+                                                      {t: m for t, m in measured.items() if m})))
     return paths

@@ -491,13 +491,8 @@ QUERIES["dq_ltv_elapsed"] = lambda w: _rules(w)["dq_ltv_elapsed"]
 
 @query("dq_summary")
 def q_dq_summary(w: Warehouse) -> DataFrame:
-    checks: dict[str, list] = {}  # every column check of a table in one aggregate over it
-    for specs, make in ((quality.NOT_NULL_TESTS, quality.not_null_check),
-                        (quality.ACCEPTED_VALUES_TESTS, quality.accepted_values_check),
-                        (quality.RANGE_TESTS, quality.accepted_range_check)):
-        for table, *spec in specs:
-            checks.setdefault(table, []).append(make(*spec))
-    parts = [quality.table_checks(model(w, t), t, c) for t, c in checks.items()] + _grain_suite(w)
+    tables = {t: model(w, t) for t in quality.declared_checks()}  # column checks are observed where tables are written
+    parts = quality.column_checks(tables, w.measured) + _grain_suite(w)
     parts += [quality.rows_as_summary(df, k, k.removeprefix("dq_")) for k, df in _rules(w).items()]
     return quality.dq_summary(parts)
 

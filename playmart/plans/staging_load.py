@@ -39,10 +39,11 @@ MANIFEST = "suffix string, files long, bytes long, newest long, loaded_for date"
 
 @dataclass
 class Load:
-    """What a run did: the first day computed, the shards opened, those left as they were."""
+    """What a run did: the first day computed, the shards opened, those left as they were, what was observed."""
     start: _dt.date
     opened: list[str] = field(default_factory=list)
     unchanged: list[str] = field(default_factory=list)
+    metrics: dict[str, int] = field(default_factory=dict)  # what the write of ``events`` observed
 
 
 def _fs(spark: SparkSession, path: str):
@@ -103,7 +104,8 @@ def found_next(runs: DataFrame, before: DataFrame | None) -> DataFrame:
     return nxt.where(open_run | (F.col("_began") < F.col("found_in"))).select(USER, RUN, "next_level_id", "found_in")
 
 
-def load(spark: SparkSession, landing: str, out: str, as_of: _dt.date = AS_OF, full: bool = False) -> Load:
+def load(spark: SparkSession, landing: str, out: str, as_of: _dt.date = AS_OF, full: bool = False,
+         metrics: dict | None = None) -> Load:
     """Bring the staging tables under ``out`` up to ``as_of`` from the shards under ``landing``
     (folders ``table_suffix=YYYYMMDD`` and ``table_suffix=intraday_YYYYMMDD``).
 
@@ -148,7 +150,8 @@ def load(spark: SparkSession, landing: str, out: str, as_of: _dt.date = AS_OF, f
     runs = level_runs(rows.where(F.col(USER).isNotNull()).select(*EVENT_KEYS), state=before, next_at="_next_at", over=EVENT_KEYS)
     own_day = F.when(F.to_date("_next_at") == F.col("event_date"), F.col("next_level_id"))
     stored = runs.withColumn("next_level_id", own_day).select(*EVENT_KEYS, "previous_level_id", "next_level_id", RUN)
-    write_table(stored, f"{out}/events", partition_by=("event_date",), cluster_by=("event_name", USER), dynamic=before is not None)
+    done.metrics = write_table(stored, f"{out}/events", partition_by=("event_date",), cluster_by=("event_name", USER),
+                               dynamic=before is not None, metrics=metrics)
     # what follows reads narrow columns of the days just written
     runs = _between(spark, f"{out}/events", start, as_of).select(USER, "event_date", "level_id", "previous_level_id", RUN)
     days = spark.createDataFrame([(start + _dt.timedelta(days=k),) for k in range((as_of - start).days + 1)], "found_in date")

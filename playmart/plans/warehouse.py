@@ -35,6 +35,7 @@ class Warehouse:
         self._events_override: DataFrame | None = None
         self._without_next: DataFrame | None = None
         self.players: DataFrame | None = None
+        self.measured: dict[str, dict] = {}  # counts of the declared column checks by table, from the writes
         self._lock = threading.RLock()
         self._database: str | None = None
 
@@ -128,9 +129,13 @@ class Warehouse:
     def _scratch(self, name: str) -> str:
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def _write_and_read(self, df: DataFrame, path: str, partition_by=(), cluster_by=()) -> DataFrame:
+    def _write_and_read(self, df: DataFrame, path: str, partition_by=(), cluster_by=(), name: str | None = None) -> DataFrame:
+        """With ``name`` the declared column checks of that table are observed while it is written."""
+        from playmart.operators.quality import write_metrics
         from playmart.sources.sinks import write_table
-        write_table(df, path, partition_by=partition_by, cluster_by=cluster_by)
+        seen = write_table(df, path, partition_by=partition_by, cluster_by=cluster_by, metrics=write_metrics(name) if name else None)
+        if seen:
+            self.measured[name] = seen
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def materialize_events(self, path: str | None = None) -> str:
@@ -143,7 +148,7 @@ class Warehouse:
                                      partition_by=("event_date",))
         path = path or self._scratch("stg_events")
         self._events_override = self._write_and_read(staging.stg_events(union), path, partition_by=("event_date",),
-                                                     cluster_by=("event_name", "user_pseudo_id"))
+                                                     cluster_by=("event_name", "user_pseudo_id"), name="stg_events")
         self._register("stg_events", path, self._events_override, ("event_date",))
         return path
 
@@ -179,7 +184,7 @@ class Warehouse:
         with self._lock:
             if name not in cache:
                 path = self._scratch(name)
-                df = self._write_and_read(build(), path, partition_by=partition_by)
+                df = self._write_and_read(build(), path, partition_by=partition_by, name=name)
                 if register:
                     self._register(name, path, df, partition_by)
                 cache[name] = df

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,9 +17,14 @@ def write_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = False) -> None:
+                cluster_by: Sequence[str] = (), mode: str = "overwrite", dynamic: bool = False,
+                metrics: Mapping[str, Column] | None = None) -> dict[str, int]:
     """K2/K5: full rebuild of a Parquet table.
 
+    ``metrics`` are aggregates over the written rows, taken by the writing tasks themselves: the table need not be
+    read again for them. They are observed in the write's last stage, whose tasks count once however often
+    one is retried.
+
     ``cluster_by`` sorts rows inside each file (no extra shuffle) so Parquet row-group min/max
     statistics let later scans skip on those columns, the analogue of warehouse clustering.
     With ``partition_by`` the rows are rebalanced on the partition columns: AQE groups each
@@ -29,6 +34,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     out = df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
+    seen = Observation()
+    if metrics:
+        out = out.observe(seen, *(c.alias(n) for n, c in metrics.items()))  # below the sort, whose order the write keeps
     if partition_by or cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
     # an option of this one write: other writers of the session keep their own mode
@@ -36,6 +44,13 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if not metrics:
+        return {}
+    got = seen._jo.getOrEmpty() if seen._jo is not None else None
+    if got is not None and got.nonEmpty():
+        return dict(seen.get)
+    # a plan known to be empty is optimised away with its metrics
+    return df.agg(*(c.alias(n) for n, c in metrics.items())).first().asDict()
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str, schema: StructType,
@@ -58,13 +73,13 @@ def catalog_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
 
 
 def insert_overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
-                                cluster_by: Sequence[str] = ()) -> None:
+                                cluster_by: Sequence[str] = (), metrics: Mapping[str, Column] | None = None) -> dict[str, int]:
     """K3: replace only the partitions present in ``df``; all other partitions stay as they are.
 
     Idempotent: running the same batch twice leaves the same table. A partition whose rows all
     vanished from the new batch is not touched (it stays stale), like the reference's strategy.
     """
-    write_table(df, path, partition_by=partition_by, cluster_by=cluster_by, dynamic=True)
+    return write_table(df, path, partition_by=partition_by, cluster_by=cluster_by, dynamic=True, metrics=metrics)
 
 
 def incremental_window(df: DataFrame, date_col: str, as_of: _dt.date, days: int,
