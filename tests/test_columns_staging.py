@@ -5,11 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from playmart.functions.columns import PII_SALT_DEFAULT, action_value, hash_pii, param, safe_divide
 from playmart.operators import staging
+from playmart.plans.daily import run_daily
 from playmart.plans.warehouse import Warehouse
+from playmart.sources import fixtures
 
 PARAMS = "array<struct<key string, value struct<int_value bigint, double_value double, string_value string>>>"
 
@@ -29,6 +32,19 @@ def test_hash_pii_matches_sha256_and_keeps_null(spark):
     assert got[1] is None
 
 
+def test_events_are_hashed_on_a_cluster_without_a_salt(spark, tmp_root, monkeypatch):
+    """A query needs no PLAYMART_PII_SALT on a cluster's master; the daily build, whose tables are kept, does."""
+    monkeypatch.delenv("PLAYMART_PII_SALT", raising=False)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    rows = [(i, dt.datetime(2024, 1, 1 + i), 1 + i, "error", 1.0, '{"k": 3}') for i in range(3)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    flat = staging.flatten_events(fixtures.raw_ga4_events(events))
+    assert sorted(r.user_id for r in flat.collect()) == sorted(
+        hashlib.sha256(f"{u}{PII_SALT_DEFAULT}".encode()).hexdigest() for u in (1, 2, 3))
+    with pytest.raises(RuntimeError, match="PLAYMART_PII_SALT"):
+        run_daily(spark, f"{tmp_root}/none", f"{tmp_root}/no-build")
+
+
 def test_safe_divide_and_action_value(spark):
     df = spark.createDataFrame([(1, 0), (3, 2), (None, 1)], "a int, b int")
     assert [r[0] for r in df.select(safe_divide(F.col("a"), F.col("b"))).collect()] == [None, 1.5, None]
