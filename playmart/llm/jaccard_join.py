@@ -33,7 +33,7 @@ from functools import partial
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import M1, documents, mix64, slices, stored, string_buffers
+from .common import M1, bound_batches, documents, mix64, slices, stored, string_buffers
 from .components import components
 from .recompression import word_names
 from .repeats import KEY, NULL_ID, Chain, document_key, keyed
@@ -418,6 +418,7 @@ def linked_sets(rows: DataFrame, sets: DataFrame, frequent: np.ndarray, ngram: i
 
 def classes(docs: DataFrame, ngram: int = NGRAM, share: int = SHARE, key: dict | None = None) -> DataFrame:
     """did, th, m, and node: one row per document, equal nodes for documents that hang together (null: empty set)."""
+    bound_batches(docs.sparkSession)
     rows = keyed(docs, key)
     found = stored(rows.mapInArrow(partial(_sets, ngram), SETS), "jaccard-sets")
     sets = found.where("gram is null").select(*KEY, "sid", "m", "bits")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playmart.sources.tables import read_table
 
-from .common import documents
+from .common import bound_batches, documents
 
 MAX_TRAIN = 1500
 MAX_LINES = 100_000
@@ -251,7 +251,7 @@ def judge(docs: DataFrame, model, keep: list[str]) -> DataFrame:
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the base rule and the labeller keep, with the columns of ``docs``."""
-    from pyspark.sql.types import BooleanType, StructField, StructType
+    bound_batches(spark)
     model = fit(docs, read_table(spark, sf_dir, "labels"))
     at = docs.columns.index("text")
 

@@ -241,3 +241,23 @@ def test_style_tree_of_planted_pages_matches_plain_python(spark):
     got = {r.page_id: r.text for r in html_extraction.extract(df, ["page_id"]).collect()}
     assert got == plain_texts(pages)
     assert not any("Call us" in got[i] or "Follow us" in got[i] for i in range(40)) and "Story 1" in got[100]
+
+
+def test_stages_bound_the_bytes_of_a_batch(spark, sf):
+    """A file of many rows is not handed to a Python task as one batch of all its texts."""
+    from pyspark.sql import functions as F
+    from playmart.llm import jaccard_join, quality
+    from playmart.llm.common import BATCH_BYTES, BATCH_KEY
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    long_texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("abcd "), 1000).alias("text"))
+    for stage in (quality.filter_quality, jaccard_join.dedup_stage):
+        spark.conf.unset(BATCH_KEY)
+        stage(spark, docs, sf)
+        got = long_texts.mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 2 * BATCH_BYTES
