@@ -92,3 +92,27 @@ def test_all_dates_spine(spark):
     d = staging.all_dates(spark)
     assert d.count() == 458
     assert d.agg(F.min("date_day"), F.max("date_day")).collect()[0] == (dt.date(2025, 10, 1), dt.date(2027, 1, 1))
+
+
+def test_adjust_report_is_dealt_out_narrow(spark, sf_dir, monkeypatch):
+    """The landing exchanges and sorts a dozen columns a line item, not the report's hundred; same rows, same schema."""
+    from pyspark.sql import DataFrameWriter
+    plans, real = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan())
+        return real(self, path, *args, **kwargs)
+
+    def widths(node):
+        if node.nodeName() in ("RebalancePartitions", "Sort", "Join"):
+            yield node.nodeName(), node.output().size()
+        for i in range(node.children().size()):
+            yield from widths(node.children().apply(i))
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    landed, lazy = Warehouse(spark, sf_dir, materialize=True).raw_adjust, Warehouse(spark, sf_dir).raw_adjust
+    found = list(widths(plans[-1]))
+    assert {"RebalancePartitions", "Sort", "Join"} <= {n for n, _ in found} and max(k for _, k in found) <= 15
+    assert landed.dtypes == lazy.dtypes and len(landed.columns) > 70
+    digest = lambda df: sorted(r[0] for r in df.select(F.xxhash64(*df.columns)).collect())
+    assert digest(landed) == digest(lazy)
