@@ -8,6 +8,7 @@ import shutil
 import pytest
 
 import __spark_entry__ as entry
+from playmart.plans import players
 from playmart.plans.warehouse import Warehouse
 
 QUERIES = entry.queries()
@@ -49,3 +50,12 @@ def test_event_queries_write_nothing_to_the_catalog(spark, events_dir):
     assert {d.name for d in spark.catalog.listDatabases()} == before
     w = Warehouse.shared(spark, events_dir)
     assert [t.name for t in spark.catalog.listTables(w.database)] == ["stg_events"]
+
+
+def test_row_counts_leave_out_versions_of_the_player_dimension(spark, events_dir):
+    w = Warehouse(spark, events_dir, materialize=True)
+    players.load(spark, w.stg_events, f"{events_dir}/players", w.as_of, w.database, buckets=2)
+    assert len(spark.catalog.listTables(w.database)) > 1
+    assert list(w.catalog()) == ["stg_events"]
+    w.model_table("sheet", lambda: spark.range(3))
+    assert sorted(w.catalog()) == ["sheet", "stg_events"]
