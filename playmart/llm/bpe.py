@@ -20,16 +20,17 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import documents, stored
+from .common import bound_batches, documents, stored
 
 CHUNK = 1 << 14
 OVERLAP = 1 << 10
 RANKS = "byte_bpe_50k.tiktoken"
 MEMO = 150_000  # words kept per worker
+SLICE = 1 << 14  # ids of a text that are Python numbers at once
 
 #: Unicode White_Space, what \s of the pattern matches.
 SPACE = ("\t-\r \x85\xa0" + chr(0x1680) + chr(0x2000) + "-" + chr(0x200A)
@@ -52,7 +53,7 @@ class Codec:
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                           mergeable_ranks=ranks, special_tokens={})
         self.decimal = {i: str(i) for i in ranks.values()}
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}  # word -> its ids, four bytes each
 
     @staticmethod
     def of(path: str) -> Codec:
@@ -60,25 +61,33 @@ class Codec:
             _codecs[path] = Codec(path)
         return _codecs[path]
 
-    def word(self, w: str) -> list[int]:
+    def word(self, w: str) -> bytes:
         if len(self.memo) >= MEMO:
             self.memo.clear()
-        ids = self.encoding.encode_ordinary(w)
+        ids = np.array(self.encoding.encode_ordinary(w), np.int32).tobytes()
         if len(w) < 64:
             self.memo[w] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> np.ndarray:
+        """The ids of a text, four bytes each."""
         get, word = self.memo.get, self.word
-        return list(chain.from_iterable([get(w) or word(w) for w in _PIECE.findall(text)]))
+        return np.frombuffer(b"".join([get(w) or word(w) for w in _PIECE.findall(text)]), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        return self.packed(text).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return self.encoding.decode_bytes(ids)
 
-    def digest(self, ids: list[int]) -> tuple[int, str, str]:
-        line = " ".join(map(self.decimal.__getitem__, ids))
-        return (len(ids), hashlib.sha256(line.encode()).hexdigest(),
-                hashlib.sha256(self.decode(ids)).hexdigest())
+    def digest(self, ids: np.ndarray) -> tuple[int, str, str]:
+        """The number of ids and the digests of their line and of the decoded bytes, taken slice by slice."""
+        line, raw = hashlib.sha256(), hashlib.sha256()
+        for i in range(0, len(ids), SLICE):
+            part = ids[i:i + SLICE].tolist()
+            line.update((" " * (i > 0) + " ".join(map(self.decimal.__getitem__, part))).encode())
+            raw.update(self.decode(part))
+        return len(ids), line.hexdigest(), raw.hexdigest()
 
 
 def ranks_path(path: str | None = None) -> str:
@@ -157,7 +166,7 @@ def _encode(path: str | None, keep: list[str]):
         import pyarrow as pa
         codec = Codec.of(ranks_path(path))
         for b in batches:
-            ids = [codec.encode(t) if t else [] for t in b.column("text").to_pylist()]
+            ids = [codec.packed(t or "") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(ids, pa.list_(pa.int32()))],
                                              [*keep, "ids"])
     return run
@@ -166,6 +175,7 @@ def _encode(path: str | None, keep: list[str]):
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None,
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Add the array column ``ids`` with the token ids of the whole ``text``."""
+    bound_batches(df.sparkSession)
     rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "bpe-rows")  # numbers that no retry changes
     texts = rows.select(F.col("_row").alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     enc = long_ids(texts, path, chunk, overlap).unionByName(
@@ -198,9 +208,10 @@ def decode(df: DataFrame, ids: str = "ids", raw: str = "raw", path: str | None =
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def _digest_rows(doc_ids, id_lists, codec):
+def _digest_rows(doc_ids, ids, codec):
+    """``ids`` gives the id array of one text after another; none is kept."""
     import pyarrow as pa
-    out = [codec.digest(x) for x in id_lists]
+    out = [codec.digest(x) for x in ids]
     return pa.RecordBatch.from_arrays(
         [doc_ids, pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string()),
          pa.array([o[2] for o in out], pa.string())],
@@ -213,7 +224,7 @@ def _digest_texts(path: str | None):
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 s = b.slice(i, 256)
-                yield _digest_rows(s.column("doc_id"), [codec.encode(t) for t in s.column("text").to_pylist()], codec)
+                yield _digest_rows(s.column("doc_id"), map(codec.packed, s.column("text").to_pylist()), codec)
     return run
 
 
@@ -221,12 +232,14 @@ def _digest_ids(path: str | None):
     def run(batches):
         codec = Codec.of(ranks_path(path))
         for b in batches:
-            yield _digest_rows(b.column("doc_id"), b.column("ids").to_pylist(), codec)
+            ids = b.column("ids")
+            yield _digest_rows(b.column("doc_id"), (x.values.to_numpy(zero_copy_only=False) for x in ids), codec)
     return run
 
 
 def encode_digest(df: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """Encode every whole text, decode the ids again and return one digest row per input row."""
+    bound_batches(df.sparkSession)
     texts = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     short = texts.where(F.length("text") <= chunk).mapInArrow(_digest_texts(path), DIGEST)
     long = stored(texts.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id()), "bpe-long")

@@ -452,3 +452,25 @@ def test_pages_query(spark, sf_dir, name):
     import __spark_entry__ as entry
     out = entry.queries()[name](spark, sf_dir).collect()
     assert len(out) == 50 and all(r.n_chars == len(r.text) > 0 for r in out)
+
+
+def test_bpe_digests_hold_a_slice_of_ids_at_a_time():
+    """Ids stay packed until a slice of one text is digested: a batch of long texts is no list of Python numbers."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+    codec, rnd = bpe.Codec.of(bpe.ranks_path()), random.Random(5)
+    ids = [[rnd.randrange(40_000) for _ in range(100_000 + i)] for i in range(8)] + [[]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(9), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32()))})
+    tracemalloc.start()
+    try:
+        out = [r for b in bpe._digest_ids(None)([batch]) for r in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 << 20  # all ids at once are 28 MB and more
+    for r, x in zip(out, ids):
+        assert r["n_tokens"] == len(x)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(codec.encoding.decode_bytes(x)).hexdigest()
