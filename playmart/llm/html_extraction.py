@@ -43,7 +43,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from playmart.sources.tables import read_table
 
-from .common import stored
+from .common import bound_batches, shuffle_partitions, stored
+
+#: Shuffle partitions to a file of the site model, whose rows are few and short.
+MODEL_PARTITIONS = 16
 
 LOW = 0.2
 DEPTH_WEIGHT = 0.9
@@ -447,7 +450,9 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and the main text of ``html`` (columns url and html are read)."""
     from pyspark.sql.types import StringType, StructField, StructType
     hosted = pages.select(*(F.col(f"`{k}`") for k in keep), F.col("html").alias("_html"), host_of(F.col("url")).alias("_host"))
-    model = stored(site_model(pages.select(host_of(F.col("url")).alias("host"), "html")), "site-model")
+    bound_batches(pages.sparkSession)
+    files = max(2, shuffle_partitions(pages.sparkSession) // MODEL_PARTITIONS)
+    model = stored(site_model(pages.select(host_of(F.col("url")).alias("host"), "html")).repartition(files), "site-model")
     rows = hosted.join(model.select(F.col("host").alias("_host"), F.col("low").alias("_low")), "_host", "left") \
         .select(*(F.col(f"`{k}`") for k in keep), "_html", "_low")
     schema = StructType([*rows.schema.fields[:len(keep)], StructField("text", StringType())])

@@ -261,3 +261,46 @@ def test_stages_bound_the_bytes_of_a_batch(spark, sf):
         stage(spark, docs, sf)
         got = long_texts.mapInArrow(sizes, "n long, bytes long").collect()
         assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 2 * BATCH_BYTES
+
+
+def test_style_tree_bounds_the_bytes_of_a_batch(spark, tmp_path):
+    """A file of many pages is not handed to a Python task as one batch of all its html."""
+    from pyspark.sql import functions as F
+    from playmart.llm.common import BATCH_BYTES, BATCH_KEY
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    pages = spark.range(0, 4000, 1, 1).select(
+        F.col("id").alias("page_id"), F.lit("http://h.example/").alias("url"), F.repeat(F.lit("<p>a"), 1000).alias("html"))
+    pages.limit(1).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.conf.unset(BATCH_KEY)
+    assert [r.n_chars for r in entry.queries()["op10_site_style_tree"](spark, str(tmp_path)).collect()] == [1999]
+    got = pages.select("url", "html").mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 4000 and max(r.bytes for r in got) < 2 * BATCH_BYTES
+
+
+def test_site_model_is_stored_in_few_files(spark, monkeypatch):
+    """Many hosts dealt over many shuffle partitions do not make a file each; no host and no page is lost."""
+    stored, folders = html_extraction.stored, []
+
+    def seen(df, name):
+        folders.append(stored(df, name))
+        return folders[-1]
+
+    monkeypatch.setattr(html_extraction, "stored", seen)
+    pages = [(i, f"http://h{i % 40}.example/{i}", f"<div class=box><p>Call us now</p></div><article><p>Story {i}</p></article>")
+             for i in range(240)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.page_id: r.text for r in html_extraction.extract(df, ["page_id"]).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: f"Story {i}" for i in range(240)}
+    assert folders[0].count() == 40 and len(folders[0].inputFiles()) <= 4
